@@ -5,8 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from keyweave.llm import quality, toxicity
 from keyweave.llm.exact_dedup import exact_duplicates
+from keyweave.llm.line_dedup import drop_recurring_lines
 from keyweave.llm.packing import pack_documents
+from keyweave.llm.pii_crf import personal_data
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -19,13 +22,34 @@ def op1_exact_dedup(spark, d):
     return exact_duplicates(_read(spark, d, "documents"))
 
 
+def op2_toxicity(spark, d):
+    docs, fold = _read(spark, d, "documents"), toxicity.held_out(F.col("doc_id"))
+    return toxicity.scored(docs, toxicity.train(docs, _read(spark, d, "labels"), learn_from=~fold), fold)
+
+
 def op3_packing(spark, d):
     return pack_documents(_read(spark, d, "documents"), TOKENIZER, with_ids=False)
 
 
+def op4_pii(spark, d):
+    return personal_data(_read(spark, d, "documents"))
+
+
+def op5_line_dedup(spark, d):
+    return drop_recurring_lines(_read(spark, d, "documents").select("doc_id", "text"))
+
+
+def op8_quality(spark, d):
+    return quality.quality_scores(_read(spark, d, "documents"), _read(spark, d, "labels"), quality.held_out(F.col("doc_id")))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
+    "op4_pii": op4_pii,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_quality": op8_quality,
 }
 
 SQL = {
