@@ -13,73 +13,110 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyweave.llm.shared import table_batch, text_bytes
+from keyweave.llm.shared import slices, table_batch
 
 END_ID = 1
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 32 * 2048
 WINDOW = 1 << 22
+ENCODED_BYTES = 32 << 20
+
+
+#: A word of Latin letters, perhaps with other ASCII signs after them: its letters are one unit of the tokenizer, its signs another.
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+LATIN_WORD = f"^[{LATIN}]+[!-/:-@\\[-`{{-~]*$"
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the others, in
+    order, for the letters from U+0100."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
 
 
 class WordEncoder:
-    """Token ids of whole texts by a tokenizer whose tokens never cross ASCII white space: each different
-    word is tokenised once and remembered, at most ``bound`` words at a time."""
+    """Token ids of whole texts by a tokenizer whose tokens never cross ASCII white space: of the texts given
+    together, each different word is tokenised once. Words of Latin letters, lower-cased, go to the tokenizer's
+    model unit by unit, all others through the whole tokenizer."""
+
+    AT_ONCE = 512
 
-    def __init__(self, path: str, bound: int = 500_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.bound = Tokenizer.from_file(path), bound
-        self._clear()
-
-    def _clear(self):
-        self.codes: dict[bytes, int] = {}
-        self.starts = np.zeros(1 << 16, dtype=np.int64)
-        self.flat = np.zeros(1 << 18, dtype=np.uint32)
-        self.used = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        first = len(self.codes)
-        found = self.tokenizer.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        total = int(lengths.sum())
-        if first + len(words) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * (first + len(words) + 1))
-        if self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * (self.used + total))
-        self.starts[first + 1:first + len(words) + 1] = self.used + np.cumsum(lengths)
-        self.flat[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=total)
-        self.used += total
-        for i, w in enumerate(words, first):
-            self.codes[w] = i
-
-    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text, without an end id."""
-        words = [t.split() for t in texts]
-        codes = self.codes
-        fresh = {w for ws in words for w in ws if w not in codes}
-        if fresh:
-            if len(codes) + len(fresh) > self.bound and codes:
-                self._clear()
-                fresh = {w for ws in words for w in ws}
-            self._learn(list(fresh))
-            codes = self.codes
-        out = []
-        for ws in words:
-            at = np.fromiter(map(codes.__getitem__, ws), dtype=np.int64, count=len(ws))
-            start, length = self.starts[at], self.starts[at + 1] - self.starts[at]
-            ends = np.cumsum(length)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.flat[np.arange(total) + np.repeat(start - (ends - length), length)])
+        self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _latin(self, words: list[str]) -> list[list[int]]:
+        tokenize, letters, out = self.tokenizer.model.tokenize, self.letters, []
+        for word in words:
+            word = word.lower()
+            if not word.isascii():
+                word = "".join([letters[b] for b in word.encode()])
+            out.append([t.id for t in tokenize(word)])
         return out
 
+    @staticmethod
+    def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where each list begins (one more entry at the end)."""
+        bounds = np.zeros(len(ids) + 1, dtype=np.int64)
+        np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)), out=bounds[1:])
+        return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(bounds[-1])), bounds
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row and the words' bounds in it."""
+        latin = pc.match_substring_regex(words, LATIN_WORD)
+        plain = words.filter(latin)
+        heads = pc.utf8_lower(pc.replace_substring_regex(plain, f"[^{LATIN}]+$", "")).dictionary_encode()
+        tails = pc.replace_substring_regex(plain, f"^[{LATIN}]+", "").dictionary_encode()
+        rest = words.filter(pc.invert(latin)).to_pylist()
+        parts = (self._latin(heads.dictionary.to_pylist()), self._whole(tails.dictionary.to_pylist()), self._whole(rest))
+        flat, bounds = self._flat([ids for part in parts for ids in part])
+        mask = latin.to_numpy(zero_copy_only=False)
+        first, second = np.zeros(len(words), dtype=np.int64), np.full(len(words), -1, dtype=np.int64)
+        first[mask] = heads.indices.to_numpy()
+        second[mask] = tails.indices.to_numpy() + len(parts[0])
+        first[~mask] = np.arange(len(rest)) + len(parts[0]) + len(parts[1])
+        units = np.column_stack([first, second]).ravel()
+        units = units[units >= 0]
+        ends = np.cumsum(1 + (second >= 0))
+        ids, unit_ends = gather(flat, bounds, units)
+        return ids, np.concatenate([[0], unit_ends[ends - 1]])
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text, without an end id."""
+        lists = pc.ascii_split_whitespace(texts)
+        cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        coded = lists.flatten().dictionary_encode()
+        flat, bounds = self._words(coded.dictionary)
+        codes = coded.indices.to_numpy()
+        for i in range(0, len(texts), self.AT_ONCE):
+            own = cuts[i:i + self.AT_ONCE + 1]
+            ids, ends = gather(flat, bounds, codes[own[0]:own[-1]])
+            ends = np.concatenate([[0], ends])
+            yield from np.split(ids, ends[own[1:-1] - own[0]])
+
+
+def gather(flat: np.ndarray, bounds: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces ``chosen`` of ``flat`` (piece k is ``flat[bounds[k]:bounds[k + 1]]``) in a row, and where each ends."""
+    start = bounds[chosen]
+    counts = bounds[chosen + 1] - start
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(start - ends + counts, counts)], ends
+
 
 class Packer:
     """Packs documents of one task; ``emit`` gets (sequence, offset, piece) for each piece."""
@@ -221,15 +258,15 @@ def _run(path: str, tiers: tuple[int, ...], step_tokens: int, with_ids: bool) ->
         out = TaskOutput(TaskContext.get().partitionId() << 32, step_tokens, with_ids)
         packer = Packer(tiers, out.put)
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("content").to_pylist()
-            for i in range(0, len(texts), 256):
-                for doc, ids in zip(doc_ids[i:i + 256], encode(texts[i:i + 256])):
+            for part in slices(batch, "text", ENCODED_BYTES):
+                for i, (doc, ids) in enumerate(zip(part.column("doc_id").to_pylist(), encode(part.column("text")))):
                     ids = np.append(ids, np.uint32(END_ID))
                     packer.add((doc, len(ids)), ids)
-                if packer.held >= WINDOW:
-                    packer.pack()
-                out.group()
-                yield from out.batches()
+                    if i % 256 == 0:
+                        if packer.held >= WINDOW:
+                            packer.pack()
+                        out.group()
+                        yield from out.batches()
         packer.pack(last=True)
         out.group(last=True)
         yield from out.batches()
@@ -249,5 +286,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIE
     """
     schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
               "sequence_length int, step_group long" + (", ids array<int>" if with_ids else ""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("content"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return rows.mapInArrow(_run(tokenizer, tuple(tiers), step_tokens, with_ids), schema)

@@ -6,8 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,15 +66,50 @@ def table_batch(rows: list, target: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), target)], schema=target)
 
 
-class WordHash(dict):
-    """64-bit hash of a word, remembered for at most ``bound`` words at a time."""
-
-    def __init__(self, bound: int = 400_000):
-        super().__init__()
-        self.bound = bound
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.bound:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose ``column`` (text or bytes) has at most ``size`` bytes, one row at least."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(batch):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def lower_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words of the texts of a batch, A-Z lower-cased, cut at ASCII white space: the different words, the number of each
+    word in order, and where each text begins (one more entry at the end)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    cuts = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy().astype(np.int64)
+    words = coded.dictionary.to_pylist()
+    if "" in words:  # before leading and after trailing white space
+        full = codes != words.index("")
+        cuts = np.concatenate([[0], np.cumsum(full)])[cuts]
+        codes = codes[full]
+    return words, codes, cuts
+
+
+def runs_by_key(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, from batches that are sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(len(batch), dtype=bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        change[0] = bool(held) and any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in keys)
+        start = 0
+        for at in np.flatnonzero(change).tolist():
+            if at > start:
+                held.append(batch.slice(start, at - start))
+            if held:
+                yield pa.Table.from_batches(held)
+            held, start = [], at
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
