@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from keyweave.llm import quality, toxicity
+from keyweave.llm.embedding_lsh import near_vectors
 from keyweave.llm.exact_dedup import exact_duplicates
 from keyweave.llm.line_dedup import drop_recurring_lines
+from keyweave.llm.minhash import near_duplicates
 from keyweave.llm.packing import pack_documents
 from keyweave.llm.pii_crf import personal_data
 
@@ -39,21 +41,37 @@ def op5_line_dedup(spark, d):
     return drop_recurring_lines(_read(spark, d, "documents").select("doc_id", "text"))
 
 
+def op6_minhash(spark, d):
+    return near_duplicates(_read(spark, d, "documents"), width=3, threshold=85)
+
+
 def op8_quality(spark, d):
     return quality.quality_scores(_read(spark, d, "documents"), _read(spark, d, "labels"), quality.held_out(F.col("doc_id")))
 
 
+def op9_embedding_lsh(spark, d):
+    return near_vectors(_read(spark, d, "embeddings"), cosine=0.95)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
     "op5_line_dedup": op5_line_dedup,
+    "op6_minhash": op6_minhash,
     "op8_quality": op8_quality,
+    "op9_embedding_lsh": op9_embedding_lsh,
 }
 
 SQL = {
     "op1_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op9_embedding_lsh": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach AS (SELECT vec_id, vec_id AS other FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+        least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM least""",
 }
