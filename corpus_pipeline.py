@@ -1,25 +1,52 @@
-"""Corpus pipeline over ``documents``: each stage's result is written as Parquet and is the next one's input."""
+"""Corpus pipeline over ``documents``: each stage's result is written as Parquet and is the next one's input.
+
+All stages but the last return the columns of ``documents``: toxic documents go, recurring lines go, of each group of near-duplicates one
+document stays, documents are sampled to target weights, and what is left is packed into training sequences.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from keyweave.llm import toxicity
+from keyweave.llm.line_dedup import drop_recurring_lines
+from keyweave.llm.minhash import without_near_duplicates
+from keyweave.llm.mixing import mixed
 from keyweave.llm.packing import pack_documents
-from keyweave.llm.queries import TOKENIZER
+from keyweave.llm.queries import KEEP, TARGETS, TOKENIZER
 from keyweave.llm.shared import stored
 
 
-def packing(spark, docs, sf_dir):
+def drop_toxic(spark, docs, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    classifier = toxicity.train(docs, labels, learn_from=~toxicity.held_out(F.col("doc_id")))
+    return docs.where(~toxicity.is_toxic(classifier)(F.col("text")))
+
+
+def drop_lines(spark, docs, sf_dir):
+    return drop_recurring_lines(docs).drop("n_lines_dropped")
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    return without_near_duplicates(docs)
+
+
+def mix(spark, docs, sf_dir):
+    return mixed(docs, TARGETS, KEEP)
+
+
+def pack(spark, docs, sf_dir):
     return pack_documents(docs, TOKENIZER, with_ids=False)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("toxicity", drop_toxic), ("line_dedup", drop_lines), ("minhash", drop_near_duplicates), ("mixing", mix), ("packing", pack)]
+#: SQL has no equal of a trained classifier, near-duplicate search or tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
     """Result of the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs, f"pipeline-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -263,3 +263,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     out = search.sketched.join(classes, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """The rows of ``docs``, with its columns, that ``near_duplicates`` keeps: of each group the document with the least doc_id, once. Rows
+    without a doc_id stay, repeated as they are."""
+    kept = near_duplicates(docs, width, threshold).where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("kw_kept")).distinct()
+    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("kw_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))

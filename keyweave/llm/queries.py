@@ -5,15 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from keyweave.llm import quality, toxicity
+from keyweave.llm import context_mixing, quality, toxicity
 from keyweave.llm.embedding_lsh import near_vectors
 from keyweave.llm.exact_dedup import exact_duplicates
 from keyweave.llm.line_dedup import drop_recurring_lines
 from keyweave.llm.minhash import near_duplicates
+from keyweave.llm.mixing import Targets, mixture
 from keyweave.llm.packing import pack_documents
 from keyweave.llm.pii_crf import personal_data
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Shares of the kept tokens that mixing aims at: every source alike.
+TARGETS = Targets(source={f"src{i}": 1.0 for i in range(20)}, lang={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
+                  topic={"prose": 0.85, "contact": 0.05, "legal": 0.05, "table": 0.05})
+KEEP = 0.5
 
 
 def _read(spark, d, table):
@@ -45,6 +50,10 @@ def op6_minhash(spark, d):
     return near_duplicates(_read(spark, d, "documents"), width=3, threshold=85)
 
 
+def op7_context_mixing(spark, d):
+    return context_mixing.scored(_read(spark, d, "documents"), context_mixing.held_out(F.col("doc_id")))
+
+
 def op8_quality(spark, d):
     return quality.quality_scores(_read(spark, d, "documents"), _read(spark, d, "labels"), quality.held_out(F.col("doc_id")))
 
@@ -53,6 +62,10 @@ def op9_embedding_lsh(spark, d):
     return near_vectors(_read(spark, d, "embeddings"), cosine=0.95)
 
 
+def op10_mixing(spark, d):
+    return mixture(_read(spark, d, "documents"), TARGETS, KEEP)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -60,8 +73,10 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_line_dedup": op5_line_dedup,
     "op6_minhash": op6_minhash,
+    "op7_context_mixing": op7_context_mixing,
     "op8_quality": op8_quality,
     "op9_embedding_lsh": op9_embedding_lsh,
+    "op10_mixing": op10_mixing,
 }
 
 SQL = {
