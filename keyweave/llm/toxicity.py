@@ -13,6 +13,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -206,8 +207,6 @@ def scored(docs: DataFrame, classifier: Classifier, held_out: Column) -> DataFra
 
 def is_toxic(classifier: Classifier) -> Callable[[Column], Column]:
     """Column function of a text column: whether the score reaches ``THRESHOLD``; null counts as empty."""
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def toxic(texts: pd.Series) -> pd.Series:
         score = classifier.scorer()
