@@ -1,324 +1,330 @@
-"""Search and edit JSON text at any depth with built-in functions: no shuffle, no Python workers.
+"""Search and edit JSON text at any depth.
 
-A document is opened one level at a time with ``from_json`` into ``map<string,string>``, which keeps
-key order and the raw text of nested values. That type forgets whether a value was text or a number,
-so every text token of the document is first tagged with a leading ``~``; a raw value then tells its
-kind by its first character (``{`` object, ``[`` list, ``~`` text, SQL null for null).
+A document is read once, by a small Arrow function that walks its tokens with a stack and returns one row per value:
+key, place and byte positions (``json_nodes``). Its cost is linear in the text and its depth is not bounded; no expression of
+built-in functions can do that, since their nesting is fixed when a query is planned. All else is built-in expressions over
+these rows: searches filter them, edits splice text into the document at the positions found, so that what is
+not edited keeps its bytes.
 
-The levels are written out as nested lambdas, ``depth`` of them. A document with more levels than that
-makes the query fail, it is never half-searched; ``json_depth`` gives the number needed.
-When a certain key is looked for, parts whose text does not hold the key are not opened at all.
-
-A key that occurs twice in one object is an error unless ``spark.sql.mapKeyDedupPolicy`` is
-``LAST_WIN``; then the last value counts, at the place of the first.
+Only strict JSON is a document: one value, double quotes, no ``NaN``. For anything else searches give null and edits the text unchanged;
+``json_error`` tells what is wrong with it and ``split_malformed`` parts such rows. Of a key that occurs twice in one object the last one
+counts; the others are neither found nor updated, and deleted along.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_DEPTH = 8
-_TAG = "~"
-_STRICT = {"mode": "FAILFAST"}
-_FOUND = "array<struct<key:string,path:string,raw:string>>"
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` with ``value`` evaluated once however often it is used."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def json_text(value: Column) -> Column:
-    """JSON text of a column of any type, nulls included."""
-    wrapped = F.to_json(F.array(value), {"ignoreNullFields": "false"})
-    return _let(wrapped, lambda w: F.substring(w, F.lit(2), F.length(w) - 2))
-
-
-def literal_json(value) -> Column:
-    """JSON text of a Python value, or of a column."""
-    return json_text(value) if isinstance(value, Column) else F.lit(json.dumps(value, separators=(",", ":")))
-
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+_TOKEN = re.compile(rb'[ \t\r\n]*(?:([{}\[\],:])|("[^"\\\x00-\x1f]*(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*)*")'
+                    rb'|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)|(true|false|null))')
+_SPACE = re.compile(rb"[ \t\r\n]*\Z")
+_FIELDS = [("key", pa.string()), ("path", pa.string()), ("parent", pa.int32()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
+           ("text", pa.string()), ("depth", pa.int32()), ("in_lists", pa.bool_()), ("shadowed", pa.bool_()),
+           ("from_", pa.int32()), ("before", pa.int32()), ("after", pa.int32()), ("leads", pa.bool_())]
+_NODES = "array<struct<key string, path string, parent int, kind string, start int, end int, text string, depth int, in_lists boolean, " \
+         "shadowed boolean, from_ int, before int, after int, leads boolean>>"
+KEY, PATH, PARENT, KIND, START, END, TEXT, DEPTH, IN_LISTS, SHADOWED, FROM, BEFORE, AFTER, LEADS = range(len(_FIELDS))
+
+
+def _string(token: bytes) -> str:
+    """Decoded text; an unpaired surrogate can't be stored and becomes a replacement sign."""
+    if b"\\" not in token:
+        return token[1:-1].decode()
+    return json.loads(token).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def parse_nodes(data: bytes) -> list[list]:
+    """Values of a document in pre-order, fields as in ``_FIELDS``; ValueError for anything but one JSON value."""
+    nodes: list[list] = []
+    open_: list[list] = []  # [node, is object, members by key, last child, key of the next child, its start]
+    at, want = 0, "value"
+    while want != "end":
+        m = _TOKEN.match(data, at)
+        if not m:
+            raise ValueError(f"no JSON at byte {at}")
+        sign, quoted, number, word = m.groups()
+        start, at = m.start(m.lastindex), m.end()
+        if want in ("key", "first key") and quoted:
+            open_[-1][4:] = [_string(quoted), start]
+            want = "colon"
+        elif want == "colon" and sign == b":":
+            want = "value"
+        elif want in ("value", "first value") and (sign in (b"{", b"[") or not sign):
+            node = _node(nodes, open_, start)
+            if sign:
+                node[KIND] = "object" if sign == b"{" else "list"
+                open_.append([len(nodes) - 1, sign == b"{", {}, None, None, None])
+                want = "first key" if sign == b"{" else "first value"
+                continue
+            node[END] = at
+            node[KIND], node[TEXT] = ("string", _string(quoted)) if quoted else ("number", number.decode()) if number else (word.decode(), word.decode())
+            want = "more" if open_ else "end"
+        elif want == "more" and sign == b",":
+            want = "key" if open_[-1][1] else "value"
+        elif sign and open_ and sign == (b"}" if open_[-1][1] else b"]") and want in ("more", "first key", "first value"):
+            nodes[open_.pop()[0]][END] = at
+            want = "more" if open_ else "end"
+        else:
+            raise ValueError(f"unexpected token at byte {start}")
+    if not _SPACE.match(data, at):
+        raise ValueError(f"text after the document at byte {at}")
+    hidden: set[int] = set()  # what lies in a shadowed value is shadowed
+    for i, node in enumerate(nodes):
+        if node[SHADOWED] or node[PARENT] in hidden:
+            node[SHADOWED] = True
+            hidden.add(i)
+    return nodes
+
+
+def _node(nodes: list, open_: list, start: int) -> list:
+    node = [None, "", -1, None, start, None, None, len(open_), False, False, start, None, None, True]
+    if open_:
+        frame = open_[-1]
+        parent, last = nodes[frame[0]], frame[3]
+        node[PARENT], node[BEFORE] = frame[0], None if last is None else nodes[last][END]
+        node[IN_LISTS] = parent[IN_LISTS] or (parent[KIND] == "list" and len(open_) > 1 and not open_[-2][1])
+        if frame[1]:
+            key, node[FROM] = frame[4], frame[5]
+            node[KEY], node[PATH] = key, parent[PATH] + "/" + key.replace("~", "~0").replace("/", "~1")
+            node[LEADS] = last is None or (nodes[last][LEADS] and nodes[last][KEY] == key)
+            if key in frame[2]:
+                nodes[frame[2][key]][SHADOWED] = True
+            frame[2][key] = len(nodes)
+        else:
+            node[PATH] = f"{parent[PATH]}/{0 if last is None else int(nodes[last][PATH].rpartition('/')[2]) + 1}"
+        if last is not None:
+            nodes[last][AFTER] = node[FROM]
+        frame[3] = len(nodes)
+    nodes.append(node)
+    return node
 
-def _quoted(text: Column) -> Column:
-    """JSON text of a non-null string. Few strings need escapes; the brackets trimmed off the others
-    cannot be part of the quoted text."""
-    return (F.when(text.rlike(r'["\\\x00-\x1f]'), F.btrim(F.to_json(F.array(text)), F.lit("[]")))
-            .otherwise(F.concat(F.lit('"'), text, F.lit('"'))))
 
+def _parsed(documents: pa.Array) -> pa.Array:
+    rows, ends, errors = [], [0], []
+    for text in documents.to_pylist():
+        error = None
+        if text is not None:
+            try:
+                rows += parse_nodes(text.encode())
+            except ValueError as e:
+                error = str(e)
+        ends.append(len(rows))
+        errors.append(error)
+    columns = list(zip(*rows)) if rows else [[] for _ in _FIELDS]
+    structs = pa.StructArray.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(columns, _FIELDS)], names=[n for n, _ in _FIELDS])
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+    bad = pa.array([t is None or e is not None for t, e in zip(documents.to_pylist(), errors)])
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs, mask=bad) if len(bad) else lists
+    return pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], names=["nodes", "error"])
 
-def _tagged(document: Column) -> Column:
-    """The document with every text token tagged. Escaped quotes and backslashes are spelled as code
-    points first, so that each remaining quote begins or ends a token."""
-    plain = F.replace(F.replace(document, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
-    return F.btrim(F.regexp_replace(plain, '"([^"]*)"', f'"{_TAG}$1"'), F.lit(" \t\r\n"))
 
+def _parse(document: Column) -> Column:
+    return F.arrow_udf(_parsed, f"struct<nodes {_NODES}, error string>")(document)
 
-def _shown(raw: Column) -> Column:
-    """JSON text of a tagged raw value. Nested text is compact, so an opening quote always follows
-    one of ``{[,:`` and a closing one is never followed by the tag."""
-    return (F.when(raw.isNull(), F.lit("null"))
-            .when(F.startswith(raw, F.lit(_TAG)), _quoted(F.substring(raw, F.lit(2), F.length(raw))))
-            .when(_is_container(raw), F.regexp_replace(raw, f'([\\[{{,:])"{_TAG}', '$1"'))
-            .otherwise(raw))
 
+def json_nodes(document: Column) -> Column:
+    """One row per value in pre-order, null for a malformed document or null: key (null for list items and the whole), path (JSON pointer), kind
+    (object, list, string, number, true, false, null), start and end in bytes, text (of a scalar, strings decoded), depth, and more."""
+    return _parse(document)["nodes"]
 
-def _is_container(raw: Column) -> Column:
-    return F.coalesce(F.substring(raw, 1, 1).isin("{", "["), F.lit(False))
 
+def json_error(document: Column) -> Column:
+    """What keeps a text from being one JSON document; null for a document, and for null."""
+    return _parse(document)["error"]
 
-def _is_object(raw: Column) -> Column:
-    return F.coalesce(F.startswith(raw, F.lit("{")), F.lit(False))
 
+def split_malformed(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``column`` is a document (or null), and the others with their ``json_error``."""
+    marked = df.withColumn("json_error", json_error(F.col(column)))
+    return marked.where(F.col("json_error").isNull()).drop("json_error"), marked.where(F.col("json_error").isNotNull())
 
-def _is_list(raw: Column) -> Column:
-    return F.coalesce(F.startswith(raw, F.lit("[")), F.lit(False))
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` evaluated once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-def _children(raw: Column) -> Column:
-    """Direct children of a tagged container in document order, as ``array<struct<key,at,raw>>``:
-    members of an object have a key, items of a list a position."""
-    fields = F.transform_keys(F.from_json(raw, "map<string,string>", _STRICT),
-                              lambda k, _: F.substring(k, F.lit(2), F.length(k)))
-    members = F.transform(F.map_entries(fields), lambda e: F.struct(
-        e["key"].alias("key"), F.lit(None).cast("int").alias("at"), e["value"].alias("raw")))
-    items = F.transform(F.from_json(raw, "array<string>", _STRICT), lambda v, i: F.struct(
-        F.lit(None).cast("string").alias("key"), i.alias("at"), v.alias("raw")))
-    return F.when(_is_object(raw), members).otherwise(items)
 
+def json_text(value: Column) -> Column:
+    """JSON text of a column of any type, nulls included."""
+    wrapped = F.to_json(F.array(value), {"ignoreNullFields": "false"})
+    return _let(wrapped, lambda w: F.substring(w, F.lit(2), F.length(w) - 2))
 
-def _path(above: Column, node: Column) -> Column:
-    """JSON pointer of a child."""
-    name = F.replace(F.replace(node["key"], F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
-    return F.concat(above, F.lit("/"), F.coalesce(name, node["at"].cast("string")))
 
+def literal_json(value) -> Column:
+    """JSON text of a Python value, or of a column."""
+    return json_text(value) if isinstance(value, Column) else F.lit(json.dumps(value, separators=(",", ":")))
 
-def _too_deep() -> Column:
-    return F.raise_error(F.lit("a document has more levels than the depth given; see json_depth"))
 
+def _cut(data: Column, start: Column, end: Column) -> Column:
+    """Text of a stretch of the document's bytes."""
+    return F.substring(data, start + 1, end - start).cast("string")
 
-def _may_hold(keys: list[str], wild: bool) -> Callable[[Column], Column]:
-    """Test whether a tagged container can hold one of the keys further down. Exact for plain keys;
-    other keys, and text with code point escapes, are always opened."""
-    if not all(re.fullmatch(r"[ !#-\[\]-~]*", k) for k in keys):
-        return lambda raw: F.lit(True)
 
-    def test(raw: Column) -> Column:
-        found = F.contains(raw, F.lit("\\u"))
-        for key in keys:
-            here = (F.contains(F.lower(raw), F.lit(key.lower())) if wild
-                    else F.contains(raw, F.lit(f'"{_TAG}{key}":')))
-            found = found | here
-        return found
-    return test
+def _value(data: Column, node: Column) -> Column:
+    return _cut(data, node["start"], node["end"])
 
 
 def _key_test(keys: list[str], wild: bool) -> Callable[[Column], Column]:
-    def test(key: Column) -> Column:
+    def test(node: Column) -> Column:
         if wild:
-            hits = [F.contains(F.lower(key), F.lit(k.lower())) for k in keys]
-            hit = hits[0]
-            for other in hits[1:]:
-                hit = hit | other
+            hit = F.lit(False)
+            for k in keys:
+                hit = hit | F.contains(F.lower(node["key"]), F.lit(k.lower()))
         else:
-            hit = key.isin(*keys)
-        return F.coalesce(hit, F.lit(False))
+            hit = node["key"].isin(*keys)
+        return F.coalesce(hit, F.lit(False)) & ~node["shadowed"]
     return test
 
 
-def _open(document: Column, body: Callable[[Column], Column], otherwise: Column,
-          may_hold: Callable[[Column], Column] | None = None) -> Column:
-    """``body`` over the tagged root when it is a container that may matter, else ``otherwise``."""
-    container = F.coalesce(document.rlike("^\\s*[\\[{]"), F.lit(False))
-    wanted = container if may_hold is None else container & may_hold(document)
-    return F.when(wanted, _let(_tagged(document), body)).otherwise(otherwise)
-
+def _matches(document: Column, keys: list[str], wild: bool) -> Column:
+    return F.filter(json_nodes(document), _key_test(keys, wild))
 
-def _root_may_hold(keys: list[str], wild: bool) -> Callable[[Column], Column]:
-    """Like ``_may_hold`` for the untagged document, whose spacing is free."""
-    if not all(re.fullmatch(r"[ !#-\[\]-~]*", k) for k in keys):
-        return lambda doc: F.lit(True)
 
-    def test(doc: Column) -> Column:
-        found = F.contains(doc, F.lit("\\"))
-        for key in keys:
-            found = found | (F.contains(F.lower(doc), F.lit(key.lower())) if wild else F.contains(doc, F.lit(key)))
-        return found
-    return test
-
-
-def _collect(raw: Column, path: Column, found, emit, descend, depth: int) -> Column:
-    """``found(node, path)`` (an array) of every node below a container for which ``emit`` holds, in
-    pre-order; a hit is also descended into."""
-    def visit(node: Column) -> Column:
-        here = _path(path, node)
-        hit = found(node, here)
-        deeper = _collect(node["raw"], here, found, emit, descend, depth - 1) if depth > 1 else _too_deep()
-        with_hit = F.concat(F.when(emit(node), hit).otherwise(F.slice(hit, 1, 0)), deeper) if depth > 1 else deeper
-        return F.when(descend(node), with_hit).otherwise(hit)
-
-    relevant = F.filter(_children(raw), lambda node: emit(node) | descend(node))
-    return F.flatten(F.transform(relevant, visit))
-
-
-def _count(raw: Column, emit, descend, depth: int) -> Column:
-    """Number of nodes below a container for which ``emit`` holds."""
-    def add(total: Column, node: Column) -> Column:
-        deeper = _count(node["raw"], emit, descend, depth - 1) if depth > 1 else _too_deep().cast("int")
-        return total + F.when(emit(node), 1).otherwise(0) + F.when(descend(node), deeper).otherwise(0)
-
-    return F.aggregate(_children(raw), F.lit(0), add)
-
-
-def _found(node: Column, path: Column) -> Column:
-    return F.array(F.struct(node["key"].alias("key"), path.alias("path"), node["raw"].alias("raw")))
-
-
-def _matches(document: Column, keys: list[str], wild: bool, depth: int, found=_found, kind: str = _FOUND) -> Column:
-    hit, may_hold = _key_test(keys, wild), _may_hold(keys, wild)
-    return _open(document,
-                 lambda raw: _collect(raw, F.lit(""), found, lambda n: hit(n["key"]),
-                                      lambda n: _is_container(n["raw"]) & may_hold(n["raw"]), depth),
-                 F.array().cast(kind), _root_may_hold(keys, wild))
-
-
-def _enters_for_counts(node: Column) -> Column:
-    """Counting does not go into a list that sits directly in a list."""
-    return _is_container(node["raw"]) & ~(node["key"].isNull() & _is_list(node["raw"]))
-
-
-def lookup(document: Column, key: str, *, wild: bool = False, depth: int = DEFAULT_DEPTH) -> Column:
-    """Every value of a key as ``array<struct<key,path,value>>`` in pre-order; value is JSON text.
+def lookup(document: Column, key: str, *, wild: bool = False) -> Column:
+    """Every value of a key as ``array<struct<key,path,value>>`` in pre-order; value is JSON text as it stands in the document.
     ``wild`` matches any key that contains the given text, whatever its case."""
-    found = _matches(document, [key], wild, depth)
-    return F.transform(found, lambda n: F.struct(n["key"].alias("key"), n["path"].alias("path"),
-                                                 _shown(n["raw"]).alias("value")))
+    data = document.cast("binary")
+    return F.transform(_matches(document, [key], wild), lambda n: F.struct(
+        n["key"].alias("key"), n["path"].alias("path"), _value(data, n).alias("value")))
 
 
-def lookup_with_keys(document: Column, key: str, *, wild: bool = False, depth: int = DEFAULT_DEPTH) -> Column:
+def lookup_with_keys(document: Column, key: str, *, wild: bool = False) -> Column:
     """Map from each key found to the list of its values."""
-    found = _matches(document, [key], wild, depth)
-
-    def grouped(nodes: Column) -> Column:
-        names = F.array_distinct(F.transform(nodes, lambda n: n["key"]))
+    def grouped(found: Column) -> Column:
+        names = F.array_distinct(F.transform(found, lambda n: n["key"]))
         return F.map_from_entries(F.transform(names, lambda name: F.struct(
-            name, F.transform(F.filter(nodes, lambda n: n["key"] == name), lambda n: _shown(n["raw"])))))
+            name, F.transform(F.filter(found, lambda n: n["key"] == name), lambda n: n["value"]))))
 
-    return _let(found, grouped)
+    return _let(lookup(document, key, wild=wild), grouped)
 
 
-def all_keys(document: Column, *, depth: int = DEFAULT_DEPTH) -> Column:
+def all_keys(document: Column) -> Column:
     """All keys in pre-order, repeats included."""
-    return _open(document,
-                 lambda raw: _collect(raw, F.lit(""), lambda n, _: F.array(n["key"]), lambda n: n["key"].isNotNull(),
-                                      lambda n: _is_container(n["raw"]), depth),
-                 F.array().cast("array<string>"))
+    keyed = F.filter(json_nodes(document), lambda n: n["key"].isNotNull() & ~n["shadowed"])
+    return F.transform(keyed, lambda n: n["key"])
 
 
-def key_count(document: Column, key: str, *, depth: int = DEFAULT_DEPTH) -> Column:
+def key_count(document: Column, key: str) -> Column:
     """Occurrences of a key with a value other than null; lists inside lists are not entered."""
-    hit, may_hold = _key_test([key], False), _may_hold([key], False)
-    return _open(document,
-                 lambda raw: _count(raw, lambda n: hit(n["key"]) & n["raw"].isNotNull(),
-                                    lambda n: _enters_for_counts(n) & may_hold(n["raw"]), depth),
-                 F.lit(0), _root_may_hold([key], False)).cast("bigint")
-
-
-def _equals(value) -> Callable[[Column], Column]:
-    """Test a tagged raw value against a Python scalar, list or dict."""
-    if value is None:
-        return lambda raw: raw.isNull()
-    if isinstance(value, bool):
-        test = lambda raw: raw == F.lit("true" if value else "false")
-    elif isinstance(value, (int, float)):
-        test = lambda raw: _same_number(raw, value)
-    elif isinstance(value, str):
-        test = lambda raw: raw == F.lit(_TAG + value)
-    else:
-        wanted = F.to_json(F.parse_json(F.lit(json.dumps(value))))
-        test = lambda raw: F.when(_is_container(raw), F.to_json(F.parse_json(_shown(raw))) == wanted)
-    return lambda raw: F.coalesce(test(raw), F.lit(False))
+    hit = _key_test([key], False)
+    return _size(F.filter(json_nodes(document), lambda n: hit(n) & (n["kind"] != "null") & ~n["in_lists"]))
+
+
+def _size(found: Column) -> Column:
+    return F.when(found.isNotNull(), F.size(found)).cast("bigint")
+
 
+def _equals(data: Column, value) -> Callable[[Column], Column]:
+    """Test a node against a Python scalar, list or dict."""
+    if value is None or isinstance(value, bool):
+        word = {None: "null", True: "true", False: "false"}[value]
+        return lambda n: n["kind"] == word
+    if isinstance(value, str):
+        return lambda n: (n["kind"] == "string") & (n["text"] == F.lit(value))
+    if isinstance(value, (int, float)):
+        return lambda n: F.when(n["kind"] == "number", _same_number(n["text"], value)).otherwise(False)
+    kind = "object" if isinstance(value, dict) else "list"
+    wanted = F.to_json(F.parse_json(F.lit(json.dumps(value))))
+    return lambda n: F.when(n["kind"] == kind, F.coalesce(F.to_json(F.try_parse_json(_value(data, n))) == wanted, F.lit(False))).otherwise(False)
 
-def _same_number(raw: Column, value: int | float) -> Column:
+
+def _same_number(text: Column, value: int | float) -> Column:
     """Numbers are equal by value (1 and 1.0 are), compared as whole numbers where both are."""
-    fractional = raw.rlike("^-?[0-9]+[.eE]")
+    fractional = text.rlike("[.eE]")
+    if value != value or value in (float("inf"), float("-inf")):
+        return F.lit(False)
     if value != int(value):
-        return fractional & (raw.try_cast("double") == F.lit(float(value)))
-    same = raw == F.lit(str(int(value)))
+        return fractional & (text.try_cast("double") == F.lit(float(value)))
+    same = text == F.lit(str(int(value)))
     if float(value) == int(value):
-        same = same | (fractional & (raw.try_cast("double") == F.lit(float(value))))
+        same = same | (fractional & (text.try_cast("double") == F.lit(float(value))))
+        if not value:
+            same = same | (text == "-0")
     return same
 
 
-def value_count(document: Column, value, *, depth: int = DEFAULT_DEPTH) -> Column:
+def _value_hits(document: Column, value) -> tuple[Column, Callable[[Column], Column]]:
+    """Nodes, and the test for those that hold the value under a key or are it as a list item. Objects and lists in a list are
+    searched (a list in a list is not), but not compared."""
+    equal = _equals(document.cast("binary"), value)
+    return json_nodes(document), lambda n: (~n["shadowed"] & ~n["in_lists"] & (n["parent"] >= 0)
+                                            & (n["key"].isNotNull() | ~n["kind"].isin("object", "list")) & equal(n))
+
+
+def value_count(document: Column, value) -> Column:
     """Occurrences of a value under keys and as list items; lists inside lists are not entered."""
-    equal = _equals(value)
-    return _open(document, lambda raw: _count(raw, lambda n: equal(n["raw"]), _enters_for_counts, depth),
-                 F.lit(0)).cast("bigint")
+    nodes, hit = _value_hits(document, value)
+    return _size(F.filter(nodes, hit))
 
 
-def value_parents(document: Column, value, *, depth: int = DEFAULT_DEPTH) -> Column:
-    """Each object with the value directly under one of its keys, once, as
-    ``array<struct<path,parent>>``; parent is JSON text."""
-    equal = _equals(value)
+def value_parents(document: Column, value) -> Column:
+    """Each object with the value directly under one of its keys, once, as ``array<struct<path,parent>>`` in pre-order; parent is JSON text."""
+    nodes, hit = _value_hits(document, value)
+    data = document.cast("binary")
 
-    def holds(raw: Column) -> Column:
-        return F.when(_is_object(raw), F.exists(_children(raw), lambda c: equal(c["raw"]))).otherwise(False)
+    def parents(all_: Column) -> Column:
+        owners = F.array_sort(F.array_distinct(F.transform(F.filter(all_, lambda n: hit(n) & n["key"].isNotNull()), lambda n: n["parent"])))
+        return F.transform(owners, lambda i: _let(F.get(all_, i), lambda n: F.struct(n["path"].alias("path"), _value(data, n).alias("parent"))))
 
-    def search(raw: Column) -> Column:
-        root = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit("").alias("path"), raw.alias("raw")))
-        below = _collect(raw, F.lit(""), _found, lambda n: holds(n["raw"]), _enters_for_counts, depth)
-        return F.concat(F.filter(root, lambda n: holds(n["raw"])), below)
+    return _let(nodes, parents)
 
-    found = _open(document, search, F.array().cast(_FOUND))
-    return F.transform(found, lambda n: F.struct(n["path"].alias("path"), _shown(n["raw"]).alias("parent")))
 
+def value_occurrences(df: DataFrame, column: str, value) -> tuple[DataFrame, DataFrame]:
+    """Over all documents of a table: the number of occurrences of a value (one row: occurrences), and the objects that hold it, one
+    row each (the other columns, path, parent)."""
+    total = df.agg(F.coalesce(F.sum(value_count(F.col(column), value)), F.lit(0)).cast("bigint").alias("occurrences"))
+    held = df.withColumn("found", value_parents(F.col(column), value))
+    rest = [c for c in df.columns if c != column]
+    return total, held.select(*rest, F.explode("found").alias("found")).select(*rest, "found.path", "found.parent")
 
-def _rebuilt(raw: Column, path: Column, keep, text_of, depth: int) -> Column:
-    """JSON text of a container with its children filtered by ``keep`` and written by ``text_of``."""
-    kids = _children(raw)
-    if keep is not None:
-        kids = F.filter(kids, keep)
 
-    def written(node: Column) -> Column:
-        text = text_of(node, _path(path, node), depth)
-        label = F.when(node["key"].isNull(), F.lit("")).otherwise(F.concat(_quoted(node["key"]), F.lit(":")))
-        return F.concat(label, text)
+def _splice(data: Column, edits: Column, start: Column, end: Column) -> Column:
+    """The stretch of bytes as text, with edits (start, end, text; in order, apart) put in."""
+    def put(ordered: Column) -> Column:
+        starts = F.concat(F.array(start), F.transform(ordered, lambda e: e["end"]))
+        kept = F.transform(ordered, lambda e, i: F.concat(_cut(data, F.get(starts, i), e["start"]), e["text"]))
+        return F.concat(F.array_join(kept, ""), _cut(data, F.element_at(starts, -1), end))
 
-    opening = F.substring(raw, 1, 1)
-    closing = F.when(_is_object(raw), F.lit("}")).otherwise(F.lit("]"))
-    return F.concat(opening, F.array_join(F.transform(kids, written), ","), closing)
+    return _let(edits, put)
 
 
-def _deeper(node: Column, path: Column, keep, text_of, depth: int) -> Column:
-    if depth > 1:
-        return _rebuilt(node["raw"], path, keep, text_of, depth - 1)
-    return _too_deep().cast("string")
+def _outermost(found: Column) -> Column:
+    """Of nodes in pre-order, those that lie in no other."""
+    return F.aggregate(found, F.slice(found, 1, 0), lambda kept, n: F.when(
+        (F.size(kept) == 0) | (F.element_at(kept, -1)["end"] <= n["start"]), F.concat(kept, F.array(n))).otherwise(kept))
 
 
-def update(document: Column, key: str, value, *, depth: int = DEFAULT_DEPTH) -> Column:
-    """Set every occurrence of a key to one value (a Python value or a column). Never adds the key."""
-    hit, may_hold, text = _key_test([key], False), _may_hold([key], False), literal_json(value)
+def _edited(document: Column, found: Column, edit: Callable[[Column], Column]) -> Column:
+    """The document with the edits (struct of start, end, text) of the outermost nodes found; unchanged where there is none."""
+    data = document.cast("binary")
+    return F.when(F.size(found) > 0, _splice(data, F.transform(_outermost(found), edit), F.lit(0), F.octet_length(document))).otherwise(document)
 
-    def text_of(node: Column, path: Column, d: int) -> Column:
-        return (F.when(hit(node["key"]), text)
-                .when(_is_container(node["raw"]) & may_hold(node["raw"]), _deeper(node, path, None, text_of, d))
-                .otherwise(_shown(node["raw"])))
 
-    return _open(document, lambda raw: _rebuilt(raw, F.lit(""), None, text_of, depth), document,
-                 _root_may_hold([key], False))
+def _edit(start: Column, end: Column, text: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"), text.alias("text"))
 
 
-def update_each(document: Column, key: str, values, *, depth: int = DEFAULT_DEPTH) -> Column:
+def update(document: Column, key: str, value) -> Column:
+    """Set every occurrence of a key to one value (a Python value or a column). Never adds the key."""
+    text = literal_json(value)
+    return _edited(document, _matches(document, [key], False), lambda n: _edit(n["start"], n["end"], text))
+
+
+def update_each(document: Column, key: str, values) -> Column:
     """Give the occurrences of a key the listed values in pre-order; the last value repeats.
 
-    ``values`` is a list or an array column. An occurrence inside a replaced value uses up an item of
-    the list as well, although it is gone from the result.
+    ``values`` is a list or an array column; an empty or null array leaves the document unchanged. An occurrence inside a replaced value
+    uses up an item of the list as well, although it is gone from the result.
     """
     if isinstance(values, Column):
         texts = F.transform(values, json_text)
@@ -326,80 +332,56 @@ def update_each(document: Column, key: str, values, *, depth: int = DEFAULT_DEPT
         texts = F.array(*[literal_json(v) for v in values])
     else:
         raise ValueError("values must be a non-empty list or an array column")
-    hit, may_hold = _key_test([key], False), _may_hold([key], False)
-    paths = _matches(document, [key], False, depth, lambda n, path: F.array(path), "array<string>")
-
-    def edited(plan: Column) -> Column:
-        def text_of(node: Column, path: Column, d: int) -> Column:
-            # places count from 1; past the known ones position 0 becomes the last value
-            place = F.array_position(plan["paths"], path).cast("int")
-            nth = F.coalesce(F.nullif(place, F.lit(0)), F.size(plan["texts"]))
-            return (F.when(hit(node["key"]), F.element_at(plan["texts"], nth))
-                    .when(_is_container(node["raw"]) & may_hold(node["raw"]), _deeper(node, path, None, text_of, d))
-                    .otherwise(_shown(node["raw"])))
-
-        return _open(document, lambda raw: _rebuilt(raw, F.lit(""), None, text_of, depth), document,
-                     _root_may_hold([key], False))
-
-    # only the occurrences before the repeating last value need their place known
-    plan = _let(texts, lambda t: F.struct(t.alias("texts"), F.slice(paths, F.lit(1), F.size(t)).alias("paths")))
-    return _let(plan, edited)
-
 
-def delete(document: Column, key: str, *, depth: int = DEFAULT_DEPTH) -> Column:
-    """The document without the key, at any depth."""
-    hit, may_hold = _key_test([key], False), _may_hold([key], False)
+    def numbered(both: Column) -> Column:
+        last = F.size(both["texts"]) - 1
+        return F.transform(both["found"], lambda n, i: F.struct(
+            n["start"].alias("start"), n["end"].alias("end"), F.get(both["texts"], F.least(i, last)).alias("text")))
 
-    def keep(node: Column) -> Column:
-        return ~hit(node["key"])
+    # functions in Python can't stand inside a lambda, so the matches go in with the texts
+    both = F.struct(_matches(document, [key], False).alias("found"), texts.alias("texts"))
+    return _edited(document, F.when(F.size(texts) > 0, _let(both, numbered)), lambda n: _edit(n["start"], n["end"], n["text"]))
 
-    def text_of(node: Column, path: Column, d: int) -> Column:
-        return (F.when(_is_container(node["raw"]) & may_hold(node["raw"]), _deeper(node, path, keep, text_of, d))
-                .otherwise(_shown(node["raw"])))
 
-    return _open(document, lambda raw: _rebuilt(raw, F.lit(""), keep, text_of, depth), document,
-                 _root_may_hold([key], False))
+def delete(document: Column, key: str) -> Column:
+    """The document without the key, at any depth. A member goes with the comma before it, one that leads its object with the comma after it."""
+    found = F.filter(json_nodes(document), lambda n: F.coalesce(n["key"] == key, F.lit(False)))
+    return _edited(document, found, lambda n: F.when(n["leads"], _edit(n["from_"], F.coalesce(n["after"], n["end"]), F.lit("")))
+                   .otherwise(_edit(n["before"], n["end"], F.lit(""))))
 
 
 def alter(document: Column, key: str | list[str], callback: Callable[..., Column], *, parameters: list | None = None,
-          conversion: Callable[[Column], Column] | None = None, wild: bool = False,
-          depth: int = DEFAULT_DEPTH) -> Column:
+          conversion: Callable[[Column], Column] | None = None, wild: bool = False) -> Column:
     """Replace the value of each occurrence of a key (or of several) by a function of it.
 
-    ``callback`` gets the value as a variant column, or what ``conversion`` made of it, followed by
-    ``parameters``, and returns a column of any type. Inner occurrences are altered before the outer
-    one sees them, each exactly once.
+    ``callback`` gets the value as a variant column, or what ``conversion`` made of it, followed by ``parameters``, and returns a column of any
+    type. Inner occurrences are altered before the outer one sees them, each exactly once.
     """
     if callback is None:
         raise ValueError("a callback is needed")
     keys = [key] if isinstance(key, str) else list(key)
     if not keys:
         raise ValueError("at least one key is needed")
-    hit, may_hold = _key_test(keys, wild), _may_hold(keys, wild)
+    data = document.cast("binary")
 
     def changed(text: Column) -> Column:
         value = F.parse_json(text)
         value = value if conversion is None else conversion(value)
         return json_text(callback(value, *(parameters or [])))
 
-    def text_of(node: Column, path: Column, d: int) -> Column:
-        opened = _is_container(node["raw"]) & may_hold(node["raw"])
-        inner = F.when(opened, _deeper(node, path, None, text_of, d)).otherwise(_shown(node["raw"]))
-        return (F.when(~hit(node["key"]) & ~opened, _shown(node["raw"]))
-                .otherwise(_let(inner, lambda text: F.when(hit(node["key"]), changed(text)).otherwise(text))))
+    def one(done: Column, n: Column) -> Column:
+        inside = lambda e: (e["start"] >= n["start"]) & (e["end"] <= n["end"])
+        text = changed(_splice(data, F.filter(done, inside), n["start"], n["end"]))
+        return F.concat(F.filter(done, lambda e: ~inside(e)), F.array(_edit(n["start"], n["end"], text)))
 
-    return _open(document, lambda raw: _rebuilt(raw, F.lit(""), None, text_of, depth), document,
-                 _root_may_hold(keys, wild))
+    # inner values end before outer ones, so by their ends they are altered from the inside out
+    found = _matches(document, keys, wild)
+    spans = F.array_sort(F.transform(found, lambda n: F.struct(n["end"].alias("end"), (-n["start"]).alias("minus"), n["start"].alias("start"))))
+    none = F.array().cast("array<struct<start int, end int, text string>>")
+    edits = F.aggregate(spans, none, one)
+    return F.when(F.size(found) > 0, _splice(data, edits, F.lit(0), F.octet_length(document))).otherwise(document)
 
 
 def json_depth(document: Column) -> Column:
     """Number of nested objects and lists in a document: 0 for a scalar, whatever its size."""
-    no_escapes = F.regexp_replace(document, r"\\.", "")
-    brackets = F.regexp_replace(F.regexp_replace(no_escapes, '"[^"]*"', ""), r"[^\[\]{}]", "")
-    steps = F.split(brackets, "")
-    levels = F.aggregate(
-        steps, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
-        lambda s, c: _let(s["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0),
-                          lambda now: F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))),
-        lambda s: s["most"])
-    return levels
+    return F.array_max(F.transform(json_nodes(document), lambda n: n["depth"] + F.when(n["kind"].isin("object", "list"), 1).otherwise(0)))
