@@ -4,6 +4,6 @@ Sub-packages:
 
 * ``functions``  Column to Column: value generators, JSON search and edit
 * ``operators``  DataFrame to DataFrame: tables, key file, items, checks
-* ``sources``    schemas, tables, key files, JDBC, item tables
-* ``plans``      whole jobs and the sample configuration
+* ``sources``    table schemas, catalog tables, key files
+* ``plans``      configurations, whole jobs, registered queries
 """

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 DAY_TEXT = "yyyyMMdd"
 
-# Small vocabularies for free-form text.
+# Small vocabularies for free-form text.
 FIRST_NAMES = ["Ada", "Bela", "Chidi", "Dora", "Emil", "Farah", "Goran", "Hana", "Ines", "Jonas", "Kira", "Luis"]
 LAST_NAMES = ["Abara", "Berg", "Castro", "Dietz", "Eriksen", "Fontaine", "Gupta", "Horvat", "Ito", "Jansen", "Kowal"]
 MAIL_DOMAINS = ["example.com", "example.net", "example.org"]
@@ -69,6 +69,14 @@ def option_at(position: Column, options: list) -> Column:
     return F.element_at(F.array(*[F.lit(str(o)) for o in options]), (position + 1).cast("int"))
 
 
+def first_equal_option(position: Column, options: list) -> Column:
+    """Position of the first option equal to the one at ``position``."""
+    texts = [str(o) for o in options]
+    if len(set(texts)) == len(texts):
+        return position
+    return F.element_at(F.array(*[F.lit(texts.index(t)).cast("bigint") for t in texts]), (position + 1).cast("int"))
+
+
 def pick(base: Column, options: list, part: int = 0) -> Column:
     """One of ``options``, steady for a given base value."""
     return option_at(pick_position(base, len(options), part), options)
@@ -123,16 +131,12 @@ def day_at(position: Column, first) -> Column:
     return F.date_format(F.date_add(F.lit(parse_day(first)), position.cast("int")), DAY_TEXT)
 
 
-def day_in_range(base: Column, first, last) -> Column:
-    """Day text of the closed range picked by ``base``."""
-    return day_at(F.pmod(base.cast("bigint"), F.lit(day_count(first, last)).cast("bigint")), first)
-
-
 def as_timestamp(as_of) -> Column:
-    """The moment a job counts from: now when ``as_of`` is None, else the given time."""
+    """The moment a job counts from: now when ``as_of`` is None, else the given time. A text is taken as it reads, without a time
+    zone, so that results are the same in every session zone."""
     if as_of is None:
         return F.current_timestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
 
 
 def days_from(moment: Column, days: int) -> Column:

@@ -129,7 +129,9 @@ def _parsed(documents: pa.Array) -> pa.Array:
 
 
 def _parse(document: Column) -> Column:
-    return F.arrow_udf(_parsed, f"struct<nodes {_NODES}, error string>")(document)
+    # declared nondeterministic so that the optimizer doesn't merge the search of an edited document with the edit: it can't
+    # evaluate one Python function in the lambda expressions of another
+    return F.arrow_udf(_parsed, f"struct<nodes {_NODES}, error string>").asNondeterministic()(document)
 
 
 def json_nodes(document: Column) -> Column:
@@ -282,7 +284,8 @@ def value_parents(document: Column, value) -> Column:
 def value_occurrences(df: DataFrame, column: str, value) -> tuple[DataFrame, DataFrame]:
     """Over all documents of a table: the number of occurrences of a value (one row: occurrences), and the objects that hold it, one
     row each (the other columns, path, parent)."""
-    total = df.agg(F.coalesce(F.sum(value_count(F.col(column), value)), F.lit(0)).cast("bigint").alias("occurrences"))
+    counted = df.select(value_count(F.col(column), value).alias("n"))
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("occurrences"))
     held = df.withColumn("found", value_parents(F.col(column), value))
     rest = [c for c in df.columns if c != column]
     return total, held.select(*rest, F.explode("found").alias("found")).select(*rest, "found.path", "found.parent")

@@ -52,9 +52,10 @@ def distinct_keys(keys: DataFrame, spec: Mapping) -> DataFrame:
     return keys.select(*wanted, first.alias("first"), last.alias("last")).distinct()
 
 
-def keyed_rows(keys: DataFrame, spec: Mapping, as_of=None, distinct: bool = False) -> DataFrame:
-    """PK, SK, ADDITIONAL_PK (and ``as_of``), before attributes."""
-    keyed = partition_keys(keys, spec, as_of)
+def keyed_rows(keys: DataFrame, spec: Mapping, as_of=None, distinct: bool = False, partitions: int | None = None) -> DataFrame:
+    """PK, SK, ADDITIONAL_PK (and ``as_of``), before attributes. ``partitions`` deals the keys out before the fan-out, for key files
+    with few splits."""
+    keyed = partition_keys(keys if partitions is None else keys.repartition(partitions), spec, as_of)
     if distinct:
         keyed = distinct_keys(keyed, spec)
         range_spec = {**spec["SK"], "start": "first", "end": "last", "val": SK}
@@ -102,9 +103,10 @@ def attribute(props: Mapping) -> Column:
         return F.date_format(F.to_date(F.expr(props["val"]), props["format"]), props["format"])
     if kind == "relative_date":
         base = F.to_date(F.col(props["base_date_column"]), props["base_date_format"])
-        return F.unix_timestamp(F.date_add(base, int(props["delta_days"])))
+        # midnight UTC, whatever the session's zone
+        return F.unix_date(F.date_add(base, int(props["delta_days"]))).cast("bigint") * 86400
     if kind == "string":
-        return F.lit(str(props["str"]))
+        return F.lit(props["str"])
     if kind == "sql":
         return F.expr(props["attr_SQL"])
     raise ValueError(f"unknown attribute type {kind!r}")
@@ -115,14 +117,28 @@ def add_attributes(rows: DataFrame, spec: Mapping) -> DataFrame:
     return reduce(lambda df, name: df.withColumn(name, attribute(spec[name])), spec.get("Attrs") or [], rows)
 
 
-def amplify(keys: DataFrame, spec: Mapping, *, as_of=None, distinct: bool = False) -> DataFrame:
+def amplify(keys: DataFrame, spec: Mapping, *, as_of=None, distinct: bool = False, partitions: int | None = None) -> DataFrame:
     """Items of one family. ``distinct`` drops repeated keys before the fan-out."""
-    return add_attributes(keyed_rows(keys, spec, as_of, distinct), spec).drop(AS_OF)
+    return add_attributes(keyed_rows(keys, spec, as_of, distinct, partitions), spec).drop(AS_OF)
 
 
-def amplify_families(keys: DataFrame, config: Mapping, *, as_of=None, distinct: bool = False) -> dict[str, DataFrame]:
+def fan_out_of_keys(keys: DataFrame, spec: Mapping, *, as_of=None, distinct: bool = False) -> DataFrame:
+    """Number of items per partition key, counted on the keys without making the items."""
+    keyed = partition_keys(keys, spec, as_of)
+    if distinct:
+        keyed = distinct_keys(keyed, spec)
+    sk = spec["SK"]
+    n = F.lit(1)
+    if sk["type"] != "conf":
+        first, last = ("first", "last") if distinct else (f"to_timestamp({sk['start']})", f"to_timestamp({sk['end']})")
+        n = F.expr(f"size(sequence({first}, {last}, interval {int(sk['interval_in_days'])} day))")
+    return keyed.groupBy(PK).agg(F.sum(n.cast("bigint")).alias("n_items"))
+
+
+def amplify_families(keys: DataFrame, config: Mapping, *, as_of=None, distinct: bool = False,
+                     partitions: int | None = None) -> dict[str, DataFrame]:
     """One item frame per listed family."""
-    return {name: amplify(keys, config["PKdesc"][name], as_of=as_of, distinct=distinct)
+    return {name: amplify(keys, config["PKdesc"][name], as_of=as_of, distinct=distinct, partitions=partitions)
             for name in config["PKlst"]}
 
 
@@ -137,20 +153,15 @@ def item_columns(items: DataFrame) -> DataFrame:
     return items.drop(EXTRA)
 
 
-def last_per_key(items: DataFrame, keys: list[str] = KEY_COLUMNS, order_by: str | None = None) -> DataFrame:
-    """One row per item key: the one with the highest ``order_by`` (then the greatest row)."""
-    rest = [c for c in items.columns if c not in keys]
-    if not rest:
-        return items.distinct()
-    whole = F.struct(*rest)
-    rank = whole if order_by is None else F.struct(F.col(order_by), whole)
-    best = items.groupBy(*keys).agg(F.max_by(whole, rank).alias("best"))
-    return best.select(*[F.col(c) if c in keys else F.col("best")[c].alias(c) for c in items.columns])
+def put_items(stored: DataFrame, batch: DataFrame, order_by: str, keys: list[str] = KEY_COLUMNS) -> DataFrame:
+    """Stored items after a put: an item of the batch replaces the whole stored item of its key.
 
-
-def put_items(stored: DataFrame, batch: DataFrame, keys: list[str] = KEY_COLUMNS,
-              order_by: str | None = None) -> DataFrame:
-    """Stored items after a put: an item of the batch replaces the whole stored item of its key."""
-    new = last_per_key(item_columns(batch), keys, order_by)
-    kept = item_columns(stored).join(new.select(*keys), keys, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    Of several writes of one key the one with the highest ``order_by`` wins, a null is lowest, and at a tie the greatest JSON text of the row,
+    so the result doesn't depend on how rows are dealt out. Attributes may be of any type; those one side lacks are null.
+    """
+    both = item_columns(stored).withColumn("kw_side", F.lit(0)).unionByName(
+        item_columns(batch).withColumn("kw_side", F.lit(1)), allowMissingColumns=True)
+    rest = [c for c in both.columns if c not in keys]
+    rank = F.struct("kw_side", F.col(order_by), F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}))
+    best = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("kw_best"))
+    return best.select(*[F.col(c) if c in keys else F.col("kw_best")[c].alias(c) for c in both.columns if c != "kw_side"])

@@ -36,9 +36,10 @@ def primary_key_violations(df: DataFrame, key) -> DataFrame:
 
 
 def dependency_violations(df: DataFrame, key, dependent) -> DataFrame:
-    """Key values that come with more than one value of the dependent columns."""
+    """Key values that come with more than one value of the dependent columns; as in a count of distinct values, rows
+    where one of these is null don't count."""
     names, rest = _names(key), _names(dependent)
-    pairs = df.select(*names, *rest).distinct()
+    pairs = df.select(*names, *rest).dropna(subset=rest).distinct()
     return (pairs.groupBy(*names).agg(F.count(F.lit(1)).alias("n_values"))
             .where(F.col("n_values") > 1))
 

@@ -120,7 +120,7 @@ class Definitions:
             days = g.day_count(p["minVal"], p["maxVal"])
             return F.pmod(self._driver(name, ()), F.lit(days).cast("bigint"))
         if kind == WORD:
-            return g.pick_position(self.value(self._source(name)), len(p["options"]))
+            return g.first_equal_option(g.pick_position(self.value(self._source(name)), len(p["options"])), p["options"])
         return self.finished(name, None)
 
     def finished(self, name: str, decided: Column | None, source: Column | None = None) -> Column:
@@ -194,27 +194,31 @@ def synth_table(seeds: DataFrame, schema, config: Mapping, *, seed: str = SEED,
     """Distinct rows of a table: columns without a definition are null.
 
     Same result as ``synth_rows(...).distinct()``. Constants, nulls and columns that follow from
-    another column of the table are filled in after the shuffle.
+    another column of the table are filled in after the shuffle. Where the column's type can make different
+    values equal, the typed value itself is what ``distinct`` looks at.
     """
     defs = Definitions(config, chained=chained, as_of=as_of)
-    fields = as_schema(schema).fields
-    names = {f.name for f in fields}
-    varying = [f.name for f in fields if f.name in defs.keys and defs.varies(f.name)]
-    later = {n: defs.derived_from(n) for n in varying}
-    later = {n: s for n, s in later.items() if s in names and s in varying and defs.derived_from(s) is None}
-    deciding = [defs.deciding(n).alias(n) for n in varying if n not in later]
+    fields = {f.name: f for f in as_schema(schema).fields}
+    varying = [n for n in fields if n in defs.keys and defs.varies(n)]
+    merged = {n for n in varying if _may_merge(defs, n, fields[n])}
+    sources = {n: defs.derived_from(n) for n in varying if n not in merged}
+    later = {n: s for n, s in sources.items() if s in varying and s not in merged and defs.derived_from(s) is None}
+    first = [n for n in varying if n not in later]
+    deciding = [(_typed(defs.value(n), fields[n], defs.keys[n]) if n in merged else defs.deciding(n)).alias(n) for n in first]
     rows = defs.frame(seeds, seed).select(*(deciding or [F.lit(1).alias(SEED)])).distinct()
-    plain = {n: defs.finished(n, F.col(n)) if _has_position(defs, n) else F.col(n)
-             for n in varying if n not in later}
+    plain = {n: defs.finished(n, F.col(n)) if _has_position(defs, n) else F.col(n) for n in first if n not in merged}
     cells = []
-    for f in fields:
-        if f.name not in defs.keys:
+    for name, field in fields.items():
+        if name in merged:
+            cells.append(F.col(name))
+            continue
+        if name not in defs.keys:
             value = F.lit(None)
-        elif f.name in later:
-            value = defs.finished(f.name, None, plain[later[f.name]])
+        elif name in later:
+            value = defs.finished(name, None, plain[later[name]])
         else:
-            value = plain[f.name] if f.name in plain else defs.finished(f.name, None)
-        cells.append(_typed(value, f, defs.keys.get(f.name)).alias(f.name))
+            value = plain[name] if name in plain else defs.finished(name, None)
+        cells.append(_typed(value, field, defs.keys.get(name)).alias(name))
     return rows.select(*cells)
 
 
@@ -222,14 +226,13 @@ def _has_position(defs: Definitions, name: str) -> bool:
     return defs.is_ranged(name) or kind_of(name, defs.keys[name]) in (DATE_RANGE, WORD)
 
 
-def drop_base_columns(df: DataFrame, config: Mapping) -> DataFrame:
-    """The frame without its base columns."""
-    return df.drop(*(config.get("basemap") or {}))
-
-
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """Whole-row de-duplication."""
-    return df.distinct()
+def _may_merge(defs: Definitions, name: str, field: T.StructField) -> bool:
+    """Whether the column's type can make different generated values equal."""
+    if isinstance(field.dataType, T.StringType):
+        return False
+    if defs.is_ranged(name):
+        return not isinstance(field.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    return not (kind_of(name, defs.keys[name]) in (DATE_RANGE, COLUMN_DELTA) and isinstance(field.dataType, T.DateType))
 
 
 def build_keyfile(seeds: DataFrame, schemas: Mapping, config: Mapping, *, appname: str, version: str,

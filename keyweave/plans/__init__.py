@@ -1 +1 @@
-"""Whole jobs composed from the operators."""
+"""Configurations, whole jobs and registered queries."""

@@ -72,3 +72,20 @@ ITEMS = {
         },
     },
 }
+
+#: The sample with ranges wide enough for very many seed ids: no key repeats below two thousand million of them.
+WIDE_SYNTHESIS = {
+    **SYNTHESIS,
+    "basemap": {
+        "empid": {"minVal": 1, "maxVal": 2_000_000_000, "step": 1},
+        "deptid": {**_DEPARTMENT, "minVal": 1, "maxVal": 20_000_000},
+        "companyid": {**_COMPANY, "minVal": 1, "maxVal": 200_000},
+    },
+    "keymap": {
+        **SYNTHESIS["keymap"],
+        "employee_id": {**_EMPLOYEE, "minVal": 1, "maxVal": 2_000_000_000},
+        "department_id": {**_DEPARTMENT, "minVal": 1, "maxVal": 20_000_000},
+        "dept_id": {**_DEPARTMENT, "minVal": 1, "maxVal": 20_000_000},
+        "company_id": {**_COMPANY, "minVal": 1, "maxVal": 200_000},
+    },
+}

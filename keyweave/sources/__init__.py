@@ -1 +1 @@
-"""Readers, writers and schema resolving."""
+"""Reading and writing of catalog tables, key files and items."""
