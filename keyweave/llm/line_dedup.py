@@ -1,6 +1,6 @@
 """Recurring lines across documents, found by a log-template tree of fixed depth.
 
-A line's tokens are masked where they are variable by look (``VARIABLE``: digits, hexadecimal, addresses). The tree's path is the
+A line's tokens are masked where they are variable by look (``VARIABLE``: numbers, dates, hexadecimal, addresses). The tree's path is the
 number of tokens, then the leading ``DEPTH`` tokens; its leaf holds lines that may share a template. Below it, lines are
 compared by position: a line is cut into at most ``CHUNKS`` pieces (single tokens in a short line), and a template fixes a pair
 of pieces and generalises the others, as long as most tokens agree. It recurs if lines of it are in enough documents.
@@ -25,7 +25,7 @@ from keyweave.llm.shared import stored, text_bytes
 
 DEPTH = 3
 CHUNKS = 8
-VARIABLE = re.compile(rb"[^\s@]+@[^\s@]+|https?://\S+|\S*[0-9]\S*")
+VARIABLE = re.compile(rb"[0-9@]|://")
 _FIELDS = [("doc_id", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("first", pa.bool_()), ("leaf", pa.int64()),
            ("pieces", pa.list_(pa.int32()))]
 
@@ -50,12 +50,12 @@ def line_keys(line: bytes, min_tokens: int) -> tuple | None:
     """(number of tokens, leaf, hashes of the pieces) of a line, None for a shorter one."""
     if line.count(b" ") + 1 < min_tokens and len(line.split()) < min_tokens:
         return None
-    if VARIABLE.search(line):
-        line = VARIABLE.sub(b"<*>", line)
     tokens = line.split()
     n = len(tokens)
     if n < min_tokens:
         return None
+    if VARIABLE.search(line):
+        tokens = [b"<*>" if VARIABLE.search(t) else t for t in tokens]
     leaf = xxhash.xxh3_64_intdigest(b" ".join(tokens[:DEPTH]), n) - (1 << 63)
     m = min(n, CHUNKS)
     pieces = [_signed32(xxhash.xxh3_64_intdigest(b" ".join(tokens[i * n // m:(i + 1) * n // m]))) for i in range(m)]
@@ -136,7 +136,9 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
 def recurring_lines(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Lines to drop, one row per document: kw_id (doc_id, the least long for null), kw_lines (numbers, from 0)."""
     lines = stored(parsed_lines(docs, rule), "lines")
-    drop = (lines.join(templates(lines, rule), ["leaf", "pieces"])
+    # a written table, so that the join reads two plain exchanges and a line that very many documents have is split over tasks
+    found = stored(templates(lines, rule), "line-templates")
+    drop = (lines.join(found, ["leaf", "pieces"])
             .where((F.col("keeper.doc_id") != F.col("doc_id")) | (F.col("keeper.line") != F.col("line"))))
     return drop.groupBy(F.col("doc_id").alias("kw_id")).agg(F.array_sort(F.collect_set("line")).alias("kw_lines"))
 
