@@ -36,7 +36,8 @@ for _i in range(256):
     _c = chr(_i)
     _CLASS[_i] = (0 if _i in (32, 9, 10, 11, 12, 13) else 1 if "a" <= _c <= "z" else 2 if "A" <= _c <= "Z" else 3 if "0" <= _c <= "9"
                   else 5 if _i >= 128 else 6 if _c in ".,;:'\"-()?" else 4)
-_ODD = re.compile(rb"[^\w\s.,;:'\"()?\x80-\xff-]+(?=[\s.,]|$)")
+#: A run of unusual signs at the end of a word; tried once a run, however long.
+_ODD = re.compile(rb"(?<![^\w\s.,;:'\"()?\x80-\xff-])[^\w\s.,;:'\"()?\x80-\xff-]++(?=[\s.,]|$)")
 
 
 def statistics(text: bytes) -> tuple[float, ...]:
