@@ -6,6 +6,8 @@ built-in functions can do that, since their nesting is fixed when a query is pla
 these rows: searches filter them, edits splice text into the document at the positions found, so that what is
 not edited keeps its bytes.
 
+Several edits of a document go in columns one after another (``withColumn``), not into one another in a single expression.
+
 Only strict JSON is a document: one value, double quotes, no ``NaN``. For anything else searches give null and edits the text unchanged;
 ``json_error`` tells what is wrong with it and ``split_malformed`` parts such rows. Of a key that occurs twice in one object the last one
 counts; the others are neither found nor updated, and deleted along.
