@@ -15,13 +15,12 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyweave.llm.shared import stored, text_bytes
+from keyweave.llm.shared import ROW, stored, text_bytes, unwrapped, wrapped
 
 DEPTH = 3
 CHUNKS = 8
@@ -151,17 +150,13 @@ def drop_recurring_lines(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     Rows that share a doc_id are one document (a null id is one too): a line in both doesn't recur by that. An empty
     table gives an empty result; a column named n_lines_dropped is replaced, ``n_chars``, where there is one, is renewed for changed texts.
     """
-    if "n_lines_dropped" in docs.columns:
-        docs = docs.drop("n_lines_dropped")
-    edits = recurring_lines(docs, rule)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    joined = docs.withColumn("kw_key", key).join(edits, F.col("kw_key") == F.col("kw_id"), "left")
+    rows = wrapped(docs, "text", key.alias("kw_key"))
+    joined = rows.join(recurring_lines(docs, rule), F.col("kw_key") == F.col("kw_id"), "left")
     kept = F.array_join(F.filter(F.split(F.col("text"), "\n", -1), lambda x, i: ~F.array_contains(F.col("kw_lines"), i)), "\n")
-    changed = F.col("kw_lines").isNotNull() & F.col("text").isNotNull()
-    out = joined.withColumn("text", F.when(changed, kept).otherwise(F.col("text")))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    edited = F.col("kw_lines").isNotNull() & F.col("text").isNotNull()
+    new = {"text": F.when(edited, kept).otherwise(F.col("text")), "n_lines_dropped": F.when(edited, F.size("kw_lines")).otherwise(0).cast("long")}
     if "n_chars" in docs.columns:
-        at = docs.columns.index("n_chars")
-        columns[at] = (F.when(changed, F.length("text")).otherwise(F.col("n_chars"))
-                       .cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-    return out.select(*columns, F.when(changed, F.size("kw_lines")).otherwise(0).cast("long").alias("n_lines_dropped"))
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(edited, F.length(kept).cast(kind)).otherwise(F.col(ROW).getField("n_chars"))
+    return unwrapped(joined, docs, **new)

@@ -7,9 +7,10 @@
 3. Four registers are a band; documents that share one meet in a bucket. In every bucket the document that meets the most others
    overall is compared with each of the rest: a number of pairs linear in the bucket. A pair is passed on if its Jaccard estimate,
    corrected for chance collisions of compressed registers, is within ``SLACK`` of the threshold, and is then confirmed on the full sets.
-4. Buckets whose members are not in one component yet are searched again: the members outside the largest component are compared
-   with all others by estimate, in blocks of bounded size, and their best ``PARTNERS`` partners in other components are confirmed. This
-   is repeated with more partners until no candidate is left out, so that no link between components is lost.
+4. Buckets whose members are not in one component yet are searched to the end: members outside the bucket's largest component are
+   compared with all others, by estimate and then by full sets, in blocks of bounded size dealt out pair by pair. Documents that are in one
+   component by now are passed over, and a pair that meets in several bands is compared in the first. A block hands on
+   a link for each two components it joins, never its pairs, so results are linear in the size of a bucket and no link that joins components is lost.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyweave.llm.components import components
-from keyweave.llm.shared import lower_words, runs_by_key, slices, stored, table_batch
+from keyweave.llm.shared import lower_words, runs_by_key, slices, stored, table_batch, unwrapped, wrapped
 
 BANDS = 20
 LANES = 4
 REGISTERS = BANDS * LANES
 MANTISSA = 10
 SLACK = 0.2
-PARTNERS = 8
 BLOCK = 500
+BLOCK_SHINGLES = 1 << 21
 SKETCHED_BYTES = 32 << 20
 _RNG = np.random.default_rng(20240229)
 _XOR = _RNG.integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
@@ -141,8 +142,8 @@ class _Search:
         self.width, self.threshold = width, threshold
         self.sketched = stored(sketches(docs, width), "sketches")
         self.classes = stored(self.sketched.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-                              .groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
-        entries = self.classes.select("rep", F.posexplode("bands").alias("band", "key"))
+                              .groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("weight")), "classes")
+        entries = self.classes.select("rep", "weight", F.posexplode("bands").alias("band", "key"))
         sizes = stored(entries.groupBy("band", "key").agg(F.count("*").alias("size")).where(F.col("size") > 1), "buckets")
         self.entries = stored(entries.join(sizes, ["band", "key"]), "entries")
         degree = stored(self.entries.groupBy("rep").agg(F.sum("size").alias("degree")), "degrees")
@@ -168,75 +169,127 @@ class _Search:
         return stored(rows.mapInArrow(_confirm(self.width, self.threshold), "a long, b long"), "confirmed")
 
     def labelled(self, found: DataFrame) -> DataFrame:
-        """Entries of buckets with several components, with the component of each: rep, band, key, label, main (is it in the
-        bucket's largest component), size, outside (members not in that one)."""
+        """Entries of buckets with several components: rep, band, key, label (component), main (is it the bucket's largest), and in how many blocks
+        the main members and those outside are cut, ``n_main`` and ``n_out``."""
         labels = self.entries.join(found.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("label", F.coalesce("root", "rep"))
-        labels = stored(labels.select("rep", "band", "key", "size", "label"), "labels")
-        each = labels.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
-        open_ = stored(each.groupBy("band", "key").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top"))
-                       .where(F.col("labels") > 1).select("band", "key", F.col("top.label").alias("most"), F.col("top.n").alias("n_most")), "open")
+        labels = stored(labels.select("rep", "band", "key", "weight", "label"), "labels")
+        each = labels.groupBy("band", "key", "label").agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
+        blocks = lambda n, w: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(w / BLOCK_SHINGLES)).cast("int")
+        top = F.col("top")
+        open_ = stored(each.groupBy("band", "key").agg(F.count("*").alias("labels"), F.max(F.struct("n", "label", "w")).alias("top"),
+                                                       F.sum("n").alias("n"), F.sum("w").alias("w")).where(F.col("labels") > 1)
+                       .select("band", "key", top["label"].alias("most"), blocks(top["n"], top["w"]).alias("n_main"),
+                               blocks(F.col("n") - top["n"], F.col("w") - top["w"]).alias("n_out")), "open")
         return stored(labels.join(open_, ["band", "key"]).select(
-            "rep", "band", "key", "label", "size", (F.col("label") == F.col("most")).alias("main"), (F.col("size") - F.col("n_most")).alias("outside")), "open-entries")
+            "rep", "band", "key", "label", (F.col("label") == F.col("most")).alias("main"), "n_main", "n_out"), "open-entries")
 
-    def candidates(self, open_entries: DataFrame, partners: int) -> DataFrame:
-        """a, b, cut: pairs of different components by estimate, the best ``partners`` of each member in each block; cut says
-        that the block had more."""
-        n_out, n_main = (F.greatest(F.lit(1), F.ceil(c / BLOCK)).cast("int") for c in (F.col("outside"), F.col("size") - F.col("outside")))
-        small = F.col("size") <= 2 * BLOCK
+    def sets(self, reps: DataFrame) -> DataFrame:
+        """rep, bands and the shingle hashes, sorted, of some documents."""
+        rows = self.texts.join(reps, "rep").join(self.signs, "rep").select("rep", "bands", F.coalesce("text", F.lit("")).alias("text"))
+        return stored(rows.mapInArrow(_hashed_sets(self.width), "rep long, bands array<long>, hashes binary"), "sets")
+
+    def within(self, open_entries: DataFrame) -> DataFrame:
+        """Links a, b that join components within open buckets."""
         own = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
         upto = lambda n: F.sequence(F.lit(0), n - 1)
-        # members outside meet one another in blocks (i, j) with i <= j, and the main ones in blocks (i, n_out + j)
-        outside = F.transform(upto(n_out + n_main), lambda j: F.when(j < n_out, F.struct(F.least(own(n_out), j).alias("i"), F.greatest(own(n_out), j).alias("j")))
-                              .otherwise(F.struct(own(n_out).alias("i"), j.alias("j"))))
-        inside = F.transform(upto(n_out), lambda i: F.struct(i.alias("i"), (n_out + own(n_main)).alias("j")))
+        n_out, n_main = F.col("n_out"), F.col("n_main")
+        block = F.when(F.col("main"), n_out + own(n_main)).otherwise(own(n_out))
+        # members outside meet one another in places (i, j) with i <= j < n_out, and the main ones in places (i, j) with j >= n_out
+        outside = F.transform(upto(n_out + n_main), lambda j: F.when(j < n_out, F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
+                              .otherwise(F.struct(F.col("block").alias("i"), j.alias("j"))))
+        inside = F.transform(upto(n_out), lambda i: F.struct(i.alias("i"), F.col("block").alias("j")))
+        small = (n_out == 1) & (n_main == 1)
         place = F.when(small, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).when(F.col("main"), inside).otherwise(outside)
-        tasks = (open_entries.withColumn("at", F.explode(place)).select("rep", "band", "key", "label", F.col("at.i").alias("i"), F.col("at.j").alias("j"))
-                 .join(self.signs, "rep"))
         keys = ["band", "key", "i", "j"]
-        return (tasks.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-                .mapInArrow(_best_pairs(keys, partners, self.threshold / 100 - SLACK), "a long, b long, cut boolean")
-                .groupBy("a", "b").agg(F.max("cut").alias("cut")))
+        tasks = (open_entries.withColumn("block", F.when(small, 0).otherwise(block)).withColumn("at", F.explode(place))
+                 .select("rep", "band", "key", "label", "main", "block", F.col("at.i").alias("i"), F.col("at.j").alias("j")))
+        tasks = stored(tasks, "places").join(self.sets(open_entries.select("rep").distinct()), "rep")
+        return stored(tasks.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+                      .mapInArrow(_joins(keys, self.threshold), "a long, b long"), "joins")
 
     def links(self) -> DataFrame:
-        tested = self.stars()
-        links = self.confirmed(tested)
-        found, partners = components(links), PARTNERS
-        while True:
-            open_entries = self.labelled(found)
-            if open_entries.isEmpty():
-                return found
-            pairs = stored(self.candidates(open_entries, partners), "candidates")
-            # stars are tested as (member, head), candidates as (smaller, larger)
-            known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            fresh = stored(pairs.join(known, ["a", "b"], "left_anti").select("a", "b"), "fresh")
-            if not fresh.isEmpty():
-                tested = tested.unionByName(fresh)
-                more = self.confirmed(fresh)
-                if not more.isEmpty():
-                    links = links.unionByName(more)
-                    found = components(links)
-            if not pairs.where("cut").limit(1).count():
-                return found
-            partners *= 8
-
-
-def _best_pairs(keys: list[str], partners: int, least: float):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())])
-    equal_at_least = (least * (1 - COLLISION) + COLLISION) * REGISTERS
+        links = self.confirmed(self.stars())
+        found = components(links)
+        more = self.within(self.labelled(found))
+        return found if more.isEmpty() else components(links.unionByName(more))
+
+
+_SETS = pa.schema([("rep", pa.int64()), ("bands", pa.list_(pa.int64())), ("hashes", pa.binary())])
+
+
+def _hashed_sets(width: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SKETCHED_BYTES):
+                words, codes, cuts = lower_words(part.column("text"))
+                hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))[codes]
+                sets = [shingle_hashes(hashes[cuts[i]:cuts[i + 1]], width).tobytes() for i in range(len(part))]
+                yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("bands"), pa.array(sets, pa.binary())], schema=_SETS)
+
+    return run
+
+
+class _Block:
+    """Members of a bucket's block pair: which of them are in one component is kept up to date while links are found."""
+
+    def __init__(self, table: pa.Table, threshold: int):
+        main = table.column("main").to_numpy(zero_copy_only=False)
+        order = np.argsort(main, kind="stable")  # members outside the largest component first
+        self.outside = int((~main).sum())
+        self.rep, self.block = table.column("rep").to_numpy()[order], table.column("block").to_numpy()[order]
+        self.root = np.unique(table.column("label").to_numpy()[order], return_inverse=True)[1]
+        self.bands = np.array(table.column("bands").combine_chunks().flatten()).reshape(len(order), BANDS)[order]
+        self.signs = self.bands.view(np.uint16).reshape(len(order), REGISTERS)
+        raw = table.column("hashes").to_pylist()
+        self.sets = [np.frombuffer(raw[k], dtype=np.uint64) for k in order]
+        self.sizes = np.array([len(s) for s in self.sets])
+        self.band, self.apart = table.column("band")[0].as_py(), table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        self.threshold = threshold
+        self.least = ((threshold / 100 - SLACK) * (1 - COLLISION) + COLLISION) * REGISTERS
+
+    def near(self, i: int) -> np.ndarray:
+        """Later members that may be linked with member i and aren't in its component, the likeliest first."""
+        may = self.root[i + 1:] != self.root[i]
+        if self.apart:
+            may &= self.block[i + 1:] != self.block[i]
+        small, large = np.minimum(self.sizes[i + 1:], self.sizes[i]), np.maximum(self.sizes[i + 1:], self.sizes[i])
+        found = i + 1 + np.flatnonzero(may & (100 * small >= self.threshold * large))
+        equal = (self.signs[found] == self.signs[i]).sum(axis=1)
+        found, equal = found[equal >= self.least], equal[equal >= self.least]
+        if self.band and len(found):
+            first = ~(self.bands[found, :self.band] == self.bands[i, :self.band]).any(axis=1)
+            found, equal = found[first], equal[first]
+        return found[np.argsort(-equal, kind="stable")]
+
+    def linked(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` whose full sets are similar enough to that of member i."""
+        own = self.sets[i]
+        every = np.concatenate([self.sets[k] for k in others])
+        at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        starts = np.concatenate([[0], np.cumsum(self.sizes[others])[:-1]])
+        common = np.add.reduceat((own[at] == every).astype(np.int64), starts)
+        return others[100 * common >= self.threshold * (len(own) + self.sizes[others] - common)]
+
+    def joins(self) -> Iterator[tuple[int, int]]:
+        for i in range(self.outside):
+            rest, step = self.near(i), 8
+            while len(rest):
+                for k in self.linked(i, rest[:step]).tolist():
+                    if self.root[k] != self.root[i]:
+                        yield int(self.rep[i]), int(self.rep[k])
+                        self.root[self.root == self.root[k]] = self.root[i]
+                rest = rest[step:]
+                rest = rest[self.root[rest] != self.root[i]]
+                step = min(2 * step, 256)
+
+
+def _joins(keys: list[str], threshold: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for table in runs_by_key(batches, keys):
-            rep, label = table.column("rep").to_numpy(), table.column("label").to_numpy()
-            signs = np.array(table.column("bands").combine_chunks().flatten()).view(np.uint16).reshape(len(rep), REGISTERS)
-            for i in range(len(rep)):
-                equal = (signs == signs[i]).sum(axis=1)
-                equal[label == label[i]] = 0
-                near = np.flatnonzero(equal >= equal_at_least)
-                cut = len(near) > partners
-                if cut:
-                    near = near[np.lexsort((rep[near], -equal[near]))[:partners]]
-                out += [(int(min(rep[i], rep[k])), int(max(rep[i], rep[k])), cut) for k in near]
+            out += _Block(table, threshold).joins()
             if len(out) > 20_000:
                 yield table_batch(out, schema)
                 out = []
@@ -269,5 +322,6 @@ def without_near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80
     """The rows of ``docs``, with its columns, that ``near_duplicates`` keeps: of each group the document with the least doc_id, once. Rows
     without a doc_id stay, repeated as they are."""
     kept = near_duplicates(docs, width, threshold).where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("kw_kept")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("kw_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = wrapped(docs, F.col("doc_id").cast("long").alias("kw_id"))
+    named = rows.where(F.col("kw_id").isNotNull()).join(kept, F.col("kw_id") == F.col("kw_kept"), "left_semi").dropDuplicates(["kw_id"])
+    return unwrapped(named.unionByName(rows.where(F.col("kw_id").isNull())), docs)

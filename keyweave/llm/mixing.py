@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyweave.llm.shared import unwrapped, wrapped
+
 OTHER = "other"
 DIMENSIONS = ("source", "lang", "topic")
 
@@ -48,10 +50,10 @@ def _category(value: Column, named: Mapping[str, float]) -> Column:
 
 
 def in_cells(docs: DataFrame, targets: Targets, topic: Column) -> DataFrame:
-    """``docs`` with kw_source, kw_lang, kw_topic (the cell) and kw_tokens."""
+    """Whole rows of ``docs`` with doc_id, text, kw_source, kw_lang, kw_topic (the cell) and kw_tokens."""
     values = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic}
-    return docs.withColumns({**{f"kw_{d}": _category(values[d], getattr(targets, d)) for d in DIMENSIONS},
-                             "kw_tokens": token_count(F.col("text"))})
+    return wrapped(docs, "doc_id", "text", *[_category(values[d], getattr(targets, d)).alias(f"kw_{d}") for d in DIMENSIONS],
+                   token_count(F.col("text")).alias("kw_tokens"))
 
 
 def _shares(total: dict[str, float], named: Mapping[str, float]) -> dict[str, float]:
@@ -112,12 +114,12 @@ def uniform(doc_id: Column, text: Column, seed: int) -> Column:
 
 
 def with_probabilities(docs: DataFrame, targets: Targets, keep: float, topic: Column, seed: int = 1) -> DataFrame:
-    """``docs`` with kw_source, kw_lang, kw_topic, kw_tokens, kw_probability and kw_kept."""
+    """The rows of ``in_cells`` with kw_probability and kw_kept."""
     placed = in_cells(docs, targets, topic)
     shares = rake(cell_tokens(placed), targets, keep)
     keys = [f"kw_{d}" for d in DIMENSIONS]
     schema = T.StructType([*(T.StructField(k, T.StringType()) for k in keys), T.StructField("kw_probability", T.DoubleType())])
-    table = docs.sparkSession.createDataFrame([(*c, p) for c, p in sorted(shares.items())], schema)
+    table = placed.sparkSession.createDataFrame([(*c, p) for c, p in sorted(shares.items())], schema)
     joined = placed.join(F.broadcast(table), keys)  # as many rows as there are cells
     return joined.withColumn("kw_kept", uniform(F.col("doc_id"), F.col("text"), seed) < F.col("kw_probability"))
 
@@ -139,4 +141,4 @@ def mixture(docs: DataFrame, targets: Targets, keep: float = 0.5, topic: Column
 def mixed(docs: DataFrame, targets: Targets, keep: float = 0.5, topic: Column | None = None, seed: int = 1) -> DataFrame:
     """The kept rows of ``docs``, with its columns, under the rules of ``mixture``."""
     out = with_probabilities(docs, targets, keep, topic_of(F.col("text")) if topic is None else topic, seed)
-    return out.where("kw_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unwrapped(out.where("kw_kept"), docs)

@@ -34,6 +34,20 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW = "kw_row"
+
+
+def wrapped(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``columns`` of ``docs``, and its whole rows as a struct, so that no column of it can clash with a working one."""
+    return docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW))
+
+
+def unwrapped(df: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The rows of ``wrapped``, with the columns of ``docs``, some of them changed."""
+    return df.select(*[changed[c].alias(c) if c in changed else F.col(ROW).getField(c).alias(c) for c in docs.columns],
+                     *[v.alias(c) for c, v in changed.items() if c not in docs.columns])
+
+
 def crc_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32(doc_id as text) mod ``modulus`` is ``remainder``; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == remainder, F.lit(False))
