@@ -83,6 +83,22 @@ SQL = {
     "op1_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op5_line_dedup": r"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+        tokens AS (SELECT doc_id, line, list_transform(list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> ''),
+            lambda x: CASE WHEN regexp_matches(x, '[0-9@]|://') THEN '<*>' ELSE x END) AS t FROM lines),
+        cut AS (SELECT doc_id, line, len(t) AS n, least(len(t), 8) AS m, t[1:3] AS lead,
+            list_transform(range(0, least(len(t), 8)), lambda i: array_to_string(t[i * len(t) // least(len(t), 8) + 1 : (i + 1) * len(t) // least(len(t), 8)], ' ')) AS pieces
+            FROM tokens WHERE len(t) >= 3),
+        kinds AS (SELECT n, m, lead, pieces, count(DISTINCT doc_id) AS docs, min(doc_id) AS low, max(doc_id) AS high, min(row(doc_id, line)) AS first FROM cut GROUP BY ALL),
+        pairs AS (SELECT *, pieces[place + 1 : place + 2] AS pair FROM (SELECT *, unnest(range(0, m, 2)) AS place FROM kinds)),
+        heads AS (SELECT n, lead, place, pair, min(first) AS keeper, arg_min(pieces, first) AS head FROM pairs GROUP BY ALL),
+        members AS (SELECT p.*, keeper FROM pairs p JOIN heads USING (n, lead, place, pair)
+            WHERE list_sum(list_transform(range(0, m), lambda i: CASE WHEN pieces[i + 1] = head[i + 1] THEN (i + 1) * n // m - i * n // m ELSE 0 END)) >= 0.7::DOUBLE * n),
+        recurring AS (SELECT n, lead, place, pair FROM members GROUP BY ALL HAVING sum(docs) >= CASE WHEN n >= 10 THEN 2 ELSE 5 END AND min(low) < max(high)),
+        found AS (SELECT n, lead, pieces, min(keeper) AS keeper FROM members JOIN recurring USING (n, lead, place, pair) GROUP BY ALL),
+        gone AS (SELECT doc_id, line FROM cut JOIN found USING (n, lead, pieces) WHERE row(doc_id, line) <> keeper)
+        SELECT l.doc_id, coalesce(string_agg(raw, chr(10) ORDER BY l.line) FILTER (g.line IS NULL), '') AS text, count(g.line) AS n_lines_dropped
+        FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.line = g.line GROUP BY l.doc_id""",
     "op9_embedding_lsh": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
         links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
             WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
