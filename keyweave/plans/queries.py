@@ -163,8 +163,10 @@ QUERIES = {
     "gen_word_choice": _column("word"), "gen_fake_text": _column("person"), "gen_const_date": _column("fixed"), "gen_sql_expr": _column("sql", "INT"),
     "gen_null_column": _column("unknown", "DECIMAL(10,2)"),
     "synth_table": _table("department"), "synth_employee": _table("employee"), "synth_compat": _table("department", chained=False),
+    "distinct_rows": lambda s, d: synthesize.synth_rows(_read(s, d, "orders"), SCHEMAS["employee"], SYNTHESIS, seed="o_orderkey", as_of=AS_OF).distinct(),
     "synth_merged": _table("", COLUMNS, "sql INT, word STRING"), "synth_all": _all_tables, "build_keyfile": _keys,
-    "amp_pk": _pk, "amp_sk_conf": _sk({**PK1, "SK": {"type": "conf", "val": "concat(company_id, '#', training_id)"}}), "amp_sk_daterange": _sk(PK1),
+    "amp_pk": _pk,
+    "amp_additional_pk": lambda s, d: amplify.partition_keys(_keys(s, d), {"SQL": PK1["SQL"]}, AS_OF).select("empid", "ADDITIONAL_PK"), "amp_sk_conf": _sk({**PK1, "SK": {"type": "conf", "val": "concat(company_id, '#', training_id)"}}), "amp_sk_daterange": _sk(PK1),
     "attr_json": _attribute("attr1", PK1["attr1"]), "attr_audit_date": _attribute("create_time", PK1["create_time"]),
     "attr_relative_date": _attribute("expTm", PK1["expTm"]), "attr_string": _attribute("text", {"type": "string", "str": "fixed"}),
     "attr_sql": _attribute("sqltypeattr", PK1["sqltypeattr"]), "amp_families": _families, "amplify_items": items, "put_items": _put,
@@ -239,6 +241,8 @@ SQL = {
     "synth_table": f"SELECT DISTINCT department_id, costcenter, CAST(NULL AS VARCHAR) AS dept_name FROM ({_ORDERS})",
     "synth_employee": f"""SELECT DISTINCT employee_id, department_id AS dept_id, {_LEVEL} AS employee_level, '20240111' AS employment_start_dt,
         CAST(NULL AS VARCHAR) AS increment_dt FROM ({_ORDERS})""",
+    "distinct_rows": f"""SELECT DISTINCT employee_id, department_id AS dept_id, {_LEVEL} AS employee_level, '20240111' AS employment_start_dt,
+        CAST(NULL AS VARCHAR) AS increment_dt FROM ({_ORDERS})""",
     "synth_compat": """SELECT DISTINCT CAST(4000 + (10000 + o_orderkey % 10001) % 1001 AS VARCHAR) AS department_id,
         CAST(1000 + (4000 + o_orderkey % 1001) % 1001 AS VARCHAR) AS costcenter, CAST(NULL AS VARCHAR) AS dept_name FROM orders""",
     "synth_merged": f"""SELECT DISTINCT CAST(base // 2 AS INTEGER) AS sql,
@@ -250,6 +254,7 @@ SQL = {
         {_LEVEL} AS employee_employee_level, '20240111' AS employee_employment_start_dt, company_id::BIGINT AS company_id, training_id::BIGINT AS training_id,
         {_TRAINING} AS trainings_training_name, 'app' AS appname, '1' AS version, CAST(0 AS BIGINT) AS startingId, '20240101' AS dt FROM ({_CUSTOMERS})""",
     "amp_pk": f"SELECT empid, PK, ADDITIONAL_PK FROM ({_PKS})",
+    "amp_additional_pk": f"SELECT empid, 'NA' AS ADDITIONAL_PK FROM ({_CUSTOMERS})",
     "amp_sk_conf": f"SELECT empid, company_id || '#' || training_id AS SK FROM ({_PKS})",
     "amp_sk_daterange": f"SELECT empid, SK FROM ({_PKS}), ({_DAYS})",
     "attr_json": _one_item("""'{"employee_id": "' || split_part(PK, '-', 1) || '", "dept_id": "' || split_part(PK, '-', 2) || '", "status_update": "'
