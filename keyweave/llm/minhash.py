@@ -75,7 +75,7 @@ def _sketch(width: int):
         for batch in batches:
             for part in slices(batch, "text", SKETCHED_BYTES):
                 words, codes, cuts = lower_words(part.column("text"))
-                hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))[codes]
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words))[codes]
                 rows = []
                 for i, doc in enumerate(part.column("doc_id").to_pylist()):
                     own = hashes[cuts[i]:cuts[i + 1]]
@@ -222,7 +222,7 @@ def _hashed_sets(width: int):
         for batch in batches:
             for part in slices(batch, "text", SKETCHED_BYTES):
                 words, codes, cuts = lower_words(part.column("text"))
-                hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))[codes]
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words))[codes]
                 sets = [shingle_hashes(hashes[cuts[i]:cuts[i + 1]], width).tobytes() for i in range(len(part))]
                 yield pa.RecordBatch.from_arrays([part.column("rep"), part.column("bands"), pa.array(sets, pa.binary())], schema=_SETS)
 

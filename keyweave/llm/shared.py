@@ -91,19 +91,19 @@ def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordB
         start = stop
 
 
-def lower_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def lower_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words of the texts of a batch, A-Z lower-cased, cut at ASCII white space: the different words, the number of each
     word in order, and where each text begins (one more entry at the end)."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     cuts = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
     coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy().astype(np.int64)
-    words = coded.dictionary.to_pylist()
-    if "" in words:  # before leading and after trailing white space
-        full = codes != words.index("")
+    codes = coded.indices.to_numpy()
+    empty = pc.index(coded.dictionary, "").as_py()
+    if empty >= 0:  # before leading and after trailing white space
+        full = codes != empty
         cuts = np.concatenate([[0], np.cumsum(full)])[cuts]
         codes = codes[full]
-    return words, codes, cuts
+    return coded.dictionary, codes, cuts
 
 
 def runs_by_key(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
