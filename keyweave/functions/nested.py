@@ -6,7 +6,8 @@ built-in functions can do that, since their nesting is fixed when a query is pla
 these rows: searches filter them, edits splice text into the document at the positions found, so that what is
 not edited keeps its bytes.
 
-Several edits of a document go in columns one after another (``withColumn``), not into one another in a single expression.
+Every function parses its document anew; where several look at the same one, ``json_nodes`` goes into a column of its own and
+is given to each as ``nodes``. Several edits of a document go in columns one after another (``withColumn``), not into one another in a single expression.
 
 Only strict JSON is a document: one value, double quotes, no ``NaN``. For anything else searches give null and edits the text unchanged;
 ``json_error`` tells what is wrong with it and ``split_malformed`` parts such rows. Of a key that occurs twice in one object the last one
@@ -190,38 +191,42 @@ def _key_test(keys: list[str], wild: bool) -> Callable[[Column], Column]:
     return test
 
 
-def _matches(document: Column, keys: list[str], wild: bool) -> Column:
-    return F.filter(json_nodes(document), _key_test(keys, wild))
+def _nodes(document: Column, nodes: Column | None) -> Column:
+    return json_nodes(document) if nodes is None else nodes
 
 
-def lookup(document: Column, key: str, *, wild: bool = False) -> Column:
+def _matches(document: Column, keys: list[str], wild: bool, nodes: Column | None) -> Column:
+    return F.filter(_nodes(document, nodes), _key_test(keys, wild))
+
+
+def lookup(document: Column, key: str, *, wild: bool = False, nodes: Column | None = None) -> Column:
     """Every value of a key as ``array<struct<key,path,value>>`` in pre-order; value is JSON text as it stands in the document.
     ``wild`` matches any key that contains the given text, whatever its case."""
     data = document.cast("binary")
-    return F.transform(_matches(document, [key], wild), lambda n: F.struct(
+    return F.transform(_matches(document, [key], wild, nodes), lambda n: F.struct(
         n["key"].alias("key"), n["path"].alias("path"), _value(data, n).alias("value")))
 
 
-def lookup_with_keys(document: Column, key: str, *, wild: bool = False) -> Column:
+def lookup_with_keys(document: Column, key: str, *, wild: bool = False, nodes: Column | None = None) -> Column:
     """Map from each key found to the list of its values."""
     def grouped(found: Column) -> Column:
         names = F.array_distinct(F.transform(found, lambda n: n["key"]))
         return F.map_from_entries(F.transform(names, lambda name: F.struct(
             name, F.transform(F.filter(found, lambda n: n["key"] == name), lambda n: n["value"]))))
 
-    return _let(lookup(document, key, wild=wild), grouped)
+    return _let(lookup(document, key, wild=wild, nodes=nodes), grouped)
 
 
-def all_keys(document: Column) -> Column:
+def all_keys(document: Column, *, nodes: Column | None = None) -> Column:
     """All keys in pre-order, repeats included."""
-    keyed = F.filter(json_nodes(document), lambda n: n["key"].isNotNull() & ~n["shadowed"])
+    keyed = F.filter(_nodes(document, nodes), lambda n: n["key"].isNotNull() & ~n["shadowed"])
     return F.transform(keyed, lambda n: n["key"])
 
 
-def key_count(document: Column, key: str) -> Column:
+def key_count(document: Column, key: str, *, nodes: Column | None = None) -> Column:
     """Occurrences of a key with a value other than null; lists inside lists are not entered."""
     hit = _key_test([key], False)
-    return _size(F.filter(json_nodes(document), lambda n: hit(n) & (n["kind"] != "null") & ~n["in_lists"]))
+    return _size(F.filter(_nodes(document, nodes), lambda n: hit(n) & (n["kind"] != "null") & ~n["in_lists"]))
 
 
 def _size(found: Column) -> Column:
@@ -257,30 +262,30 @@ def _same_number(text: Column, value: int | float) -> Column:
     return same
 
 
-def _value_hits(document: Column, value) -> tuple[Column, Callable[[Column], Column]]:
+def _value_hits(document: Column, value, nodes: Column | None) -> tuple[Column, Callable[[Column], Column]]:
     """Nodes, and the test for those that hold the value under a key or are it as a list item. Objects and lists in a list are
     searched (a list in a list is not), but not compared."""
     equal = _equals(document.cast("binary"), value)
-    return json_nodes(document), lambda n: (~n["shadowed"] & ~n["in_lists"] & (n["parent"] >= 0)
+    return _nodes(document, nodes), lambda n: (~n["shadowed"] & ~n["in_lists"] & (n["parent"] >= 0)
                                             & (n["key"].isNotNull() | ~n["kind"].isin("object", "list")) & equal(n))
 
 
-def value_count(document: Column, value) -> Column:
+def value_count(document: Column, value, *, nodes: Column | None = None) -> Column:
     """Occurrences of a value under keys and as list items; lists inside lists are not entered."""
-    nodes, hit = _value_hits(document, value)
-    return _size(F.filter(nodes, hit))
+    found, hit = _value_hits(document, value, nodes)
+    return _size(F.filter(found, hit))
 
 
-def value_parents(document: Column, value) -> Column:
+def value_parents(document: Column, value, *, nodes: Column | None = None) -> Column:
     """Each object with the value directly under one of its keys, once, as ``array<struct<path,parent>>`` in pre-order; parent is JSON text."""
-    nodes, hit = _value_hits(document, value)
+    found, hit = _value_hits(document, value, nodes)
     data = document.cast("binary")
 
     def parents(all_: Column) -> Column:
         owners = F.array_sort(F.array_distinct(F.transform(F.filter(all_, lambda n: hit(n) & n["key"].isNotNull()), lambda n: n["parent"])))
         return F.transform(owners, lambda i: _let(F.get(all_, i), lambda n: F.struct(n["path"].alias("path"), _value(data, n).alias("parent"))))
 
-    return _let(nodes, parents)
+    return _let(found, parents)
 
 
 def value_occurrences(df: DataFrame, column: str, value) -> tuple[DataFrame, DataFrame]:
@@ -319,13 +324,13 @@ def _edit(start: Column, end: Column, text: Column) -> Column:
     return F.struct(start.alias("start"), end.alias("end"), text.alias("text"))
 
 
-def update(document: Column, key: str, value) -> Column:
+def update(document: Column, key: str, value, *, nodes: Column | None = None) -> Column:
     """Set every occurrence of a key to one value (a Python value or a column). Never adds the key."""
     text = literal_json(value)
-    return _edited(document, _matches(document, [key], False), lambda n: _edit(n["start"], n["end"], text))
+    return _edited(document, _matches(document, [key], False, nodes), lambda n: _edit(n["start"], n["end"], text))
 
 
-def update_each(document: Column, key: str, values) -> Column:
+def update_each(document: Column, key: str, values, *, nodes: Column | None = None) -> Column:
     """Give the occurrences of a key the listed values in pre-order; the last value repeats.
 
     ``values`` is a list or an array column; an empty or null array leaves the document unchanged. An occurrence inside a replaced value
@@ -344,19 +349,19 @@ def update_each(document: Column, key: str, values) -> Column:
             n["start"].alias("start"), n["end"].alias("end"), F.get(both["texts"], F.least(i, last)).alias("text")))
 
     # functions in Python can't stand inside a lambda, so the matches go in with the texts
-    both = F.struct(_matches(document, [key], False).alias("found"), texts.alias("texts"))
+    both = F.struct(_matches(document, [key], False, nodes).alias("found"), texts.alias("texts"))
     return _edited(document, F.when(F.size(texts) > 0, _let(both, numbered)), lambda n: _edit(n["start"], n["end"], n["text"]))
 
 
-def delete(document: Column, key: str) -> Column:
+def delete(document: Column, key: str, *, nodes: Column | None = None) -> Column:
     """The document without the key, at any depth. A member goes with the comma before it, one that leads its object with the comma after it."""
-    found = F.filter(json_nodes(document), lambda n: F.coalesce(n["key"] == key, F.lit(False)))
+    found = F.filter(_nodes(document, nodes), lambda n: F.coalesce(n["key"] == key, F.lit(False)))
     return _edited(document, found, lambda n: F.when(n["leads"], _edit(n["from_"], F.coalesce(n["after"], n["end"]), F.lit("")))
                    .otherwise(_edit(n["before"], n["end"], F.lit(""))))
 
 
 def alter(document: Column, key: str | list[str], callback: Callable[..., Column], *, parameters: list | None = None,
-          conversion: Callable[[Column], Column] | None = None, wild: bool = False) -> Column:
+          conversion: Callable[[Column], Column] | None = None, wild: bool = False, nodes: Column | None = None) -> Column:
     """Replace the value of each occurrence of a key (or of several) by a function of it.
 
     ``callback`` gets the value as a variant column, or what ``conversion`` made of it, followed by ``parameters``, and returns a column of any
@@ -380,13 +385,13 @@ def alter(document: Column, key: str | list[str], callback: Callable[..., Column
         return F.concat(F.filter(done, lambda e: ~inside(e)), F.array(_edit(n["start"], n["end"], text)))
 
     # inner values end before outer ones, so by their ends they are altered from the inside out
-    found = _matches(document, keys, wild)
+    found = _matches(document, keys, wild, nodes)
     spans = F.array_sort(F.transform(found, lambda n: F.struct(n["end"].alias("end"), (-n["start"]).alias("minus"), n["start"].alias("start"))))
     none = F.array().cast("array<struct<start int, end int, text string>>")
     edits = F.aggregate(spans, none, one)
     return F.when(F.size(found) > 0, _splice(data, edits, F.lit(0), F.octet_length(document))).otherwise(document)
 
 
-def json_depth(document: Column) -> Column:
+def json_depth(document: Column, *, nodes: Column | None = None) -> Column:
     """Number of nested objects and lists in a document: 0 for a scalar, whatever its size."""
-    return F.array_max(F.transform(json_nodes(document), lambda n: n["depth"] + F.when(n["kind"].isin("object", "list"), 1).otherwise(0)))
+    return F.array_max(F.transform(_nodes(document, nodes), lambda n: n["depth"] + F.when(n["kind"].isin("object", "list"), 1).otherwise(0)))

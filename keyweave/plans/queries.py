@@ -147,9 +147,10 @@ def _occurrences(spark, d):
 def _after_edit(edit):
     """What an edited document holds: its ids in order, the flags, the number of keys."""
     def query(spark, d):
-        changed = documents(spark, d).select("doc_id", edit(F.col("doc")).alias("doc"))
-        values = lambda key: F.array_join(F.transform(nested.lookup(F.col("doc"), key), lambda n: n["value"]), ";")
-        return changed.select("doc_id", values("id").alias("ids"), values("flag").alias("flags"), F.size(nested.all_keys(F.col("doc"))).cast("bigint").alias("n_keys"))
+        changed = documents(spark, d).select("doc_id", edit(F.col("doc")).alias("doc")).withColumn("nodes", nested.json_nodes(F.col("doc")))
+        doc, nodes = F.col("doc"), F.col("nodes")
+        values = lambda key: F.array_join(F.transform(nested.lookup(doc, key, nodes=nodes), lambda n: n["value"]), ";")
+        return changed.select("doc_id", values("id").alias("ids"), values("flag").alias("flags"), F.size(nested.all_keys(doc, nodes=nodes)).cast("bigint").alias("n_keys"))
     return query
 
 
@@ -180,7 +181,8 @@ QUERIES = {
         _read(s, d, "orders"), SCHEMAS, WIDE_SYNTHESIS, appname="app", version="1", starting_id=0, seed="o_orderkey", as_of=AS_OF), PK1, as_of=AS_OF, distinct=True, partitions=64)),
     "json_lookup": _lookup, "json_lookup_wild": _lookup_wild, "json_lookup_with_keys": _lookup_with_keys, "json_all_keys": _all_keys,
     "json_key_count": lambda s, d: documents(s, d).select("doc_id", nested.key_count(F.col("doc"), "id").alias("n")),
-    "json_value_count": lambda s, d: documents(s, d).select("doc_id", nested.value_count(F.col("doc"), "R").alias("n"), nested.value_count(F.col("doc"), 7).alias("n7")),
+    "json_value_count": lambda s, d: documents(s, d).withColumn("nodes", nested.json_nodes(F.col("doc"))).select(
+        "doc_id", nested.value_count(F.col("doc"), "R", nodes=F.col("nodes")).alias("n"), nested.value_count(F.col("doc"), 7, nodes=F.col("nodes")).alias("n7")),
     "json_value_parents": _value_parents, "json_value_occurrences": _occurrences,
     "json_update": _after_edit(lambda doc: nested.update(doc, "part", {"id": 0})), "json_update_multi": _after_edit(lambda doc: nested.update_each(doc, "id", [1, 2, 3])),
     "json_delete": _after_edit(lambda doc: nested.delete(doc, "flag")), "json_alter": _after_edit(lambda doc: nested.alter(doc, "id", _plus(100))),
