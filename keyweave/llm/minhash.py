@@ -181,7 +181,7 @@ class _Search:
                        .select("band", "key", top["label"].alias("most"), blocks(top["n"], top["w"]).alias("n_main"),
                                blocks(F.col("n") - top["n"], F.col("w") - top["w"]).alias("n_out")), "open")
         return stored(labels.join(open_, ["band", "key"]).select(
-            "rep", "band", "key", "label", (F.col("label") == F.col("most")).alias("main"), "n_main", "n_out"), "open-entries")
+            "rep", "band", "key", "weight", "label", (F.col("label") == F.col("most")).alias("main"), "n_main", "n_out"), "open-entries")
 
     def sets(self, reps: DataFrame) -> DataFrame:
         """rep, bands and the shingle hashes, sorted, of some documents."""
@@ -202,10 +202,14 @@ class _Search:
         place = F.when(small, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).when(F.col("main"), inside).otherwise(outside)
         keys = ["band", "key", "i", "j"]
         tasks = (open_entries.withColumn("block", F.when(small, 0).otherwise(block)).withColumn("at", F.explode(place))
-                 .select("rep", "band", "key", "label", "main", "block", F.col("at.i").alias("i"), F.col("at.j").alias("j")))
-        tasks = stored(tasks, "places").join(self.sets(open_entries.select("rep").distinct()), "rep")
-        return stored(tasks.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-                      .mapInArrow(_joins(keys, self.threshold), "a long, b long"), "joins")
+                 .select("rep", "band", "key", "weight", "label", "main", "block", F.col("at.i").alias("i"), F.col("at.j").alias("j")))
+        dealt = lambda rows: rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+        # by estimate first, so that full sets are sent only for members that have somebody to be compared with
+        places = stored(tasks, "places")
+        likely = stored(dealt(places.join(self.signs, "rep")).mapInArrow(_likely(keys, self.threshold, places.columns), ", ".join(
+            f"{f.name} {f.dataType.simpleString()}" for f in places.schema)), "likely")
+        sets = self.sets(likely.select("rep").distinct())
+        return stored(dealt(likely.join(sets, "rep")).mapInArrow(_joins(keys, self.threshold), "a long, b long"), "joins")
 
     def links(self) -> DataFrame:
         links = self.confirmed(self.stars())
@@ -240,9 +244,10 @@ class _Block:
         self.root = np.unique(table.column("label").to_numpy()[order], return_inverse=True)[1]
         self.bands = np.array(table.column("bands").combine_chunks().flatten()).reshape(len(order), BANDS)[order]
         self.signs = self.bands.view(np.uint16).reshape(len(order), REGISTERS)
-        raw = table.column("hashes").to_pylist()
-        self.sets = [np.frombuffer(raw[k], dtype=np.uint64) for k in order]
-        self.sizes = np.array([len(s) for s in self.sets])
+        self.order, self.sizes = order, table.column("weight").to_numpy()[order]
+        if "hashes" in table.column_names:
+            raw = table.column("hashes").to_pylist()
+            self.sets = [np.frombuffer(raw[k], dtype=np.uint64) for k in order]
         self.band, self.apart = table.column("band")[0].as_py(), table.column("i")[0].as_py() != table.column("j")[0].as_py()
         self.threshold = threshold
         self.least = ((threshold / 100 - SLACK) * (1 - COLLISION) + COLLISION) * REGISTERS
@@ -270,6 +275,15 @@ class _Block:
         common = np.add.reduceat((own[at] == every).astype(np.int64), starts)
         return others[100 * common >= self.threshold * (len(own) + self.sizes[others] - common)]
 
+    def likely(self) -> np.ndarray:
+        """Rows of the table that have somebody near, in their order."""
+        chosen = np.zeros(len(self.order), dtype=bool)
+        for i in range(self.outside):
+            near = self.near(i)
+            chosen[near] = True
+            chosen[i] |= len(near) > 0
+        return np.sort(self.order[chosen])
+
     def joins(self) -> Iterator[tuple[int, int]]:
         for i in range(self.outside):
             rest, step = self.near(i), 8
@@ -283,6 +297,16 @@ class _Block:
                 step = min(2 * step, 256)
 
 
+def _likely(keys: list[str], threshold: int, columns: list[str]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs_by_key(batches, keys):
+            chosen = _Block(table, threshold).likely()
+            if len(chosen):
+                yield from table.select(columns).take(pa.array(chosen)).combine_chunks().to_batches()
+
+    return run
+
+
 def _joins(keys: list[str], threshold: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
