@@ -112,29 +112,44 @@ def _node(nodes: list, open_: list, start: int) -> list:
     return node
 
 
-def _parsed(documents: pa.Array) -> pa.Array:
-    rows, ends, errors = [], [0], []
-    for text in documents.to_pylist():
-        error = None
-        if text is not None:
-            try:
-                rows += parse_nodes(text.encode())
-            except ValueError as e:
-                error = str(e)
-        ends.append(len(rows))
-        errors.append(error)
-    columns = list(zip(*rows)) if rows else [[] for _ in _FIELDS]
-    structs = pa.StructArray.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(columns, _FIELDS)], names=[n for n, _ in _FIELDS])
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
-    bad = pa.array([t is None or e is not None for t, e in zip(documents.to_pylist(), errors)])
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs, mask=bad) if len(bad) else lists
-    return pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], names=["nodes", "error"])
-
-
-def _parse(document: Column) -> Column:
+def _parsed(keys: list[str] | None, wild: bool, shadowed: bool) -> Callable:
+    """Arrow function from documents to their nodes and what is wrong with them; with ``keys``, the nodes of these keys only."""
+    wanted = None if keys is None else [k.lower() for k in keys] if wild else set(keys)
+
+    def chosen(nodes: list[list]) -> list[list]:
+        if wanted is None:
+            return nodes
+        if wild:
+            return [x for x in nodes if x[KEY] is not None and not x[SHADOWED] and any(k in x[KEY].lower() for k in wanted)]
+        return [x for x in nodes if x[KEY] in wanted and (shadowed or not x[SHADOWED])]
+
+    def run(documents: pa.Array) -> pa.Array:
+        rows, ends, errors, texts = [], [0], [], documents.to_pylist()
+        for text in texts:
+            error = None
+            if text is not None:
+                try:
+                    rows += chosen(parse_nodes(text.encode()))
+                except ValueError as e:
+                    error = str(e)
+            ends.append(len(rows))
+            errors.append(error)
+        columns = list(zip(*rows)) if rows else [[] for _ in _FIELDS]
+        structs = pa.StructArray.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(columns, _FIELDS)], names=[n for n, _ in _FIELDS])
+        bad = pa.array([t is None or e is not None for t, e in zip(texts, errors)], pa.bool_())
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs, mask=bad)
+        return pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], names=["nodes", "error"])
+
+    return run
+
+
+def _parse(document: Column, keys: list[str] | None = None, wild: bool = False, shadowed: bool = False) -> Column:
+    def parsed(documents: pa.Array) -> pa.Array:
+        return _parsed(keys, wild, shadowed)(documents)
+
     # declared nondeterministic so that the optimizer doesn't merge the search of an edited document with the edit: it can't
-    # evaluate one Python function in the lambda expressions of another
-    return F.arrow_udf(_parsed, f"struct<nodes {_NODES}, error string>").asNondeterministic()(document)
+    # evaluate one Python function in the lambda expressions of another. So it runs once for each time it is written.
+    return F.arrow_udf(parsed, f"struct<nodes {_NODES}, error string>").asNondeterministic()(document)
 
 
 def json_nodes(document: Column) -> Column:
@@ -179,7 +194,11 @@ def _value(data: Column, node: Column) -> Column:
     return _cut(data, node["start"], node["end"])
 
 
-def _key_test(keys: list[str], wild: bool) -> Callable[[Column], Column]:
+def _matches(document: Column, keys: list[str], wild: bool, nodes: Column | None) -> Column:
+    """Nodes of the keys that count: by a parse that returns only these, or out of ``nodes``."""
+    if nodes is None:
+        return _parse(document, keys, wild)["nodes"]
+
     def test(node: Column) -> Column:
         if wild:
             hit = F.lit(False)
@@ -188,17 +207,14 @@ def _key_test(keys: list[str], wild: bool) -> Callable[[Column], Column]:
         else:
             hit = node["key"].isin(*keys)
         return F.coalesce(hit, F.lit(False)) & ~node["shadowed"]
-    return test
+
+    return F.filter(nodes, test)
 
 
 def _nodes(document: Column, nodes: Column | None) -> Column:
     return json_nodes(document) if nodes is None else nodes
 
 
-def _matches(document: Column, keys: list[str], wild: bool, nodes: Column | None) -> Column:
-    return F.filter(_nodes(document, nodes), _key_test(keys, wild))
-
-
 def lookup(document: Column, key: str, *, wild: bool = False, nodes: Column | None = None) -> Column:
     """Every value of a key as ``array<struct<key,path,value>>`` in pre-order; value is JSON text as it stands in the document.
     ``wild`` matches any key that contains the given text, whatever its case."""
@@ -225,12 +241,11 @@ def all_keys(document: Column, *, nodes: Column | None = None) -> Column:
 
 def key_count(document: Column, key: str, *, nodes: Column | None = None) -> Column:
     """Occurrences of a key with a value other than null; lists inside lists are not entered."""
-    hit = _key_test([key], False)
-    return _size(F.filter(_nodes(document, nodes), lambda n: hit(n) & (n["kind"] != "null") & ~n["in_lists"]))
+    return _size(F.filter(_matches(document, [key], False, nodes), lambda n: (n["kind"] != "null") & ~n["in_lists"]))
 
 
 def _size(found: Column) -> Column:
-    return F.when(found.isNotNull(), F.size(found)).cast("bigint")
+    return F.array_size(found).cast("bigint")
 
 
 def _equals(data: Column, value) -> Callable[[Column], Column]:
@@ -317,7 +332,8 @@ def _outermost(found: Column) -> Column:
 def _edited(document: Column, found: Column, edit: Callable[[Column], Column]) -> Column:
     """The document with the edits (struct of start, end, text) of the outermost nodes found; unchanged where there is none."""
     data = document.cast("binary")
-    return F.when(F.size(found) > 0, _splice(data, F.transform(_outermost(found), edit), F.lit(0), F.octet_length(document))).otherwise(document)
+    return _let(found, lambda nodes: F.when(F.size(nodes) > 0, _splice(
+        data, F.transform(_outermost(nodes), edit), F.lit(0), F.octet_length(document))).otherwise(document))
 
 
 def _edit(start: Column, end: Column, text: Column) -> Column:
@@ -355,7 +371,7 @@ def update_each(document: Column, key: str, values, *, nodes: Column | None = No
 
 def delete(document: Column, key: str, *, nodes: Column | None = None) -> Column:
     """The document without the key, at any depth. A member goes with the comma before it, one that leads its object with the comma after it."""
-    found = F.filter(_nodes(document, nodes), lambda n: F.coalesce(n["key"] == key, F.lit(False)))
+    found = _parse(document, [key], shadowed=True)["nodes"] if nodes is None else F.filter(nodes, lambda n: F.coalesce(n["key"] == key, F.lit(False)))
     return _edited(document, found, lambda n: F.when(n["leads"], _edit(n["from_"], F.coalesce(n["after"], n["end"]), F.lit("")))
                    .otherwise(_edit(n["before"], n["end"], F.lit(""))))
 
@@ -388,8 +404,8 @@ def alter(document: Column, key: str | list[str], callback: Callable[..., Column
     found = _matches(document, keys, wild, nodes)
     spans = F.array_sort(F.transform(found, lambda n: F.struct(n["end"].alias("end"), (-n["start"]).alias("minus"), n["start"].alias("start"))))
     none = F.array().cast("array<struct<start int, end int, text string>>")
-    edits = F.aggregate(spans, none, one)
-    return F.when(F.size(found) > 0, _splice(data, edits, F.lit(0), F.octet_length(document))).otherwise(document)
+    return _let(spans, lambda all_: F.when(F.size(all_) > 0, _splice(
+        data, F.aggregate(all_, none, one), F.lit(0), F.octet_length(document))).otherwise(document))
 
 
 def json_depth(document: Column, *, nodes: Column | None = None) -> Column:
