@@ -25,7 +25,7 @@ from keyweave.llm.shared import ROW, stored, text_bytes, unwrapped, wrapped
 DEPTH = 3
 CHUNKS = 8
 VARIABLE = re.compile(rb"[0-9@]|://")
-_FIELDS = [("doc_id", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("first", pa.bool_()), ("leaf", pa.int64()),
+_FIELDS = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("first", pa.bool_()), ("leaf", pa.int64()),
            ("pieces", pa.list_(pa.int32()))]
 
 
@@ -67,13 +67,13 @@ def _parse(min_tokens: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns: list[list] = [[] for _ in _FIELDS]
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("content").to_pylist()):
+            for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "content"))):
                 seen = set()
                 for i, line in enumerate(text.split(b"\n")):
                     keys = line_keys(line, min_tokens)
                     if keys is not None:
                         whole = (keys[1], *keys[2])
-                        for column, value in zip(columns, (doc, i, keys[0], whole not in seen, *keys[1:])):
+                        for column, value in zip(columns, (doc, key, i, keys[0], whole not in seen, *keys[1:])):
                             column.append(value)
                         seen.add(whole)
                 if len(columns[0]) >= 20_000:
@@ -89,11 +89,17 @@ def _enough(docs: Column, tokens: Column, rule: Rule) -> Column:
     return docs >= F.when(tokens >= rule.long_tokens, rule.min_docs).otherwise(rule.min_docs_short)
 
 
+def _row_key() -> tuple[Column, Column]:
+    """doc_id (the least long for null) and a hash of the text: rows with the same id and different texts are edited each by itself."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("text")
+
+
 def parsed_lines(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, line, tokens, first (of its pieces in the document), leaf, pieces."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), text_bytes().alias("content"))
+    """doc_id, text_key, line, tokens, first (of its pieces in the row), leaf, pieces."""
+    doc_id, text_key = _row_key()
+    rows = docs.select(doc_id.alias("doc_id"), text_key.alias("text_key"), text_bytes().alias("content"))
     return rows.mapInArrow(_parse(rule.min_tokens),
-                           "doc_id long, line int, tokens int, first boolean, leaf long, pieces array<int>")
+                           "doc_id long, text_key long, line int, tokens int, first boolean, leaf long, pieces array<int>")
 
 
 def _alike(a: Column, b: Column, tokens: Column) -> Column:
@@ -105,7 +111,7 @@ def _alike(a: Column, b: Column, tokens: Column) -> Column:
 
 
 def templates(lines: DataFrame, rule: Rule) -> DataFrame:
-    """Recurring lines: leaf, pieces, keeper (doc_id and line of the first line of their template).
+    """Recurring lines: leaf, pieces, keeper (doc_id, line and text_key of the first line of their template).
 
     A template is a leaf with two neighbouring pieces fixed, the others general; its first line in the order of
     doc_id, line stands for it. A line belongs to it if enough of its tokens are as in that first line. Two lines
@@ -113,7 +119,7 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
     """
     kinds = lines.groupBy("leaf", "pieces").agg(
         F.first("tokens").alias("tokens"), F.sum(F.col("first").cast("long")).alias("docs"), F.min("doc_id").alias("low"),
-        F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "line")).alias("first"))
+        F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "line", "text_key")).alias("first"))
     kinds = stored(kinds, "line-kinds")
     leaves = (kinds.groupBy("leaf").agg(F.min("low").alias("leaf_low"), F.max("high").alias("leaf_high"))
               .where(F.col("leaf_low") < F.col("leaf_high")).select("leaf"))
@@ -133,13 +139,13 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Lines to drop, one row per document: kw_id (doc_id, the least long for null), kw_lines (numbers, from 0)."""
+    """Lines to drop, one row per doc_id and text: kw_id (doc_id, the least long for null), kw_text (hash of the text), kw_lines (numbers, from 0)."""
     lines = stored(parsed_lines(docs, rule), "lines")
     # a written table, so that the join reads two plain exchanges and a line that very many documents have is split over tasks
     found = stored(templates(lines, rule), "line-templates")
     drop = (lines.join(found, ["leaf", "pieces"])
-            .where((F.col("keeper.doc_id") != F.col("doc_id")) | (F.col("keeper.line") != F.col("line"))))
-    return drop.groupBy(F.col("doc_id").alias("kw_id")).agg(F.array_sort(F.collect_set("line")).alias("kw_lines"))
+            .where(F.col("keeper") != F.struct("doc_id", "line", "text_key")))
+    return drop.groupBy(F.col("doc_id").alias("kw_id"), F.col("text_key").alias("kw_text")).agg(F.array_sort(F.collect_set("line")).alias("kw_lines"))
 
 
 def drop_recurring_lines(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -147,12 +153,12 @@ def drop_recurring_lines(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     Of a template's lines the first in the document with the least doc_id stays, so nothing is lost altogether; all others go, with their
     line ends. Rows stay, a document may end up empty. A null text stays null, a text without recurring lines is unchanged to the byte.
-    Rows that share a doc_id are one document (a null id is one too): a line in both doesn't recur by that. An empty
+    Rows that share a doc_id are one document (a null id is one too): a line in both doesn't recur by that; each loses its own lines only. An empty
     table gives an empty result; a column named n_lines_dropped is replaced, ``n_chars``, where there is one, is renewed for changed texts.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = wrapped(docs, "text", key.alias("kw_key"))
-    joined = rows.join(recurring_lines(docs, rule), F.col("kw_key") == F.col("kw_id"), "left")
+    doc_id, text_key = _row_key()
+    rows = wrapped(docs, "text", doc_id.alias("kw_key"), text_key.alias("kw_text_key"))
+    joined = rows.join(recurring_lines(docs, rule), (F.col("kw_key") == F.col("kw_id")) & (F.col("kw_text_key") == F.col("kw_text")), "left")
     kept = F.array_join(F.filter(F.split(F.col("text"), "\n", -1), lambda x, i: ~F.array_contains(F.col("kw_lines"), i)), "\n")
     edited = F.col("kw_lines").isNotNull() & F.col("text").isNotNull()
     new = {"text": F.when(edited, kept).otherwise(F.col("text")), "n_lines_dropped": F.when(edited, F.size("kw_lines")).otherwise(0).cast("long")}

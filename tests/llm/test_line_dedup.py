@@ -83,3 +83,13 @@ def test_odd_rows(spark):
     assert sum(t == prose(1) for t in kept) in (1, 2)
     assert prose(2) + "\r\n\r\n" + prose(3) in kept and "x" * 200_000 in kept
     assert d.drop_recurring_lines(empty_documents(spark)).isEmpty()
+
+
+def test_rows_that_share_an_id_lose_their_own_lines_only(spark):
+    common = " ".join(prose(40, 12).split())
+    own = [" ".join(prose(50 + i, 12).split()) for i in range(6)]
+    rows = [(0, common), (None, own[0] + "\n" + common), (None, common + "\n" + own[1]), (None, own[2] + "\n" + own[3]),
+            (7, own[4] + "\n" + common), (7, common + "\n" + own[5])]
+    out = d.drop_recurring_lines(documents(spark, rows)).collect()
+    assert sorted(r.text for r in out) == sorted(["", own[0], common + "\n" + own[1], own[2] + "\n" + own[3], own[4], own[5]])
+    assert sorted(r.n_lines_dropped for r in out) == [0, 0, 1, 1, 1, 1]  # the null id is the least
