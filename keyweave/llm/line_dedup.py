@@ -26,13 +26,14 @@ DEPTH = 3
 CHUNKS = 8
 VARIABLE = re.compile(rb"[0-9@]|://")
 _FIELDS = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("line", pa.int32()), ("tokens", pa.int32()), ("first", pa.bool_()), ("leaf", pa.int64()),
-           ("pieces", pa.list_(pa.int32()))]
+           ("pieces", pa.list_(pa.int32())), ("constants", pa.list_(pa.int32()))]
 
 
 @dataclass(frozen=True)
 class Rule:
     """When a template recurs: in ``min_docs`` documents if it has at least ``long_tokens`` tokens, else in
-    ``min_docs_short``; shorter lines than ``min_tokens`` never; ``constant`` is the least share of constant tokens."""
+    ``min_docs_short``; shorter lines than ``min_tokens`` never; ``constant`` is the least share of constant tokens, masked ones
+    not counted. A line with fewer constant tokens than that recurs only as it is, unmasked."""
 
     min_docs: int = 2
     long_tokens: int = 10
@@ -45,23 +46,30 @@ def _signed32(value: int) -> int:
     return (value & 0xFFFFFFFF) - (1 << 31)
 
 
-def line_keys(line: bytes, min_tokens: int) -> tuple | None:
-    """(number of tokens, leaf, hashes of the pieces) of a line, None for a shorter one."""
+def line_keys(line: bytes, min_tokens: int, constant: float = Rule.constant) -> tuple | None:
+    """(number of tokens, leaf, hashes of the pieces, constant tokens of each piece) of a line, None for a shorter one. The last is
+    None if no token is masked. A line with too few constant tokens for a template is one piece, its unmasked tokens."""
     if line.count(b" ") + 1 < min_tokens and len(line.split()) < min_tokens:
         return None
     tokens = line.split()
     n = len(tokens)
     if n < min_tokens:
         return None
+    masked = None
     if VARIABLE.search(line):
-        tokens = [b"<*>" if VARIABLE.search(t) else t for t in tokens]
+        masked = [VARIABLE.search(t) is not None for t in tokens]
+        if n - sum(masked) < constant * n:
+            whole = b" ".join(tokens)
+            return n, xxhash.xxh3_64_intdigest(whole, n) - (1 << 63), [_signed32(xxhash.xxh3_64_intdigest(whole))], [n]
+        tokens = [b"<*>" if v else t for t, v in zip(tokens, masked)]
     leaf = xxhash.xxh3_64_intdigest(b" ".join(tokens[:DEPTH]), n) - (1 << 63)
     m = min(n, CHUNKS)
-    pieces = [_signed32(xxhash.xxh3_64_intdigest(b" ".join(tokens[i * n // m:(i + 1) * n // m]))) for i in range(m)]
-    return n, leaf, pieces
+    cuts = [i * n // m for i in range(m + 1)]
+    pieces = [_signed32(xxhash.xxh3_64_intdigest(b" ".join(tokens[a:b]))) for a, b in zip(cuts, cuts[1:])]
+    return n, leaf, pieces, masked and [b - a - sum(masked[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def _parse(min_tokens: int):
+def _parse(min_tokens: int, constant: float):
     schema = pa.schema(_FIELDS)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +78,7 @@ def _parse(min_tokens: int):
             for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "content"))):
                 seen = set()
                 for i, line in enumerate(text.split(b"\n")):
-                    keys = line_keys(line, min_tokens)
+                    keys = line_keys(line, min_tokens, constant)
                     if keys is not None:
                         whole = (keys[1], *keys[2])
                         for column, value in zip(columns, (doc, key, i, keys[0], whole not in seen, *keys[1:])):
@@ -95,17 +103,17 @@ def _row_key() -> tuple[Column, Column]:
 
 
 def parsed_lines(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, text_key, line, tokens, first (of its pieces in the row), leaf, pieces."""
+    """doc_id, text_key, line, tokens, first (of its pieces in the row), leaf, pieces, constants."""
     doc_id, text_key = _row_key()
     rows = docs.select(doc_id.alias("doc_id"), text_key.alias("text_key"), text_bytes().alias("content"))
-    return rows.mapInArrow(_parse(rule.min_tokens),
-                           "doc_id long, text_key long, line int, tokens int, first boolean, leaf long, pieces array<int>")
+    return rows.mapInArrow(_parse(rule.min_tokens, rule.constant),
+                           "doc_id long, text_key long, line int, tokens int, first boolean, leaf long, pieces array<int>, constants array<int>")
 
 
-def _alike(a: Column, b: Column, tokens: Column) -> Column:
-    """Tokens of a line that lie in pieces equal at the same place in another line of the leaf."""
+def _alike(a: Column, b: Column, tokens: Column, constants: Column) -> Column:
+    """Constant tokens of a line that lie in pieces equal at the same place in another line of the leaf."""
     m = F.size(a)
-    width = lambda i: F.floor((i + 1) * tokens / m) - F.floor(i * tokens / m)
+    width = lambda i: F.coalesce(F.get(constants, i).cast("long"), F.floor((i + 1) * tokens / m) - F.floor(i * tokens / m))
     same = F.zip_with(F.zip_with(a, b, lambda x, y: x == y), F.sequence(F.lit(0), m - 1), lambda e, i: F.when(e, width(i)).otherwise(F.lit(0)))
     return F.aggregate(same, F.lit(0).cast("long"), lambda total, x: total + x)
 
@@ -118,7 +126,7 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
     that differ in no more than the tolerated pieces always share such a pair. All steps are linear in the number of different lines.
     """
     kinds = lines.groupBy("leaf", "pieces").agg(
-        F.first("tokens").alias("tokens"), F.sum(F.col("first").cast("long")).alias("docs"), F.min("doc_id").alias("low"),
+        F.first("tokens").alias("tokens"), F.min("constants").alias("constants"), F.sum(F.col("first").cast("long")).alias("docs"), F.min("doc_id").alias("low"),
         F.max("doc_id").alias("high"), F.min(F.struct("doc_id", "line", "text_key")).alias("first"))
     kinds = stored(kinds, "line-kinds")
     leaves = (kinds.groupBy("leaf").agg(F.min("low").alias("leaf_low"), F.max("high").alias("leaf_high"))
@@ -130,7 +138,7 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
     heads = (pairs.groupBy("leaf", "at", "pair").agg(F.min(F.struct("first", "pieces")).alias("head"))
              .select("leaf", "at", "pair", F.col("head.first").alias("keeper"), F.col("head.pieces").alias("head")))
     members = stored(pairs.join(heads, ["leaf", "at", "pair"])
-                     .where(_alike(F.col("pieces"), F.col("head"), F.col("tokens")) >= rule.constant * F.col("tokens"))
+                     .where(_alike(F.col("pieces"), F.col("head"), F.col("tokens"), F.col("constants")) >= rule.constant * F.col("tokens"))
                      .drop("head"), "line-members")
     recurs = (members.groupBy("leaf", "at", "pair").agg(F.first("tokens").alias("t"), F.sum("docs").alias("n"), F.min("low").alias("l"),
                                                         F.max("high").alias("h"))

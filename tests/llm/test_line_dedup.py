@@ -93,3 +93,15 @@ def test_rows_that_share_an_id_lose_their_own_lines_only(spark):
     out = d.drop_recurring_lines(documents(spark, rows)).collect()
     assert sorted(r.text for r in out) == sorted(["", own[0], common + "\n" + own[1], own[2] + "\n" + own[3], own[4], own[5]])
     assert sorted(r.n_lines_dropped for r in out) == [0, 0, 1, 1, 1, 1]  # the null id is the least
+
+
+def test_masked_tokens_are_no_agreement(spark):
+    rng = random.Random(9)
+    number = lambda: f"{rng.uniform(0, 100):.2f}"
+    tables = [[" ".join(number() for _ in range(n)) for n in (3, 12, 16)] + [f"row {number()} of {number()} at {number()} alder {number()} birch {number()} cedar {number()}"]
+              for _ in range(8)]
+    copied = " ".join(number() for _ in range(12))
+    rows = [(i, "\n".join([*lines, copied])) for i, lines in enumerate(tables)]
+    out = {r.doc_id: r for r in d.drop_recurring_lines(documents(spark, rows)).collect()}
+    for i, text in rows:
+        assert out[i].text == (text if i == 0 else "\n".join(tables[i])) and out[i].n_lines_dropped == (i > 0)
