@@ -123,7 +123,7 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
 
     A template is a leaf with two neighbouring pieces fixed, the others general; its first line in the order of
     doc_id, line stands for it. A line belongs to it if enough of its tokens are as in that first line. Two lines
-    that differ in no more than the tolerated pieces always share such a pair. All steps are linear in the number of different lines.
+    that differ in no more than the tolerated pieces always share such a pair. Equal lines in enough documents recur whatever lines come first in their pairs. All steps are linear in the number of different lines.
     """
     kinds = lines.groupBy("leaf", "pieces").agg(
         F.first("tokens").alias("tokens"), F.min("constants").alias("constants"), F.sum(F.col("first").cast("long")).alias("docs"), F.min("doc_id").alias("low"),
@@ -143,7 +143,10 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
     recurs = (members.groupBy("leaf", "at", "pair").agg(F.first("tokens").alias("t"), F.sum("docs").alias("n"), F.min("low").alias("l"),
                                                         F.max("high").alias("h"))
               .where(_enough(F.col("n"), F.col("t"), rule) & (F.col("l") < F.col("h"))).select("leaf", "at", "pair"))
-    return members.join(recurs, ["leaf", "at", "pair"]).groupBy("leaf", "pieces").agg(F.min("keeper").alias("keeper"))
+    own = (kinds.where(_enough(F.col("docs"), F.col("tokens"), rule) & (F.col("low") < F.col("high")))
+           .select("leaf", "pieces", F.col("first").alias("keeper")))
+    by_head = members.join(recurs, ["leaf", "at", "pair"]).select("leaf", "pieces", "keeper")
+    return by_head.unionByName(own).groupBy("leaf", "pieces").agg(F.min("keeper").alias("keeper"))
 
 
 def recurring_lines(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:

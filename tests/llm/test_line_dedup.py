@@ -105,3 +105,20 @@ def test_masked_tokens_are_no_agreement(spark):
     out = {r.doc_id: r for r in d.drop_recurring_lines(documents(spark, rows)).collect()}
     for i, text in rows:
         assert out[i].text == (text if i == 0 else "\n".join(tables[i])) and out[i].n_lines_dropped == (i > 0)
+
+
+def test_equal_lines_recur_whatever_lines_come_first(spark):
+    rng = random.Random(3)
+    texts = []
+    for _ in range(60):  # few openings, middles and ends, so that lines unlike each other share every pair of pieces
+        parts = [rng.choice(["oak", "elm", "ash"]), rng.choice(["kelp moor", "dune fjord", "heath inlet"]), rng.choice(["cedar larch", "pine nettle", "birch alder"])]
+        texts.append("all rights are " + " ".join(parts + [f"{rng.choice('abc')} {rng.choice('abc')} {rng.choice('abc')} {rng.choice('abc')}"]))
+    rows = list(enumerate(texts + texts[40:]))
+    found = {(r.leaf, tuple(r.pieces)) for r in d.templates(d.parsed_lines(documents(spark, rows), d.Rule()), d.Rule()).collect()}
+    ids = {}
+    for i, t in rows:
+        _, leaf, pieces, _ = d.line_keys(t.encode(), 3)
+        ids.setdefault((leaf, tuple(pieces)), set()).add(i)
+    assert found >= {k for k, v in ids.items() if len(v) > 1} != set()
+    out = {r.doc_id: r.text for r in d.drop_recurring_lines(documents(spark, rows)).collect()}
+    assert all(sum(out[i] == t for i, x in rows if x == t) <= 1 for t in set(texts))
