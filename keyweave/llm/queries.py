@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 from keyweave.llm import context_mixing, quality, toxicity
 from keyweave.llm.embedding_lsh import near_vectors
 from keyweave.llm.exact_dedup import exact_duplicates
+from keyweave.llm.fill_middle import fill_in_middle, restored
 from keyweave.llm.line_dedup import drop_recurring_lines
 from keyweave.llm.minhash import near_duplicates
 from keyweave.llm.mixing import Targets, mixture
 from keyweave.llm.packing import pack_documents
 from keyweave.llm.pii_crf import personal_data
+from keyweave.llm.token_counts import token_counts
+from keyweave.llm.wht_clustering import centroid_clusters
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+COUNTING_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 512
 #: Shares of the kept tokens that mixing aims at: every source alike.
 TARGETS = Targets(source={f"src{i}": 1.0 for i in range(20)}, lang={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
                   topic={"prose": 0.85, "contact": 0.05, "legal": 0.05, "table": 0.05})
@@ -66,6 +71,21 @@ def op10_mixing(spark, d):
     return mixture(_read(spark, d, "documents"), TARGETS, KEEP)
 
 
+def op11_token_counts(spark, d):
+    return token_counts(_read(spark, d, "documents"), COUNTING_TOKENIZER).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op12_wht_clustering(spark, d):
+    found = centroid_clusters(_read(spark, d, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.concat_ws(",", "centroid"), 256).alias("centroid_sha256"))
+
+
+def op13_fill_in_middle(spark, d):
+    made = fill_in_middle(_read(spark, d, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -77,8 +97,31 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_embedding_lsh": op9_embedding_lsh,
     "op10_mixing": op10_mixing,
+    "op11_token_counts": op11_token_counts,
+    "op12_wht_clustering": op12_wht_clustering,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
+
+def _clustering_sql(rounds: int = 10) -> str:
+    """Lloyd's rounds one after another: distances of every vector to the list of centroids, then means by component."""
+    def assigned(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (SELECT vec_id, e, CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS cluster, CAST(list_min(d) AS BIGINT) AS distance FROM (
+            SELECT vec_id, e, list_transform((SELECT list(e ORDER BY c) FROM c{k}), lambda q: list_sum(list_transform(range(1, 65),
+            lambda i: (e[i] - q[i]) * (e[i] - q[i])))) AS d FROM v))"""
+
+    parts = ["""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, e FROM (SELECT * FROM v ORDER BY sha256('3:' || vec_id) LIMIT 8))"""]
+    for k in range(rounds):
+        parts += [assigned(k), f"""m{k} AS (SELECT cluster, list(x ORDER BY i) AS e FROM (SELECT cluster, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x FROM (
+            SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM a{k}) GROUP BY ALL)) GROUP BY cluster)""",
+                  f"c{k + 1} AS MATERIALIZED (SELECT c, coalesce(m.e, o.e) AS e FROM c{k} o LEFT JOIN m{k} m ON m.cluster = o.c)"]
+    return f"""WITH {", ".join([*parts, assigned(rounds)])}
+        SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(c.e, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} c ON c.c = cluster"""
+
+
 SQL = {
     "op1_exact_dedup": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -105,4 +148,15 @@ SQL = {
         reach AS (SELECT vec_id, vec_id AS other FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
         least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
         SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM least""",
+    "op12_wht_clustering": _clustering_sql(),
+    "op13_fill_in_middle": """WITH drawn AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+        numbers AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+            CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM drawn),
+        cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, CASE
+            WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+        parts AS (SELECT *, substring(text, 1, a) AS p, substring(text, a + 1, b - a) AS m, substring(text, b + 1, n - b) AS s FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(text) AS restored_sha256 FROM parts""",
 }
