@@ -2,8 +2,9 @@
 
 1. ``_blocks``: documents are cut into pre-tokens in blocks of about ``BLOCK_BYTES``. A block is one row: its different pre-tokens, and for
    each of its documents which of them it holds and how often, packed. Nothing is exchanged.
-2. ``_pieces``: the pre-tokens of all blocks are dealt out by text, so that each different one comes to one task, which counts its pieces once.
-   A pre-token is there once a block at most: none can be a large share of the rows, however often it occurs.
+2. ``_dealt``, ``_counted``: the pre-tokens of all blocks are dealt to buckets by a hash of their text, so that each different one comes to one task, which
+   counts its pieces once. A pre-token is there once a block at most: none can be a large share of a bucket's rows, however often it occurs. The
+   number of buckets follows from the bytes of the blocks' pre-tokens.
 3. ``_summed``: counts go back to their blocks, and a document's count is the sum of frequency times pieces. A group is a block's own
    pre-tokens, bounded by the block's bytes.
 
@@ -24,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyweave.llm.shared import slices, stored, text_bytes
+from keyweave.llm.shared import slices, stored, table_batch, text_bytes
 
-BLOCK_BYTES = 16 << 20
-COUNTED_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20
+COUNTED_BYTES = 1 << 18
 
 OTHER, SPACE, BREAK, LETTER, DIGIT, QUOTE, SIGN, LEAD = range(8)
 _WORDLIKE = (LETTER, DIGIT, QUOTE, SIGN)
@@ -146,16 +148,45 @@ class PreTokens:
         return cut, np.searchsorted(starts, bounds)
 
 
+_PACK = ["codes", "times", "texts", "lengths"]
 _BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())),
-                    ("codes", pa.binary()), ("times", pa.binary()), ("pretokens", pa.list_(pa.string()))])
+                    *[(c, pa.binary()) for c in _PACK], ("pretokens", pa.int64()), ("pretoken_bytes", pa.int64())])
 
 
-def _packed(values: np.ndarray) -> bytes:
-    return pa.compress(values.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+def _packed(values: np.ndarray | bytes) -> bytes:
+    raw = values if isinstance(values, bytes) else values.astype("<i4").tobytes()
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), dtype="<i4")
+def _raw(data: bytes) -> bytes:
+    return pa.decompress(data[4:], decompressed_size=int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(_raw(data), dtype="<i4")
+
+
+def _contents(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts, and where each begins (one more at the end)."""
+    bounds = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, dtype=np.int64)
+    data = texts.buffers()[2] if len(texts) else None
+    held = np.frombuffer(data, dtype=np.uint8)[bounds[0]:bounds[-1]] if data is not None and data.size else np.zeros(0, dtype=np.uint8)
+    return held, bounds - bounds[0]
+
+
+def _strings(data: bytes, lengths: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _frequencies(owners: np.ndarray, codes: np.ndarray, docs: int, different: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each document's different codes begin (one more at the end), these codes in ascending order, and how often each occurs."""
+    pairs = owners * different + codes
+    pairs.sort()
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    times = np.diff(np.append(first, len(pairs)))
+    pairs = pairs[first]
+    return np.searchsorted(pairs, np.arange(docs + 1) * different), pairs % different, times
 
 
 def _blocks(rule: Rule, size: int):
@@ -165,36 +196,65 @@ def _blocks(rule: Rule, size: int):
             for part in slices(batch, "text", size):
                 found, bounds = cut(part.column("text"))
                 coded = found.cast(pa.string()).dictionary_encode()
-                texts, codes = len(part), coded.indices.to_numpy().astype(np.int64)
-                different = max(len(coded.dictionary), 1)
-                owner = np.repeat(np.arange(texts), np.diff(bounds))
-                pairs, times = np.unique(owner * different + codes, return_counts=True)
-                starts = np.searchsorted(pairs, np.arange(texts + 1) * different)
-                lengths = np.diff(np.frombuffer(part.column("text").buffers()[1], dtype=np.int32)[part.column("text").offset:][:texts + 1])
-                one = lambda values, kind: pa.array([values], type=kind)
+                starts, codes, times = _frequencies(np.repeat(np.arange(len(part)), np.diff(bounds)), coded.indices.to_numpy(), len(part), max(len(coded.dictionary), 1))
+                data, ends = _contents(coded.dictionary)
+                _, text_ends = _contents(part.column("text"))
+                one = lambda name, value: pa.array([value], type=_BLOCK.field(name).type)
                 yield pa.RecordBatch.from_arrays([
-                    one(block, pa.int64()), pa.ListArray.from_arrays([0, texts], part.column("doc_id")), one(lengths, _BLOCK.field("n_bytes").type),
-                    one(starts, _BLOCK.field("starts").type), one(_packed(np.diff(pairs % different, prepend=0)), pa.binary()), one(_packed(times), pa.binary()),
-                    pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)], schema=_BLOCK)
+                    one("block", block), pa.ListArray.from_arrays([0, len(part)], part.column("doc_id")), one("n_bytes", np.diff(text_ends)), one("starts", starts),
+                    one("codes", _packed(np.diff(codes, prepend=0))), one("times", _packed(times)), one("texts", _packed(data.tobytes())),
+                    one("lengths", _packed(np.diff(ends))), one("pretokens", len(coded.dictionary)), one("pretoken_bytes", len(data))], schema=_BLOCK)
                 block += 1
 
     return run
 
 
-def _counted(path: str):
-    schema = pa.schema([("block", pa.int64()), ("at", pa.int32()), ("pieces", pa.int32())])
+def _hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A number for each text that depends on its bytes alone: a polynomial in them, mixed."""
+    lengths = np.diff(bounds)
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(lengths.max(initial=0)) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64))
+        at = np.arange(len(data)) - np.repeat(bounds[:-1], lengths)
+        sums = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[at], bounds[:-1]) if len(lengths) else np.zeros(0, dtype=np.uint64)
+        sums = (sums ^ (sums >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return sums >> np.uint64(32)
+
 
+_DEALT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("at", pa.binary()), ("texts", pa.binary()), ("lengths", pa.binary())])
+
+
+def _dealt(buckets: int):
+    """A block's pre-tokens by bucket: their places in the block, their bytes and lengths."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, last = counter(path), ("", 0)
         for batch in batches:
-            for part in slices(batch, "pretoken", COUNTED_BYTES):
-                coded = part.column("pretoken").dictionary_encode()
-                texts = coded.dictionary.to_pylist()
-                fresh = texts[1:] if texts and texts[0] == last[0] else texts  # rows are sorted: a text is in neighbouring slices only
-                counts = [last[1]] * (len(texts) - len(fresh)) + count(fresh)
-                last = (texts[-1], counts[-1])
-                pieces = np.array(counts, dtype=np.int32)[coded.indices.to_numpy()]
-                yield pa.RecordBatch.from_arrays([part.column("block"), part.column("at"), pa.array(pieces)], schema=schema)
+            for block, texts, lengths in zip(*(batch.column(c).to_pylist() for c in ("block", "texts", "lengths"))):
+                own = _strings(_raw(texts), _unpacked(lengths))
+                bucket = (_hashes(*_contents(own)) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                dealt = own.take(pa.array(order))
+                data, ends = _contents(dealt)
+                used, firsts = np.unique(bucket[order], return_index=True)
+                rows = [(b, block, _packed(np.diff(order[i:j], prepend=0)), _packed(data[ends[i]:ends[j]].tobytes()), _packed(np.diff(ends[i:j + 1])))
+                        for b, i, j in zip(used.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(order)])]
+                for i in range(0, len(rows), 5000):
+                    yield table_batch(rows[i:i + 5000], _DEALT)
+
+    return run
+
+
+_PIECES = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("pieces", pa.binary())])
+
+
+def _counted(path: str):
+    """Pieces of a bucket's pre-tokens, for each block as they came."""
+    def run(rows: pa.Table) -> pa.Table:
+        lengths = [_unpacked(x) for x in rows.column("lengths").to_pylist()]
+        coded = _strings(b"".join(map(_raw, rows.column("texts").to_pylist())), np.concatenate(lengths)).dictionary_encode()
+        count = counter(path)
+        different = pa.RecordBatch.from_arrays([coded.dictionary], names=["text"])
+        counts = np.array([n for part in slices(different, "text", COUNTED_BYTES) for n in count(part.column("text").to_pylist())], dtype=np.int64)
+        pieces = np.split(counts[coded.indices.to_numpy()], np.cumsum([len(x) for x in lengths])[:-1])
+        return pa.Table.from_arrays([rows.column("block"), rows.column("at"), pa.array([_packed(x) for x in pieces], pa.binary())], schema=_PIECES)
 
     return run
 
@@ -204,18 +264,18 @@ _COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens
 
 def _summed(blocks: pa.Table, pieces: pa.Table) -> pa.Table:
     """Counts of the documents of a block."""
-    row = blocks.select(["doc_ids", "n_bytes", "starts", "codes", "times"]).to_batches()[0]
+    row = blocks.to_batches()[0]
     starts = row.column("starts").flatten().to_numpy().astype(np.int64)
-    n = int(starts[-1])
-    codes = np.cumsum(_unpacked(row.column("codes")[0].as_py(), n), dtype=np.int64)
-    each = np.zeros(len(pieces), dtype=np.int64)
-    each[pieces.column("at").to_numpy()] = pieces.column("pieces").to_numpy()
-    total = np.concatenate([[0], np.cumsum(each[codes] * _unpacked(row.column("times")[0].as_py(), n))])
+    codes = np.cumsum(_unpacked(row.column("codes")[0].as_py()), dtype=np.int64)
+    each = np.zeros(row.column("pretokens")[0].as_py(), dtype=np.int64)
+    for at, counts in zip(pieces.column("at").to_pylist(), pieces.column("pieces").to_pylist()):
+        each[np.cumsum(_unpacked(at))] = _unpacked(counts)
+    total = np.concatenate([[0], np.cumsum(each[codes] * _unpacked(row.column("times")[0].as_py()))])
     tokens = total[starts[1:]] - total[starts[:-1]]
     return pa.Table.from_arrays([row.column("doc_ids").flatten(), row.column("n_bytes").flatten(), pa.array(tokens)], schema=_COUNTS)
 
 
-def token_counts(docs: DataFrame, tokenizer: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer: str, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes (of the text in UTF-8), n_tokens.
 
     ``tokenizer`` is the path of a tokenizer file, the same on all executors. Counts are those of the tokenizer's library over the whole text,
@@ -224,10 +284,12 @@ def token_counts(docs: DataFrame, tokenizer: str, block_bytes: int = BLOCK_BYTES
     result; other columns of ``docs`` are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    blocks = stored(rows.mapInArrow(_blocks(Rule.of(tokenizer), block_bytes), "block long, doc_ids array<long>, n_bytes array<long>, starts array<int>, codes binary, "
-                                    "times binary, pretokens array<string>"), "token-blocks")
-    each = blocks.select("block", F.posexplode("pretokens").alias("at", "pretoken"))
-    pieces = each.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(_counted(tokenizer), "block long, at int, pieces int")
+    packs = ", ".join(f"{c} binary" for c in _PACK)
+    blocks = stored(rows.mapInArrow(_blocks(Rule.of(tokenizer), block_bytes), f"block long, doc_ids array<long>, n_bytes array<long>, starts array<int>, {packs}, "
+                                    "pretokens long, pretoken_bytes long"), "token-blocks")
+    buckets = 1 + (blocks.agg(F.sum("pretoken_bytes")).first()[0] or 0) // bucket_bytes
+    dealt = blocks.select("block", "texts", "lengths").mapInArrow(_dealt(buckets), "bucket long, block long, at binary, texts binary, lengths binary")
+    pieces = dealt.groupBy("bucket").applyInArrow(_counted(tokenizer), "block long, at binary, pieces binary")
     # a block of empty texts has no pre-tokens and is summed all the same
-    return (blocks.drop("pretokens").groupBy("block").cogroup(pieces.groupBy("block"))
+    return (blocks.select("block", "doc_ids", "n_bytes", "starts", "codes", "times", "pretokens").groupBy("block").cogroup(pieces.groupBy("block"))
             .applyInArrow(_summed, "doc_id long, n_bytes long, n_tokens long"))

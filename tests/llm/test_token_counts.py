@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
@@ -40,23 +42,24 @@ def test_prose_is_cut_into_pre_tokens():
 def test_counts_as_the_library(spark, path):
     rng = random.Random(7)
     texts = [prose(i, 5 + 41 * i % 300) for i in range(60)] + ["".join(rng.choice(SIGNS) for _ in range(60)) for _ in range(60)] + ["", None]
-    rows = t.token_counts(documents(spark, texts).repartition(3), path, block_bytes=4000).collect()
+    rows = t.token_counts(documents(spark, texts).repartition(3), path, block_bytes=4000, bucket_bytes=2000).collect()
     want = library(path, [x or "" for x in texts])
     assert sorted((r.doc_id, r.n_bytes, r.n_tokens) for r in rows) == [(i, len((x or "").encode()), want[i]) for i, x in enumerate(texts)]
 
 
-def test_a_pre_token_is_counted_once(spark):
-    """Blocks hold each different pre-token once, and all copies of it are counted in one run of sorted rows."""
-    schema = pa.schema([("block", pa.int64()), ("at", pa.int32()), ("pretoken", pa.string())])
-    batches = [pa.RecordBatch.from_pylist([{"block": b, "at": 0, "pretoken": x} for b, x in rows], schema)
-               for rows in ([(0, " a"), (1, " a")], [(2, " a"), (0, " b")], [])]
-    asked, real = [], t.counter
-    try:
-        t.counter = lambda path: lambda texts: asked.extend(texts) or [len(x) for x in texts]
-        out = [r for b in t._counted(PATH)(batches) for r in b.to_pylist()]
-    finally:
-        t.counter = real
-    assert asked == [" a", " b"] and [r["pieces"] for r in out] == [2, 2, 2, 2]
+def test_a_pre_token_is_counted_once(monkeypatch):
+    """All copies of a pre-token meet in one bucket, which asks for each different one once."""
+    blocks = pa.RecordBatch.from_pylist([{"block": b, "texts": t._packed("".join(x).encode()), "lengths": t._packed(np.array([len(w) for w in x]))}
+                                         for b, x in enumerate([["a", "bb", "ccc"], ["bb", "dddd"], ["bb", "a", "x" * 100]])])
+    dealt = pa.Table.from_batches(list(t._dealt(4)([blocks])))
+    asked = []
+    monkeypatch.setattr(t, "counter", lambda path: lambda texts: asked.extend(texts) or [len(x) for x in texts])
+    found = {}
+    for bucket in set(dealt.column("bucket").to_pylist()):
+        for r in t._counted(PATH)(dealt.filter(pc.equal(dealt.column("bucket"), bucket))).to_pylist():
+            found |= {(r["block"], int(at)): int(n) for at, n in zip(np.cumsum(t._unpacked(r["at"])), t._unpacked(r["pieces"]))}
+    assert sorted(asked) == ["a", "bb", "ccc", "dddd", "x" * 100]
+    assert found == {(0, 0): 1, (0, 1): 2, (0, 2): 3, (1, 0): 2, (1, 1): 4, (2, 0): 2, (2, 1): 1, (2, 2): 100}
 
 
 def test_odd_rows(spark):
