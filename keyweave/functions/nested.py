@@ -1,13 +1,12 @@
 """Search and edit JSON text at any depth.
 
-A document is read once, by a small Arrow function that walks its tokens with a stack and returns one row per value:
-key, place and byte positions (``json_nodes``). Its cost is linear in the text and its depth is not bounded; no expression of
-built-in functions can do that, since their nesting is fixed when a query is planned. All else is built-in expressions over
-these rows: searches filter them, edits splice text into the document at the positions found, so that what is
-not edited keeps its bytes.
+Documents are read a batch at a time by ``json_index``: one Arrow function finds the values of all documents of a batch in numpy and answers from them,
+so cost is linear in the text and depth isn't bounded. Searches give what is asked for only, paths and texts of hits alone; edits put new
+text into the document at the places found, so that what is not edited keeps its bytes. Batches are cut by bytes: memory follows from the largest document, not
+from the number of rows.
 
-Every function parses its document anew; where several look at the same one, ``json_nodes`` goes into a column of its own and
-is given to each as ``nodes``. Several edits of a document go in columns one after another (``withColumn``), not into one another in a single expression.
+Every function reads its document anew; ``ask`` answers several questions from one reading. Several edits of a document go in columns one after another
+(``withColumn``), not into one another in a single expression. ``json_nodes`` gives a table's documents as rows, a value each.
 
 Only strict JSON is a document: one value, double quotes, no ``NaN``. For anything else searches give null and edits the text unchanged;
 ``json_error`` tells what is wrong with it and ``split_malformed`` parts such rows. Of a key that occurs twice in one object the last one
@@ -17,150 +16,84 @@ counts; the others are neither found nor updated, and deleted along.
 from __future__ import annotations
 
 import json
-import re
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyweave.functions.json_index import KINDS, LIST, NULL, NUMBER, OBJECT, TEXT, FALSE, TRUE, JsonIndex, byte_bounds, decoded
+from keyweave.functions.patterns import Automaton
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_TOKEN = re.compile(rb'[ \t\r\n]*(?:([{}\[\],:])|("[^"\\\x00-\x1f]*(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*)*")'
-                    rb'|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)|(true|false|null))')
-_SPACE = re.compile(rb"[ \t\r\n]*\Z")
-_FIELDS = [("key", pa.string()), ("path", pa.string()), ("parent", pa.int32()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
-           ("text", pa.string()), ("depth", pa.int32()), ("in_lists", pa.bool_()), ("shadowed", pa.bool_()),
-           ("from_", pa.int32()), ("before", pa.int32()), ("after", pa.int32()), ("leads", pa.bool_())]
-_NODES = "array<struct<key string, path string, parent int, kind string, start int, end int, text string, depth int, in_lists boolean, " \
-         "shadowed boolean, from_ int, before int, after int, leads boolean>>"
-KEY, PATH, PARENT, KIND, START, END, TEXT, DEPTH, IN_LISTS, SHADOWED, FROM, BEFORE, AFTER, LEADS = range(len(_FIELDS))
-
-
-def _string(token: bytes) -> str:
-    """Decoded text; an unpaired surrogate can't be stored and becomes a replacement sign."""
-    if b"\\" not in token:
-        return token[1:-1].decode()
-    return json.loads(token).encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-
-
-def parse_nodes(data: bytes) -> list[list]:
-    """Values of a document in pre-order, fields as in ``_FIELDS``; ValueError for anything but one JSON value."""
-    nodes: list[list] = []
-    open_: list[list] = []  # [node, is object, members by key, last child, key of the next child, its start]
-    at, want = 0, "value"
-    while want != "end":
-        m = _TOKEN.match(data, at)
-        if not m:
-            raise ValueError(f"no JSON at byte {at}")
-        sign, quoted, number, word = m.groups()
-        start, at = m.start(m.lastindex), m.end()
-        if want in ("key", "first key") and quoted:
-            open_[-1][4:] = [_string(quoted), start]
-            want = "colon"
-        elif want == "colon" and sign == b":":
-            want = "value"
-        elif want in ("value", "first value") and (sign in (b"{", b"[") or not sign):
-            node = _node(nodes, open_, start)
-            if sign:
-                node[KIND] = "object" if sign == b"{" else "list"
-                open_.append([len(nodes) - 1, sign == b"{", {}, None, None, None])
-                want = "first key" if sign == b"{" else "first value"
-                continue
-            node[END] = at
-            node[KIND], node[TEXT] = ("string", _string(quoted)) if quoted else ("number", number.decode()) if number else (word.decode(), word.decode())
-            want = "more" if open_ else "end"
-        elif want == "more" and sign == b",":
-            want = "key" if open_[-1][1] else "value"
-        elif sign and open_ and sign == (b"}" if open_[-1][1] else b"]") and want in ("more", "first key", "first value"):
-            nodes[open_.pop()[0]][END] = at
-            want = "more" if open_ else "end"
-        else:
-            raise ValueError(f"unexpected token at byte {start}")
-    if not _SPACE.match(data, at):
-        raise ValueError(f"text after the document at byte {at}")
-    hidden: set[int] = set()  # what lies in a shadowed value is shadowed
-    for i, node in enumerate(nodes):
-        if node[SHADOWED] or node[PARENT] in hidden:
-            node[SHADOWED] = True
-            hidden.add(i)
-    return nodes
-
-
-def _node(nodes: list, open_: list, start: int) -> list:
-    node = [None, "", -1, None, start, None, None, len(open_), False, False, start, None, None, True]
-    if open_:
-        frame = open_[-1]
-        parent, last = nodes[frame[0]], frame[3]
-        node[PARENT], node[BEFORE] = frame[0], None if last is None else nodes[last][END]
-        node[IN_LISTS] = parent[IN_LISTS] or (parent[KIND] == "list" and len(open_) > 1 and not open_[-2][1])
-        if frame[1]:
-            key, node[FROM] = frame[4], frame[5]
-            node[KEY], node[PATH] = key, parent[PATH] + "/" + key.replace("~", "~0").replace("/", "~1")
-            node[LEADS] = last is None or (nodes[last][LEADS] and nodes[last][KEY] == key)
-            if key in frame[2]:
-                nodes[frame[2][key]][SHADOWED] = True
-            frame[2][key] = len(nodes)
-        else:
-            node[PATH] = f"{parent[PATH]}/{0 if last is None else int(nodes[last][PATH].rpartition('/')[2]) + 1}"
-        if last is not None:
-            nodes[last][AFTER] = node[FROM]
-        frame[3] = len(nodes)
-    nodes.append(node)
-    return node
-
-
-def _parsed(keys: list[str] | None, wild: bool, shadowed: bool) -> Callable:
-    """Arrow function from documents to their nodes and what is wrong with them; with ``keys``, the nodes of these keys only."""
-    wanted = None if keys is None else [k.lower() for k in keys] if wild else set(keys)
-
-    def chosen(nodes: list[list]) -> list[list]:
-        if wanted is None:
-            return nodes
-        if wild:
-            return [x for x in nodes if x[KEY] is not None and not x[SHADOWED] and any(k in x[KEY].lower() for k in wanted)]
-        return [x for x in nodes if x[KEY] in wanted and (shadowed or not x[SHADOWED])]
-
-    def run(documents: pa.Array) -> pa.Array:
-        rows, ends, errors, texts = [], [0], [], documents.to_pylist()
-        for text in texts:
-            error = None
-            if text is not None:
-                try:
-                    rows += chosen(parse_nodes(text.encode()))
-                except ValueError as e:
-                    error = str(e)
-            ends.append(len(rows))
-            errors.append(error)
-        columns = list(zip(*rows)) if rows else [[] for _ in _FIELDS]
-        structs = pa.StructArray.from_arrays([pa.array(c, type=t) for c, (_, t) in zip(columns, _FIELDS)], names=[n for n, _ in _FIELDS])
-        bad = pa.array([t is None or e is not None for t, e in zip(texts, errors)], pa.bool_())
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs, mask=bad)
-        return pa.StructArray.from_arrays([lists, pa.array(errors, pa.string())], names=["nodes", "error"])
+BATCH_BYTES = 4 << 20
+NODES_AT_ONCE = 50_000
 
-    return run
 
+@dataclass(frozen=True)
+class Question:
+    """What is asked of a document: the type of the answer, and how a batch answers. ``given`` are columns that it needs beside the document."""
+
+    type: pa.DataType
+    answer: Callable[..., pa.Array]
+    given: tuple[Column, ...] = ()
+
+
+def _parts(documents: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows from and to, of documents of about ``BATCH_BYTES`` together, one at least."""
+    ends, start = byte_bounds(documents)[1:], 0
+    while start < len(documents):
+        before = ends[start - 1] if start else ends[0] - len(documents[0].as_buffer() or b"") if documents[0].is_valid else ends[0]
+        stop = max(start + 1, int(np.searchsorted(ends, before + BATCH_BYTES, side="right")))
+        yield start, stop
+        start = stop
+
+
+def _line(document: Column) -> Column:
+    return F.concat(document, F.lit("\n"))
+
+
+def ask(document: Column, **questions: Question) -> Column:
+    """Answers to several questions about a document, a struct with a field for each, from one reading of it."""
+    from pyspark.sql.pandas.types import from_arrow_type
+    from pyspark.sql.types import StructField, StructType
+
+    kind = pa.struct([pa.field(name, q.type) for name, q in questions.items()])
+    answers, counts = [q.answer for q in questions.values()], [len(q.given) for q in questions.values()]
 
-def _parse(document: Column, keys: list[str] | None = None, wild: bool = False, shadowed: bool = False) -> Column:
-    def parsed(documents: pa.Array) -> pa.Array:
-        return _parsed(keys, wild, shadowed)(documents)
+    def answered(documents: pa.Array, *given: pa.Array) -> pa.Array:
+        made = []
+        for start, stop in _parts(documents):
+            index, rest = JsonIndex(documents.slice(start, stop - start)), list(given)
+            columns = []
+            for answer, n in zip(answers, counts):
+                own, rest = rest[:n], rest[n:]
+                columns.append(answer(index, *[x.slice(start, stop - start) for x in own]))
+            made.append(pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(columns, kind)], fields=list(kind)))
+        return pa.concat_arrays(made) if made else pa.array([], kind)
+
+    def run(documents: pa.Array, *given: pa.Array) -> pa.Array:
+        return answered(documents, *given)
 
     # declared nondeterministic so that the optimizer doesn't merge the search of an edited document with the edit: it can't
     # evaluate one Python function in the lambda expressions of another. So it runs once for each time it is written.
-    return F.arrow_udf(parsed, f"struct<nodes {_NODES}, error string>").asNondeterministic()(document)
+    ddl = StructType([StructField(f.name, from_arrow_type(f.type)) for f in kind])
+    return F.arrow_udf(run, ddl).asNondeterministic()(_line(document), *[c for q in questions.values() for c in q.given])
 
 
-def json_nodes(document: Column) -> Column:
-    """One row per value in pre-order, null for a malformed document or null: key (null for list items and the whole), path (JSON pointer), kind
-    (object, list, string, number, true, false, null), start and end in bytes, text (of a scalar, strings decoded), depth, and more."""
-    return _parse(document)["nodes"]
+def _ask(document: Column, question: Question) -> Column:
+    return ask(document, answer=question)["answer"]
 
 
 def json_error(document: Column) -> Column:
     """What keeps a text from being one JSON document; null for a document, and for null."""
-    return _parse(document)["error"]
+    return _ask(document, Question(pa.string(), lambda index: pa.array([index.problem(i) if bad else None for i, bad in enumerate(index.bad.tolist())], pa.string())))
 
 
 def split_malformed(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
@@ -185,122 +118,220 @@ def literal_json(value) -> Column:
     return json_text(value) if isinstance(value, Column) else F.lit(json.dumps(value, separators=(",", ":")))
 
 
-def _cut(data: Column, start: Column, end: Column) -> Column:
-    """Text of a stretch of the document's bytes."""
-    return F.substring(data, start + 1, end - start).cast("string")
+class Keys:
+    """Keys that are looked for: each different key of a batch is compared once with all of them together."""
+
+    def __init__(self, keys: list[str], wild: bool = False):
+        self.wild = wild
+        self.find = Automaton([k.lower() for k in keys]).find if wild else None
+        self.numbers: dict[str, list[int]] = {}
+        for i, k in enumerate(keys):
+            self.numbers.setdefault(k, []).append(i)
 
+    def of(self, name: str) -> list[int]:
+        """Numbers of the keys that a name matches: by equality, or ``wild`` by being in it whatever its case."""
+        return self.find(name.lower()) if self.wild else self.numbers.get(name, [])
 
-def _value(data: Column, node: Column) -> Column:
-    return _cut(data, node["start"], node["end"])
+    def hits(self, index: JsonIndex, shadowed: bool = False) -> np.ndarray:
+        """Nodes with such a key, ascending."""
+        known = np.array([bool(self.of(x)) for x in index.names] + [False])
+        found = known[index.codes]
+        return np.flatnonzero(found if shadowed else found & ~index.shadowed) if found.any() else np.zeros(0, dtype=np.int64)
 
 
-def _matches(document: Column, keys: list[str], wild: bool, nodes: Column | None) -> Column:
-    """Nodes of the keys that count: by a parse that returns only these, or out of ``nodes``."""
-    if nodes is None:
-        return _parse(document, keys, wild)["nodes"]
+_FOUND = pa.list_(pa.struct([("key", pa.string()), ("path", pa.string()), ("value", pa.string())]))
 
-    def test(node: Column) -> Column:
-        if wild:
-            hit = F.lit(False)
-            for k in keys:
-                hit = hit | F.contains(F.lower(node["key"]), F.lit(k.lower()))
-        else:
-            hit = node["key"].isin(*keys)
-        return F.coalesce(hit, F.lit(False)) & ~node["shadowed"]
 
-    return F.filter(nodes, test)
+def find_values(key: str | list[str], wild: bool = False) -> Question:
+    """``lookup`` as a question for ``ask``."""
+    keys = Keys([key] if isinstance(key, str) else key, wild)
 
+    def answer(index: JsonIndex) -> pa.Array:
+        hits = keys.hits(index)
+        return index.lists(hits, pa.StructArray.from_arrays([index.keys_of(hits), index.paths(hits), index.values(hits)], names=["key", "path", "value"]))
 
-def _nodes(document: Column, nodes: Column | None) -> Column:
-    return json_nodes(document) if nodes is None else nodes
+    return Question(_FOUND, answer)
 
 
-def lookup(document: Column, key: str, *, wild: bool = False, nodes: Column | None = None) -> Column:
+def lookup(document: Column, key: str, *, wild: bool = False) -> Column:
     """Every value of a key as ``array<struct<key,path,value>>`` in pre-order; value is JSON text as it stands in the document.
     ``wild`` matches any key that contains the given text, whatever its case."""
-    data = document.cast("binary")
-    return F.transform(_matches(document, [key], wild, nodes), lambda n: F.struct(
-        n["key"].alias("key"), n["path"].alias("path"), _value(data, n).alias("value")))
+    return _ask(document, find_values(key, wild))
+
+
+_FOUND_BY = pa.list_(pa.struct([("pattern", pa.string()), ("key", pa.string()), ("path", pa.string()), ("value", pa.string())]))
+
+
+def find_many(patterns: list[str], wild: bool = False) -> Question:
+    """``lookup_many`` as a question for ``ask``."""
+    keys, texts = Keys(patterns, wild), list(patterns)
 
+    def answer(index: JsonIndex) -> pa.Array:
+        nodes = keys.hits(index)
+        by_code = [keys.of(x) for x in index.names]
+        counts = np.array([len(x) for x in by_code] + [0])[index.codes[nodes]]
+        hits = np.repeat(nodes, counts)
+        which = np.array([n for c in index.codes[nodes].tolist() for n in by_code[c]], dtype=np.int64)
+        once = np.repeat(np.arange(len(nodes)), counts)
+        key, path, value = (x.take(pa.array(once)) for x in (index.keys_of(nodes), index.paths(nodes), index.values(nodes)))
+        found = pa.array(texts, pa.string()).take(pa.array(which))
+        return index.lists(hits, pa.StructArray.from_arrays([found, key, path, value], names=["pattern", "key", "path", "value"]))
 
-def lookup_with_keys(document: Column, key: str, *, wild: bool = False, nodes: Column | None = None) -> Column:
+    return Question(_FOUND_BY, answer)
+
+
+def lookup_many(document: Column, patterns: list[str], *, wild: bool = False) -> Column:
+    """Every value of any of the keys as ``array<struct<pattern,key,path,value>>`` in pre-order, one entry for each pattern that a
+    key matches, in the order they are given. Keys are compared with all patterns at once."""
+    if not patterns:
+        raise ValueError("at least one key is needed")
+    return _ask(document, find_many(patterns, wild))
+
+
+def lookup_with_keys(document: Column, key: str, *, wild: bool = False) -> Column:
     """Map from each key found to the list of its values."""
-    def grouped(found: Column) -> Column:
-        names = F.array_distinct(F.transform(found, lambda n: n["key"]))
-        return F.map_from_entries(F.transform(names, lambda name: F.struct(
-            name, F.transform(F.filter(found, lambda n: n["key"] == name), lambda n: n["value"]))))
+    keys = Keys([key], wild)
 
-    return _let(lookup(document, key, wild=wild, nodes=nodes), grouped)
+    def answer(index: JsonIndex) -> pa.Array:
+        hits = keys.hits(index)
+        pairs = index.doc[hits] * (len(index.names) + 1) + index.codes[hits]
+        by = np.argsort(pairs, kind="stable")
+        firsts = np.flatnonzero(np.diff(pairs[by], prepend=-1))
+        firsts = firsts[np.argsort(by[firsts], kind="stable")]  # of a document, keys in the order they first occur
+        sizes = np.diff(np.append(np.flatnonzero(np.diff(pairs[by], prepend=-1)), len(by)))
+        starts = np.flatnonzero(np.diff(pairs[by], prepend=-1))
+        sizes = sizes[np.searchsorted(starts, firsts)]
+        members = by[np.arange(sizes.sum()) + np.repeat(firsts - np.cumsum(sizes) + sizes, sizes)] if len(by) else by
+        values = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), index.values(hits).take(pa.array(members)))
+        owners = hits[by[firsts]]
+        return index.lists(owners, pa.StructArray.from_arrays([index.keys_of(owners), values], names=["key", "values"]))
 
+    kind = pa.list_(pa.struct([("key", pa.string()), ("values", pa.list_(pa.string()))]))
+    return F.map_from_entries(_ask(document, Question(kind, answer)))
 
-def all_keys(document: Column, *, nodes: Column | None = None) -> Column:
+
+def find_keys() -> Question:
+    """``all_keys`` as a question for ``ask``."""
+    def answer(index: JsonIndex) -> pa.Array:
+        hits = np.flatnonzero(index.member & ~index.shadowed)
+        return index.lists(hits, index.keys_of(hits))
+
+    return Question(pa.list_(pa.string()), answer)
+
+
+def all_keys(document: Column) -> Column:
     """All keys in pre-order, repeats included."""
-    keyed = F.filter(_nodes(document, nodes), lambda n: n["key"].isNotNull() & ~n["shadowed"])
-    return F.transform(keyed, lambda n: n["key"])
+    return _ask(document, find_keys())
+
 
+def count_key(key: str) -> Question:
+    """``key_count`` as a question for ``ask``."""
+    keys = Keys([key])
 
-def key_count(document: Column, key: str, *, nodes: Column | None = None) -> Column:
+    def answer(index: JsonIndex) -> pa.Array:
+        hits = keys.hits(index)
+        return index.counts(hits[(index.kind[hits] != NULL) & ~index.in_lists[hits]])
+
+    return Question(pa.int64(), answer)
+
+
+def key_count(document: Column, key: str) -> Column:
     """Occurrences of a key with a value other than null; lists inside lists are not entered."""
-    return _size(F.filter(_matches(document, [key], False, nodes), lambda n: (n["kind"] != "null") & ~n["in_lists"]))
+    return _ask(document, count_key(key))
+
+
+def _same_number(text: str, value: int | float) -> bool:
+    """Numbers are equal by value (1 and 1.0 are), compared as whole numbers where both are."""
+    if any(c in text for c in ".eE"):
+        return float(text) == value if value == int(value) and float(value) == int(value) or value != int(value) else False
+    return value == int(value) and (int(text) if len(text) < 4000 else None) == int(value)
+
+
+def _same(found, value) -> bool:
+    """Equality of JSON values: true isn't 1, 1 is 1.0, members may stand in any order."""
+    if isinstance(value, dict):
+        return isinstance(found, dict) and found.keys() == value.keys() and all(_same(found[k], value[k]) for k in value)
+    if isinstance(value, list):
+        return isinstance(found, list) and len(found) == len(value) and all(map(_same, found, value))
+    if isinstance(value, bool) or value is None or isinstance(value, str):
+        return type(found) is type(value) and found == value
+    return isinstance(found, _Number) and _same_number(found.text, value)
+
 
+class _Number:
+    """A number as it is written."""
 
-def _size(found: Column) -> Column:
-    return F.array_size(found).cast("bigint")
+    def __init__(self, text: str):
+        self.text = text
 
 
-def _equals(data: Column, value) -> Callable[[Column], Column]:
-    """Test a node against a Python scalar, list or dict."""
+def _same_text(text: str, value) -> bool:
+    try:
+        return _same(json.loads(text, parse_int=_Number, parse_float=_Number), value)
+    except RecursionError:  # deeper than any value that can be asked for
+        return False
+
+
+def _equal_nodes(index: JsonIndex, value) -> np.ndarray:
+    """Nodes that hold a Python scalar, list or dict, ascending."""
     if value is None or isinstance(value, bool):
-        word = {None: "null", True: "true", False: "false"}[value]
-        return lambda n: n["kind"] == word
+        return np.flatnonzero(index.kind == {None: NULL, True: TRUE, False: FALSE}[value])
     if isinstance(value, str):
-        return lambda n: (n["kind"] == "string") & (n["text"] == F.lit(value))
+        nodes = np.flatnonzero(index.kind == TEXT)
+        starts, ends = index.start[nodes] + 1, index.end[nodes] - 1
+        escaped = index.escaped(starts, ends)
+        likely = escaped | (ends - starts == len(value.encode("utf-8", "surrogatepass")))
+        nodes, escaped = nodes[likely], escaped[likely]
+        texts = index.texts(starts[likely], ends[likely])
+        same = pc.equal(texts, value).to_numpy(zero_copy_only=False).copy()
+        at = np.flatnonzero(escaped)
+        same[at] = [decoded(x) == value for x in texts.take(pa.array(at)).to_pylist()]
+        return nodes[same]
     if isinstance(value, (int, float)):
-        return lambda n: F.when(n["kind"] == "number", _same_number(n["text"], value)).otherwise(False)
-    kind = "object" if isinstance(value, dict) else "list"
-    wanted = F.to_json(F.parse_json(F.lit(json.dumps(value))))
-    return lambda n: F.when(n["kind"] == kind, F.coalesce(F.to_json(F.try_parse_json(_value(data, n))) == wanted, F.lit(False))).otherwise(False)
-
-
-def _same_number(text: Column, value: int | float) -> Column:
-    """Numbers are equal by value (1 and 1.0 are), compared as whole numbers where both are."""
-    fractional = text.rlike("[.eE]")
-    if value != value or value in (float("inf"), float("-inf")):
-        return F.lit(False)
-    if value != int(value):
-        return fractional & (text.try_cast("double") == F.lit(float(value)))
-    same = text == F.lit(str(int(value)))
-    if float(value) == int(value):
-        same = same | (fractional & (text.try_cast("double") == F.lit(float(value))))
-        if not value:
-            same = same | (text == "-0")
-    return same
-
-
-def _value_hits(document: Column, value, nodes: Column | None) -> tuple[Column, Callable[[Column], Column]]:
-    """Nodes, and the test for those that hold the value under a key or are it as a list item. Objects and lists in a list are
-    searched (a list in a list is not), but not compared."""
-    equal = _equals(document.cast("binary"), value)
-    return _nodes(document, nodes), lambda n: (~n["shadowed"] & ~n["in_lists"] & (n["parent"] >= 0)
-                                            & (n["key"].isNotNull() | ~n["kind"].isin("object", "list")) & equal(n))
-
-
-def value_count(document: Column, value, *, nodes: Column | None = None) -> Column:
+        if value != value or value in (float("inf"), float("-inf")):
+            return np.zeros(0, dtype=np.int64)
+        nodes = np.flatnonzero(index.kind == NUMBER)
+        coded = index.values(nodes).dictionary_encode()
+        likely = pc.match_substring_regex(coded.dictionary, "[.eE]")
+        if value == int(value):
+            likely = pc.or_(likely, pc.is_in(coded.dictionary, pa.array([str(int(value)), "-0"])))
+        known = np.zeros(len(coded.dictionary), dtype=bool)
+        at = np.flatnonzero(likely.to_numpy(zero_copy_only=False))
+        known[at] = [_same_number(x, value) for x in coded.dictionary.take(pa.array(at)).to_pylist()]
+        return nodes[known[coded.indices.to_numpy()]]
+    nodes = np.flatnonzero((index.kind == (OBJECT if isinstance(value, dict) else LIST)) & index.member)
+    children = np.bincount(index.parent[index.parent >= 0], minlength=index.size)
+    nodes = nodes[children[nodes] >= len(value)]
+    coded = index.values(nodes).dictionary_encode()
+    known = np.array([_same_text(x, value) for x in coded.dictionary.to_pylist()], dtype=bool)
+    return nodes[known[coded.indices.to_numpy()]]
+
+
+def _value_hits(index: JsonIndex, value) -> np.ndarray:
+    """Nodes that hold the value under a key or are it as a list item. Objects and lists in a list are searched (a list in a list is
+    not), but not compared."""
+    hits = _equal_nodes(index, value)
+    return hits[~index.shadowed[hits] & ~index.in_lists[hits] & (index.parent[hits] >= 0) & (index.member[hits] | (index.kind[hits] > LIST))]
+
+
+def count_value(value) -> Question:
+    """``value_count`` as a question for ``ask``."""
+    return Question(pa.int64(), lambda index: index.counts(_value_hits(index, value)))
+
+
+def value_count(document: Column, value) -> Column:
     """Occurrences of a value under keys and as list items; lists inside lists are not entered."""
-    found, hit = _value_hits(document, value, nodes)
-    return _size(F.filter(found, hit))
+    return _ask(document, count_value(value))
 
 
-def value_parents(document: Column, value, *, nodes: Column | None = None) -> Column:
+def value_parents(document: Column, value) -> Column:
     """Each object with the value directly under one of its keys, once, as ``array<struct<path,parent>>`` in pre-order; parent is JSON text."""
-    found, hit = _value_hits(document, value, nodes)
-    data = document.cast("binary")
+    def answer(index: JsonIndex) -> pa.Array:
+        hits = _value_hits(index, value)
+        owners = np.unique(index.parent[hits[index.member[hits]]])
+        return index.lists(owners, pa.StructArray.from_arrays([index.paths(owners), index.values(owners)], names=["path", "parent"]))
 
-    def parents(all_: Column) -> Column:
-        owners = F.array_sort(F.array_distinct(F.transform(F.filter(all_, lambda n: hit(n) & n["key"].isNotNull()), lambda n: n["parent"])))
-        return F.transform(owners, lambda i: _let(F.get(all_, i), lambda n: F.struct(n["path"].alias("path"), _value(data, n).alias("parent"))))
-
-    return _let(found, parents)
+    return _ask(document, Question(pa.list_(pa.struct([("path", pa.string()), ("parent", pa.string())])), answer))
 
 
 def value_occurrences(df: DataFrame, column: str, value) -> tuple[DataFrame, DataFrame]:
@@ -313,71 +344,121 @@ def value_occurrences(df: DataFrame, column: str, value) -> tuple[DataFrame, Dat
     return total, held.select(*rest, F.explode("found").alias("found")).select(*rest, "found.path", "found.parent")
 
 
-def _splice(data: Column, edits: Column, start: Column, end: Column) -> Column:
-    """The stretch of bytes as text, with edits (start, end, text; in order, apart) put in."""
-    def put(ordered: Column) -> Column:
-        starts = F.concat(F.array(start), F.transform(ordered, lambda e: e["end"]))
-        kept = F.transform(ordered, lambda e, i: F.concat(_cut(data, F.get(starts, i), e["start"]), e["text"]))
-        return F.concat(F.array_join(kept, ""), _cut(data, F.element_at(starts, -1), end))
-
-    return _let(edits, put)
-
+def _text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of texts, and where each begins (one more at the end)."""
+    bounds = byte_bounds(texts)
+    data = texts.buffers()[2] if len(texts) else None
+    return (np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)), bounds
 
-def _outermost(found: Column) -> Column:
-    """Of nodes in pre-order, those that lie in no other."""
-    return F.aggregate(found, F.slice(found, 1, 0), lambda kept, n: F.when(
-        (F.size(kept) == 0) | (F.element_at(kept, -1)["end"] <= n["start"]), F.concat(kept, F.array(n))).otherwise(kept))
 
+def _put(index: JsonIndex, nodes: np.ndarray, texts: pa.Array, which: np.ndarray) -> pa.Array:
+    """All documents, with the values of ``nodes`` (ascending, apart) replaced by the texts of these numbers."""
+    data, bounds = _text_buffer(texts)
+    return index.replaced(index.doc[nodes], index.start[nodes], index.end[nodes], data, bounds[which], bounds[which + 1] - bounds[which])
 
-def _edited(document: Column, found: Column, edit: Callable[[Column], Column]) -> Column:
-    """The document with the edits (struct of start, end, text) of the outermost nodes found; unchanged where there is none."""
-    data = document.cast("binary")
-    return _let(found, lambda nodes: F.when(F.size(nodes) > 0, _splice(
-        data, F.transform(_outermost(nodes), edit), F.lit(0), F.octet_length(document))).otherwise(document))
 
+def update(document: Column, key: str, value) -> Column:
+    """Set every occurrence of a key to one value (a Python value or a column). Never adds the key."""
+    keys = Keys([key])
 
-def _edit(start: Column, end: Column, text: Column) -> Column:
-    return F.struct(start.alias("start"), end.alias("end"), text.alias("text"))
+    def answer(index: JsonIndex, texts: pa.Array) -> pa.Array:
+        nodes = index.outermost(keys.hits(index))
+        return _put(index, nodes, texts, index.doc[nodes])
 
+    return _ask(document, Question(pa.string(), answer, (literal_json(value),)))
 
-def update(document: Column, key: str, value, *, nodes: Column | None = None) -> Column:
-    """Set every occurrence of a key to one value (a Python value or a column). Never adds the key."""
-    text = literal_json(value)
-    return _edited(document, _matches(document, [key], False, nodes), lambda n: _edit(n["start"], n["end"], text))
 
-
-def update_each(document: Column, key: str, values, *, nodes: Column | None = None) -> Column:
+def update_each(document: Column, key: str, values) -> Column:
     """Give the occurrences of a key the listed values in pre-order; the last value repeats.
 
     ``values`` is a list or an array column; an empty or null array leaves the document unchanged. An occurrence inside a replaced value
     uses up an item of the list as well, although it is gone from the result.
     """
     if isinstance(values, Column):
-        texts = F.transform(values, json_text)
+        given = F.transform(values, json_text)
     elif isinstance(values, list) and values:
-        texts = F.array(*[literal_json(v) for v in values])
+        given = F.array(*[literal_json(v) for v in values])
     else:
         raise ValueError("values must be a non-empty list or an array column")
+    keys = Keys([key])
+
+    def answer(index: JsonIndex, texts: pa.Array) -> pa.Array:
+        hits = keys.hits(index)
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        number = np.arange(len(hits)) - offsets_at(index.doc[hits])
+        hits, number = hits[sizes[index.doc[hits]] > 0], number[sizes[index.doc[hits]] > 0]
+        docs = index.doc[hits]
+        nodes = index.outermost(hits)
+        which = (firsts[docs] + np.minimum(number, sizes[docs] - 1))[np.searchsorted(hits, nodes)]
+        return _put(index, nodes, texts.flatten(), which)
+
+    return _ask(document, Question(pa.string(), answer, (given,)))
 
-    def numbered(both: Column) -> Column:
-        last = F.size(both["texts"]) - 1
-        return F.transform(both["found"], lambda n, i: F.struct(
-            n["start"].alias("start"), n["end"].alias("end"), F.get(both["texts"], F.least(i, last)).alias("text")))
 
-    # functions in Python can't stand inside a lambda, so the matches go in with the texts
-    both = F.struct(_matches(document, [key], False, nodes).alias("found"), texts.alias("texts"))
-    return _edited(document, F.when(F.size(texts) > 0, _let(both, numbered)), lambda n: _edit(n["start"], n["end"], n["text"]))
+def offsets_at(owners: np.ndarray) -> np.ndarray:
+    """For each of ascending owners, where its first entry stands."""
+    return np.searchsorted(owners, owners)
 
 
-def delete(document: Column, key: str, *, nodes: Column | None = None) -> Column:
+def delete(document: Column, key: str) -> Column:
     """The document without the key, at any depth. A member goes with the comma before it, one that leads its object with the comma after it."""
-    found = _parse(document, [key], shadowed=True)["nodes"] if nodes is None else F.filter(nodes, lambda n: F.coalesce(n["key"] == key, F.lit(False)))
-    return _edited(document, found, lambda n: F.when(n["leads"], _edit(n["from_"], F.coalesce(n["after"], n["end"]), F.lit("")))
-                   .otherwise(_edit(n["before"], n["end"], F.lit(""))))
+    keys = Keys([key])
+
+    def answer(index: JsonIndex) -> pa.Array:
+        nodes = index.outermost(keys.hits(index, shadowed=True))
+        starts, ends = index.cuts(nodes)
+        none = np.zeros(len(nodes), dtype=np.int64)
+        return index.replaced(index.doc[nodes], starts, ends, np.zeros(0, dtype=np.uint8), none, none)
+
+    return _ask(document, Question(pa.string(), answer))
+
+
+def _cut(data: Column, start: Column, end: Column) -> Column:
+    """Text of a stretch of the document's bytes."""
+    return F.substring(data, start + 1, end - start).cast("string")
+
+
+def _splice(data: Column, spans: Column, done: Column, tail: Column, end: Column) -> Column:
+    """Text with ``spans`` (in order, apart; each with where the kept bytes before it begin) put in from ``done``, then the bytes from ``tail`` to ``end``."""
+    kept = F.transform(spans, lambda s: F.concat(_cut(data, s["since"], s["start"]), F.get(done, s["at"])))
+    return F.concat(F.array_join(kept, ""), _cut(data, tail, end))
+
+
+_SPAN = pa.struct([("at", pa.int32()), ("since", pa.int32()), ("start", pa.int32())])
+_STEP = pa.struct([("inner", pa.list_(_SPAN)), ("tail", pa.int32()), ("end", pa.int32())])
+_STEPS = pa.struct([("rounds", pa.list_(pa.list_(_STEP))), ("whole", _STEP)])
+
+
+def _rounds(spans: list[tuple[int, int]], size: int) -> dict | None:
+    """The order in which nested stretches (ascending by start) of a document are altered from the inside out: rounds of stretches none of which lies in
+    another of its round, each with the outermost ones inside it, and the whole document with the outermost of all. One sweep with a stack;
+    stretches are numbered round by round."""
+    if not spans:
+        return None
+    inner: list[list[int]] = [[] for _ in spans]
+    heights, outer, open_ = [0] * len(spans), [], []
+    for i, (start, _) in enumerate(spans):
+        while open_ and spans[open_[-1]][1] <= start:
+            open_.pop()
+        (inner[open_[-1]] if open_ else outer).append(i)
+        open_.append(i)
+    for i in range(len(spans) - 1, -1, -1):  # what lies in a stretch comes after it
+        heights[i] = 1 + max((heights[j] for j in inner[i]), default=-1)
+    rounds: list[list[int]] = [[] for _ in range(max(heights) + 1)]
+    for i, height in enumerate(heights):
+        rounds[height].append(i)
+    numbers = {i: n for n, i in enumerate(i for r in rounds for i in r)}
+
+    def step(start: int, end: int, held: list[int]) -> dict:
+        since = [start, *(spans[j][1] for j in held)]
+        return {"inner": [{"at": numbers[j], "since": s, "start": spans[j][0]} for j, s in zip(held, since)], "tail": since[-1], "end": end}
+
+    return {"rounds": [[step(*spans[i], inner[i]) for i in r] for r in rounds], "whole": step(0, size, outer)}
 
 
 def alter(document: Column, key: str | list[str], callback: Callable[..., Column], *, parameters: list | None = None,
-          conversion: Callable[[Column], Column] | None = None, wild: bool = False, nodes: Column | None = None) -> Column:
+          conversion: Callable[[Column], Column] | None = None, wild: bool = False) -> Column:
     """Replace the value of each occurrence of a key (or of several) by a function of it.
 
     ``callback`` gets the value as a variant column, or what ``conversion`` made of it, followed by ``parameters``, and returns a column of any
@@ -388,26 +469,87 @@ def alter(document: Column, key: str | list[str], callback: Callable[..., Column
     keys = [key] if isinstance(key, str) else list(key)
     if not keys:
         raise ValueError("at least one key is needed")
-    data = document.cast("binary")
+    wanted = Keys(keys, wild)
+
+    def answer(index: JsonIndex) -> pa.Array:
+        hits = wanted.hits(index)
+        base = index.bounds[index.doc[hits]]
+        spans = list(zip((index.start[hits] - base).tolist(), (index.end[hits] - base).tolist()))
+        bounds = np.searchsorted(index.doc[hits], np.arange(index.docs + 1)).tolist()
+        sizes = (np.diff(index.bounds) - 1).tolist()
+        return pa.array([_rounds(spans[a:b], n) for a, b, n in zip(bounds, bounds[1:], sizes)], _STEPS)
 
     def changed(text: Column) -> Column:
         value = F.parse_json(text)
         value = value if conversion is None else conversion(value)
         return json_text(callback(value, *(parameters or [])))
 
-    def one(done: Column, n: Column) -> Column:
-        inside = lambda e: (e["start"] >= n["start"]) & (e["end"] <= n["end"])
-        text = changed(_splice(data, F.filter(done, inside), n["start"], n["end"]))
-        return F.concat(F.filter(done, lambda e: ~inside(e)), F.array(_edit(n["start"], n["end"], text)))
+    def edited(given: Column) -> Column:
+        data, steps = given["data"], given["steps"]
+        put = lambda step, done: _splice(data, step["inner"], done, step["tail"], step["end"])
+        done = F.aggregate(steps["rounds"], F.array().cast("array<string>"), lambda done, spans: F.concat(
+            done, F.transform(spans, lambda step: changed(put(step, done)))))
+        return _let(done, lambda texts: put(steps["whole"], texts))
+
+    # as bytes once: written inside, the whole document would be copied for each hit
+    given = F.struct(_ask(document, Question(_STEPS, answer)).alias("steps"), document.cast("binary").alias("data"))
+    return _let(given, lambda g: F.when(g["steps"].isNotNull(), edited(g)).otherwise(document))
+
 
-    # inner values end before outer ones, so by their ends they are altered from the inside out
-    found = _matches(document, keys, wild, nodes)
-    spans = F.array_sort(F.transform(found, lambda n: F.struct(n["end"].alias("end"), (-n["start"]).alias("minus"), n["start"].alias("start"))))
-    none = F.array().cast("array<struct<start int, end int, text string>>")
-    return _let(spans, lambda all_: F.when(F.size(all_) > 0, _splice(
-        data, F.aggregate(all_, none, one), F.lit(0), F.octet_length(document))).otherwise(document))
+def depth() -> Question:
+    """``json_depth`` as a question for ``ask``."""
+    return Question(pa.int64(), lambda index: pa.array(index.depths, mask=index.bad | index.null))
 
 
-def json_depth(document: Column, *, nodes: Column | None = None) -> Column:
+def json_depth(document: Column) -> Column:
     """Number of nested objects and lists in a document: 0 for a scalar, whatever its size."""
-    return F.array_max(F.transform(_nodes(document, nodes), lambda n: n["depth"] + F.when(n["kind"].isin("object", "list"), 1).otherwise(0)))
+    return _ask(document, depth())
+
+
+_NODE = [("node", pa.int64()), ("parent", pa.int64()), ("key", pa.string()), ("place", pa.int64()), ("kind", pa.string()), ("depth", pa.int32()),
+         ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("counts", pa.bool_())]
+NODE_COLUMNS = "node long, parent long, key string, place long, kind string, depth int, start long, end long, value string, counts boolean"
+
+
+def _node_batches(column: str, ids: list[str], schema: pa.Schema) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(column)
+            for start, stop in _parts(texts):
+                index = JsonIndex(texts.slice(start, stop - start))
+                first = np.searchsorted(index.doc, np.arange(index.docs))
+                for low in range(0, index.size, NODES_AT_ONCE):
+                    yield one(batch.slice(start, stop - start), index, np.arange(low, min(low + NODES_AT_ONCE, index.size)), first)
+
+    def one(rows: pa.RecordBatch, index: JsonIndex, nodes: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+        doc, parent, kind = index.doc[nodes], index.parent[nodes], index.kind[nodes]
+        base = index.bounds[doc]
+        scalar = np.flatnonzero(kind > LIST)
+        quoted = (kind[scalar] == TEXT).astype(np.int64)
+        contents = index.strings(index.start[nodes[scalar]] + quoted, index.end[nodes[scalar]] - quoted)
+        at = np.full(len(nodes), -1, dtype=np.int64)
+        at[scalar] = np.arange(len(scalar))
+        values = contents.cast(pa.string()).take(pa.array(at, mask=at < 0))
+        own = [pa.array(nodes - first[doc]), pa.array(parent - first[doc], mask=parent < 0), index.keys_of(nodes), pa.array(index.rank[nodes], mask=parent < 0),
+               pa.array(KINDS).take(pa.array(kind)), pa.array(index.level[nodes], pa.int32()), pa.array(index.start[nodes] - base),
+               pa.array(index.end[nodes] - base), values, pa.array(~index.shadowed[nodes])]
+        return pa.RecordBatch.from_arrays([*[rows.column(c).take(pa.array(doc)) for c in ids], *own], schema=schema)
+
+    return run
+
+
+def json_nodes(df: DataFrame, ids: str | list[str], column: str) -> DataFrame:
+    """One row per value of the documents in ``column``: the columns ``ids`` of the document's row, then node (its number in pre-order from 0), parent (null
+    for the whole), key (null for items and the whole), place (among its siblings), kind (object, list, string, number, true, false, null),
+    depth, start and end (bytes), value (of a scalar, strings decoded), counts (false where a later member of the same key takes its place).
+
+    Rows come in batches of ``NODES_AT_ONCE``. Nodes of one document are joined by the ids and node = parent. A malformed or null document has no rows.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    names = [ids] if isinstance(ids, str) else list(ids)
+    rows = df.select(*names, _line(F.col(column)).alias("kw_document"))
+    kept = [f for f in rows.schema.fields if f.name in names]
+    schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in kept] + _NODE)
+    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [NODE_COLUMNS])
+    return rows.mapInArrow(_node_batches("kw_document", [f.name for f in kept], schema), ddl)

@@ -147,13 +147,54 @@ def _occurrences(spark, d):
 def _after_edit(edit):
     """What an edited document holds: its ids in order, the flags, the number of keys."""
     def query(spark, d):
-        changed = documents(spark, d).select("doc_id", edit(F.col("doc")).alias("doc")).withColumn("nodes", nested.json_nodes(F.col("doc")))
-        doc, nodes = F.col("doc"), F.col("nodes")
-        values = lambda key: F.array_join(F.transform(nested.lookup(doc, key, nodes=nodes), lambda n: n["value"]), ";")
-        return changed.select("doc_id", values("id").alias("ids"), values("flag").alias("flags"), F.size(nested.all_keys(doc, nodes=nodes)).cast("bigint").alias("n_keys"))
+        changed = documents(spark, d).select("doc_id", edit(F.col("doc")).alias("doc"))
+        found = changed.select("doc_id", nested.ask(F.col("doc"), ids=nested.find_values("id"), flags=nested.find_values("flag"), keys=nested.find_keys()).alias("found"))
+        values = lambda name: F.array_join(F.transform(f"found.{name}", lambda n: n["value"]), ";")
+        return found.select("doc_id", values("ids").alias("ids"), values("flags").alias("flags"), F.size("found.keys").cast("bigint").alias("n_keys"))
     return query
 
 
+def large_documents(spark, d):
+    """A document for each customer that has ordered: all orders, each with its lines."""
+    line = F.struct(F.struct(F.col("l_partkey").alias("id"), F.col("l_returnflag").alias("flag")).alias("part"), F.col("l_quantity").cast("int").alias("qty"), F.col("l_linenumber").alias("no"))
+    lines = _read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    orders = _read(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), "lines"))).alias("orders"))
+    return orders.select(F.col("o_custkey").alias("doc_id"), F.to_json(F.struct(F.col("o_custkey").alias("id"), "orders")).alias("doc"))
+
+
+def _update_large(spark, d):
+    changed = large_documents(spark, d).select("doc_id", nested.update(F.col("doc"), "part", {"id": 0}).alias("doc"))
+    return changed.select("doc_id", F.md5("doc").alias("doc_md5"), nested.key_count(F.col("doc"), "id").alias("ids"))
+
+
+def chains(spark, d):
+    """A document for each order: its lines one inside the other, so that documents differ in depth."""
+    lines = _read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("lines"))
+    chained = F.aggregate(F.reverse("lines"), F.lit("null"), lambda inner, x: F.concat(F.lit('{"no":'), x["l_linenumber"], F.lit(',"next":'), inner, F.lit("}")))
+    return lines.select(F.col("l_orderkey").alias("doc_id"), chained.alias("doc"))
+
+
+#: Fifty parts of keys, of which some are in the keys of the documents.
+PATTERNS = ["id", "ne", "flag", "LA", "art", "qty", "no", "cust", "e", "lines"] + [f"{a}{b}" for a in "bdghjkvw" for b in "xyzqp"]
+
+
+def _lookup_many(spark, d):
+    found = documents(spark, d).select("doc_id", F.explode(nested.lookup_many(F.col("doc"), PATTERNS, wild=True)).alias("hit"))
+    return found.groupBy("doc_id", "hit.pattern", "hit.key").agg(F.count("*").alias("n"), F.min("hit.path").alias("first_path"))
+
+
+def _nodes(spark, d):
+    return nested.json_nodes(documents(spark, d), "doc_id", "doc").select("doc_id", "node", "parent", "key", "kind", "depth", "value")
+
+
+def _node_parents(spark, d):
+    """Objects that hold the text R directly, by a join of the values with themselves."""
+    nodes = nested.json_nodes(documents(spark, d), "doc_id", "doc").where("counts")
+    held = nodes.where("kind = 'string' AND value = 'R' AND key IS NOT NULL").groupBy("doc_id", F.col("parent").alias("node")).agg(F.count("*").alias("n_held"))
+    return nodes.join(held, ["doc_id", "node"]).select("doc_id", "node", "depth", "key", "n_held", (F.col("end") - F.col("start")).alias("n_bytes"))
+
+
 def _plus(amount):
     return lambda v: F.try_variant_get(v, "$", "bigint") + amount
 
@@ -181,13 +222,16 @@ QUERIES = {
         _read(s, d, "orders"), SCHEMAS, WIDE_SYNTHESIS, appname="app", version="1", starting_id=0, seed="o_orderkey", as_of=AS_OF), PK1, as_of=AS_OF, distinct=True, partitions=64)),
     "json_lookup": _lookup, "json_lookup_wild": _lookup_wild, "json_lookup_with_keys": _lookup_with_keys, "json_all_keys": _all_keys,
     "json_key_count": lambda s, d: documents(s, d).select("doc_id", nested.key_count(F.col("doc"), "id").alias("n")),
-    "json_value_count": lambda s, d: documents(s, d).withColumn("nodes", nested.json_nodes(F.col("doc"))).select(
-        "doc_id", nested.value_count(F.col("doc"), "R", nodes=F.col("nodes")).alias("n"), nested.value_count(F.col("doc"), 7, nodes=F.col("nodes")).alias("n7")),
+    "json_value_count": lambda s, d: documents(s, d).select("doc_id", nested.ask(F.col("doc"), n=nested.count_value("R"), n7=nested.count_value(7)).alias("found")).select(
+        "doc_id", "found.n", "found.n7"),
     "json_value_parents": _value_parents, "json_value_occurrences": _occurrences,
     "json_update": _after_edit(lambda doc: nested.update(doc, "part", {"id": 0})), "json_update_multi": _after_edit(lambda doc: nested.update_each(doc, "id", [1, 2, 3])),
     "json_delete": _after_edit(lambda doc: nested.delete(doc, "flag")), "json_alter": _after_edit(lambda doc: nested.alter(doc, "id", _plus(100))),
     "json_alter_wild": _after_edit(lambda doc: nested.alter(doc, "FLA", lambda v: F.concat(F.try_variant_get(v, "$", "string"), F.lit("!")), wild=True)),
-    "json_max_depth": lambda s, d: documents(s, d).select("doc_id", nested.json_depth(F.col("doc")).cast("bigint").alias("depth")),
+    "json_alter_converted": _after_edit(lambda doc: nested.alter(doc, "id", lambda v, sign: F.concat(v, F.lit(sign)), parameters=["#"],
+                                                              conversion=lambda v: F.try_variant_get(v, "$", "string"))),
+    "json_update_large": _update_large, "json_lookup_many": _lookup_many, "json_nodes": _nodes, "json_node_parents": _node_parents,
+    "json_max_depth": lambda s, d: chains(s, d).select("doc_id", nested.json_depth(F.col("doc")).alias("depth")),
     "json_events": lambda s, d: _read(s, d, "events").select("event_id", nested.key_count(F.col("props"), "k").alias("n"), nested.json_error(F.col("props")).alias("error")),
 }
 
@@ -208,8 +252,9 @@ _COLS = "SELECT o_orderkey, 10 + (o_orderkey % 142) * 7 AS base FROM orders"
 _ITEM = f"""SELECT DISTINCT PK, ADDITIONAL_PK FROM ({_PKS})"""
 _DOCS = """SELECT o_orderkey AS doc_id, o_orderstatus AS status, o_custkey AS cust, list({'no': l_linenumber, 'pid': l_partkey, 'flag': l_returnflag, 'qty': l_quantity::INT}
     ORDER BY l_linenumber, l_partkey, l_returnflag, l_quantity::INT) AS ls FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL"""
-_TREE = f"""SELECT d.doc_id, j.key, j.path, j.atom, j.type, j.id AS "at" FROM (SELECT doc_id, to_json({{'id': doc_id, 'flag': status, 'customer': {{'id': cust}},
-    'lines': list_transform(ls, lambda l: {{'no': l.no, 'part': {{'id': l.pid, 'flag': l.flag}}, 'qty': l.qty}})}}) AS doc FROM ({_DOCS})) d, json_tree(d.doc) j"""
+_ROOTS = f"""SELECT doc_id, to_json({{'id': doc_id, 'flag': status, 'customer': {{'id': cust}},
+    'lines': list_transform(ls, lambda l: {{'no': l.no, 'part': {{'id': l.pid, 'flag': l.flag}}, 'qty': l.qty}})}}) AS doc FROM ({_DOCS})"""
+_TREE = f"""SELECT d.doc_id, j.key, j.path, j.atom, j.type, j.id AS "at" FROM ({_ROOTS}) d, json_tree(d.doc) j"""
 
 
 def _edited(ids: str, flags: str, keys: str) -> str:
@@ -296,6 +341,26 @@ SQL = {
     "json_delete": _edited(_IDS, "''", "4 + 4 * len(ls)"),
     "json_alter": _edited("(doc_id + 100) || ';' || (cust + 100) || list_aggregate(list_transform(ls, lambda l: ';' || (l.pid + 100)), 'string_agg', '')", _FLAGS, "5 + 5 * len(ls)"),
     "json_alter_wild": _edited(_IDS, """'"' || status || '!"' || list_aggregate(list_transform(ls, lambda l: ';"' || l.flag || '!"'), 'string_agg', '')""", "5 + 5 * len(ls)"),
-    "json_max_depth": f"SELECT doc_id, CAST(4 AS BIGINT) AS depth FROM ({_DOCS})",
+    "json_alter_converted": _edited("""'"' || doc_id || '#";"' || cust || '#"' || list_aggregate(list_transform(ls, lambda l: ';"' || l.pid || '#"'), 'string_agg', '')""", _FLAGS,
+                                    "5 + 5 * len(ls)"),
+    "json_update_large": """SELECT o_custkey AS doc_id, md5(CAST(to_json({'id': o_custkey, 'orders': list({'id': o_orderkey, 'lines': ls} ORDER BY o_orderkey)}) AS VARCHAR)) AS doc_md5,
+        CAST(1 + sum(1 + len(ls)) AS BIGINT) AS ids FROM (SELECT o_custkey, o_orderkey, list({'part': {'id': 0}, 'qty': l_quantity::INT, 'no': l_linenumber}
+            ORDER BY l_partkey, l_returnflag, l_quantity::INT, l_linenumber) AS ls FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL) GROUP BY o_custkey""",
+    "json_lookup_many": f"""WITH hits AS (SELECT doc_id, key, "at", replace(replace(replace(substr(path, 2), '.', '/'), '[', '/'), ']', '') || '/' || key AS p FROM ({_TREE})
+            WHERE key IS NOT NULL AND NOT regexp_matches(key, '^[0-9]+$')),
+        patterns AS (SELECT unnest([{", ".join(f"'{x}'" for x in PATTERNS)}]) AS pattern)
+        SELECT doc_id, pattern, key, count(*) AS n, min(p) AS first_path FROM hits JOIN patterns ON contains(lower(key), lower(pattern)) GROUP BY ALL""",
+    "json_nodes": f"""WITH t AS (SELECT doc_id, j.id AS "at", j.parent AS above, j.key, j.type, j.atom, j.fullkey FROM ({_ROOTS}) d, json_tree(d.doc) j),
+        n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY "at") - 1 AS node FROM t)
+        SELECT n.doc_id, n.node, p.node AS parent, CASE WHEN p.type = 'OBJECT' THEN n.key END AS key,
+            CASE n.type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'string' ELSE 'number' END AS kind,
+            CAST(len(regexp_extract_all(n.fullkey, '[.\\[]')) AS INTEGER) AS depth, n.atom ->> '$' AS value
+        FROM n LEFT JOIN n p ON n.doc_id = p.doc_id AND n.above = p."at\"""",
+    "json_node_parents": f"""WITH t AS (SELECT doc_id, j.id AS "at", j.parent AS above, j.key, j.value, j.atom, j.type, j.fullkey FROM ({_ROOTS}) d, json_tree(d.doc) j),
+        n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY "at") - 1 AS node FROM t),
+        held AS (SELECT doc_id, above, count(*) AS n_held FROM t WHERE CAST(atom AS VARCHAR) = '"R"' GROUP BY ALL)
+        SELECT doc_id, node, CAST(len(regexp_extract_all(fullkey, '[.\\[]')) AS INTEGER) AS depth, key, n_held, CAST(strlen(CAST(value AS VARCHAR)) AS BIGINT) AS n_bytes
+        FROM n JOIN held h USING (doc_id) WHERE h.above = n."at\"""",
+    "json_max_depth": "SELECT l_orderkey AS doc_id, count(*) AS depth FROM lineitem GROUP BY 1",
     "json_events": "SELECT event_id, CAST(json_exists(props, '$.k') AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS error FROM events",
 }
