@@ -1,7 +1,7 @@
 """Items from a key file: partition key by SQL, sort keys over a date range, ordered attributes.
 
-All of it is projection plus one ``explode``, so the job has no shuffle and items stream out of the
-key-file scan. SQL text in the description may use ``as_of``, the moment the job counts from.
+All of it is projection plus one ``explode``: items stream out of the key-file scan, or out of equal shares of the fan-out that are dealt
+out before it (``dealt_steps``), which exchanges keys, never items. SQL text in the description may use ``as_of``, the moment the job counts from.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import json
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyweave.functions.generators import as_timestamp
@@ -19,6 +19,8 @@ from keyweave.functions.nested import json_text
 AS_OF = "as_of"
 PK, SK, EXTRA = "PK", "SK", "ADDITIONAL_PK"
 KEY_COLUMNS = [PK, SK]
+#: Items that a task makes at most, and below which it isn't worth a task of its own.
+ROWS_PER_TASK, LEAST_ROWS = 1_000_000, 10_000
 
 
 def partition_keys(keys: DataFrame, spec: Mapping, as_of=None) -> DataFrame:
@@ -30,14 +32,19 @@ def partition_keys(keys: DataFrame, spec: Mapping, as_of=None) -> DataFrame:
         PK: F.expr(spec["SQL"]), EXTRA: F.lit("NA") if extra is None else F.expr(extra)})
 
 
+def _interval(sk: Mapping) -> int:
+    days = int(sk["interval_in_days"])
+    if days < 1:
+        raise ValueError(f"interval_in_days must be at least 1, got {days}")
+    return days
+
+
 def sort_keys(keys: DataFrame, spec: Mapping) -> DataFrame:
     """One row per key (type ``conf``) or one per step of a closed date range."""
     sk = spec["SK"]
     if sk["type"] == "conf":
         return keys.withColumn(SK, F.expr(sk["val"]))
-    days = int(sk["interval_in_days"])
-    if days < 1:
-        raise ValueError(f"interval_in_days must be at least 1, got {days}")
+    days = _interval(sk)
     steps = F.expr(f"explode(sequence(to_timestamp({sk['start']}), to_timestamp({sk['end']}), interval {days} day))")
     return keys.select("*", steps.alias(SK)).withColumn(SK, F.date_format(SK, sk["format"].strip("'")))
 
@@ -52,10 +59,73 @@ def distinct_keys(keys: DataFrame, spec: Mapping) -> DataFrame:
     return keys.select(*wanted, first.alias("first"), last.alias("last")).distinct()
 
 
-def keyed_rows(keys: DataFrame, spec: Mapping, as_of=None, distinct: bool = False, partitions: int | None = None) -> DataFrame:
-    """PK, SK, ADDITIONAL_PK (and ``as_of``), before attributes. ``partitions`` deals the keys out before the fan-out, for key files
-    with few splits."""
-    keyed = partition_keys(keys if partitions is None else keys.repartition(partitions), spec, as_of)
+def step_time(first: Column, step: Column, days: int) -> Column:
+    """The moment ``step`` steps of some days after ``first``, by the calendar of the session's zone."""
+    none = F.lit(0)
+    return first + F.make_interval(none, none, none, (step * days).cast("int"))
+
+
+def step_count(first: Column, last: Column, days: int) -> Column:
+    """Steps of a closed range: the size of ``sequence(first, last, interval days day)`` without making it. None where a bound is null; a range
+    that ends before it starts is an error, as it is there."""
+    whole = F.floor(F.datediff(last, first) / days)
+    steps = F.when(step_time(first, whole, days) > last, whole).otherwise(whole + 1)
+    wrong = F.raise_error(F.concat(F.lit("a range ends before it starts: "), first.cast("string"), F.lit(" .. "), last.cast("string")))
+    return F.coalesce(F.when(last < first, wrong.cast("bigint")).otherwise(steps.cast("bigint")), F.lit(0).cast("bigint"))
+
+
+def tasks_for(rows: int, at_once: int, rows_per_task: int) -> int:
+    """Number of tasks: at most ``rows_per_task`` rows each, and of few rows one task for each of ``at_once`` that has ``LEAST_ROWS`` to do."""
+    return max(1, -(-rows // rows_per_task), min(at_once, -(-rows // LEAST_ROWS)))
+
+
+def dealt_steps(ranges: DataFrame, days: int, tasks: int, rows: int) -> DataFrame:
+    """Stretches of steps, dealt out so that every task makes the same number of rows however long the ranges are.
+
+    ``ranges`` has columns first, last, steps and times (how often its row is there), and is otherwise distinct. All rows to be made are numbered by a running sum of
+    the ranges' lengths: within buckets by hash of the row, and over the buckets' totals, of which there are as many as tasks. A task's share is a
+    stretch of these numbers, so a long range is cut and short ones go together. Adds ``low`` and ``high``, numbers of a range's own rows; row ``i`` of
+    a range is its step ``i % steps``. Everything follows from the rows' values: a task that runs again makes the same rows.
+    """
+    share = -(-rows // tasks)
+    names = ranges.columns
+    sized = ranges.withColumn("kw_size", F.col("steps") * F.col("times")).withColumn("kw_bucket", F.pmod(F.xxhash64(*names), F.lit(tasks)))
+    totals = sized.groupBy("kw_bucket").agg(F.sum("kw_size").alias("kw_total"))
+    before = totals.select("kw_bucket", (F.sum("kw_total").over(Window.orderBy("kw_bucket")) - F.col("kw_total")).alias("kw_before"))
+    own = Window.partitionBy("kw_bucket").orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = sized.withColumn("kw_own", F.sum("kw_size").over(own) - F.col("kw_size")).join(before, "kw_bucket").withColumn("kw_begin", F.col("kw_before") + F.col("kw_own"))
+    task = lambda at: F.expr(f"{at} div {share}").cast("int")
+    cut = begun.select("*", F.explode(F.sequence(task("kw_begin"), task("(kw_begin + kw_size - 1)"))).alias("kw_task"))
+    first = F.col("kw_task").cast("bigint") * share
+    low = F.greatest(first, F.col("kw_begin")) - F.col("kw_begin")
+    high = F.least(first + share, F.col("kw_begin") + F.col("kw_size")) - F.col("kw_begin") - 1
+    return cut.withColumns({"low": low, "high": high}).repartitionById(tasks, F.col("kw_task")).select(*names, "low", "high")
+
+
+def _balanced(keyed: DataFrame, spec: Mapping, distinct: bool, rows_per_task: int) -> DataFrame:
+    """``sort_keys`` of a date range, with the fan-out dealt out by rows."""
+    sk = spec["SK"]
+    days = _interval(sk)
+    bounds = {"first": F.expr(f"to_timestamp({sk['start']})"), "last": F.expr(f"to_timestamp({sk['end']})")}
+    names = [PK, EXTRA, AS_OF, *bounds]
+    counted = keyed.withColumns(bounds).groupBy(*names).agg((F.lit(1) if distinct else F.count(F.lit(1))).cast("bigint").alias("times"))
+    ranges = counted.withColumn("steps", step_count(F.col("first"), F.col("last"), days)).where("steps > 0")
+    rows = int(ranges.agg(F.sum(F.col("steps") * F.col("times"))).first()[0] or 0)
+    tasks = tasks_for(rows, keyed.sparkSession.sparkContext.defaultParallelism, rows_per_task)
+    dealt = dealt_steps(ranges, days, tasks, max(rows, 1))
+    made = dealt.select(*names, "steps", F.explode(F.sequence("low", "high")).alias("kw_row"))
+    return made.withColumn(SK, F.date_format(step_time(F.col("first"), F.col("kw_row") % F.col("steps"), days), sk["format"].strip("'")))
+
+
+def keyed_rows(keys: DataFrame, spec: Mapping, as_of=None, distinct: bool = False, rows_per_task: int | None = None) -> DataFrame:
+    """PK, SK, ADDITIONAL_PK (and ``as_of``), before attributes. With ``rows_per_task`` the fan-out is counted first and dealt out, so that tasks make equal
+    numbers of items; without, each split of the key file makes its own, which needs no exchange."""
+    dealt = rows_per_task is not None and spec["SK"]["type"] != "conf"
+    if dealt and as_of is None:  # counted and made at the same moment
+        as_of = F.lit(keys.sparkSession.sql("SELECT current_timestamp()").first()[0])
+    keyed = partition_keys(keys, spec, as_of)
+    if dealt:
+        return _balanced(keyed, spec, distinct, rows_per_task).select(PK, SK, EXTRA, AS_OF)
     if distinct:
         keyed = distinct_keys(keyed, spec)
         range_spec = {**spec["SK"], "start": "first", "end": "last", "val": SK}
@@ -117,9 +187,9 @@ def add_attributes(rows: DataFrame, spec: Mapping) -> DataFrame:
     return reduce(lambda df, name: df.withColumn(name, attribute(spec[name])), spec.get("Attrs") or [], rows)
 
 
-def amplify(keys: DataFrame, spec: Mapping, *, as_of=None, distinct: bool = False, partitions: int | None = None) -> DataFrame:
-    """Items of one family. ``distinct`` drops repeated keys before the fan-out."""
-    return add_attributes(keyed_rows(keys, spec, as_of, distinct, partitions), spec).drop(AS_OF)
+def amplify(keys: DataFrame, spec: Mapping, *, as_of=None, distinct: bool = False, rows_per_task: int | None = None) -> DataFrame:
+    """Items of one family. ``distinct`` drops repeated keys before the fan-out; for ``rows_per_task`` see ``keyed_rows``."""
+    return add_attributes(keyed_rows(keys, spec, as_of, distinct, rows_per_task), spec).drop(AS_OF)
 
 
 def fan_out_of_keys(keys: DataFrame, spec: Mapping, *, as_of=None, distinct: bool = False) -> DataFrame:
@@ -131,14 +201,14 @@ def fan_out_of_keys(keys: DataFrame, spec: Mapping, *, as_of=None, distinct: boo
     n = F.lit(1)
     if sk["type"] != "conf":
         first, last = ("first", "last") if distinct else (f"to_timestamp({sk['start']})", f"to_timestamp({sk['end']})")
-        n = F.expr(f"size(sequence({first}, {last}, interval {int(sk['interval_in_days'])} day))")
+        n = step_count(F.expr(first), F.expr(last), _interval(sk))
     return keyed.groupBy(PK).agg(F.sum(n.cast("bigint")).alias("n_items"))
 
 
 def amplify_families(keys: DataFrame, config: Mapping, *, as_of=None, distinct: bool = False,
-                     partitions: int | None = None) -> dict[str, DataFrame]:
+                     rows_per_task: int | None = None) -> dict[str, DataFrame]:
     """One item frame per listed family."""
-    return {name: amplify(keys, config["PKdesc"][name], as_of=as_of, distinct=distinct, partitions=partitions)
+    return {name: amplify(keys, config["PKdesc"][name], as_of=as_of, distinct=distinct, rows_per_task=rows_per_task)
             for name in config["PKlst"]}
 
 

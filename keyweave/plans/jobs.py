@@ -24,8 +24,8 @@ def synthesize_job(seeds: DataFrame, config: Mapping, *, database: str, keyfile:
 
 
 def amplify_job(spark, config: Mapping, *, keyfile: str, items: str, below: str = "", as_of=None, distinct: bool = True,
-                partitions: int | None = None) -> None:
+                rows_per_task: int | None = amplify.ROWS_PER_TASK) -> None:
     """Appends the items of every family made from a key file as Parquet, a folder each below ``items``."""
     keys = tables.scan_keyfile(spark, keyfile, below)
-    for name, rows in amplify.amplify_families(keys, config, as_of=as_of, distinct=distinct, partitions=partitions).items():
+    for name, rows in amplify.amplify_families(keys, config, as_of=as_of, distinct=distinct, rows_per_task=rows_per_task).items():
         amplify.item_columns(rows).write.mode("append").parquet(f"{items.rstrip('/')}/{name}")

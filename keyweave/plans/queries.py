@@ -23,7 +23,7 @@ def _keys(spark, d, config=SYNTHESIS, chained=True):
 
 
 def items(spark, d):
-    return amplify.amplify(_keys(spark, d), PK1, as_of=AS_OF, distinct=True, partitions=64)
+    return amplify.amplify(_keys(spark, d), PK1, as_of=AS_OF, distinct=True, rows_per_task=amplify.ROWS_PER_TASK)
 
 
 #: Column definitions that the sample doesn't have, over the order keys.
@@ -86,6 +86,16 @@ def _attribute(name, props):
     return lambda s, d: amplify.amplify(_keys(s, d), spec, as_of=AS_OF).select("SK", "PK", name)
 
 
+#: The items of an order go from its day to a common one: ranges of very different lengths.
+UNEVEN = {"SQL": "concat('O', o_orderkey)", "SK": {"type": "daterange", "start": "o_orderdate", "end": "as_of", "format": "yyyy-MM-dd", "interval_in_days": 90}, "Attrs": ["n"],
+          "n": {"type": "sql", "attr_SQL": "datediff(as_of, to_date(SK))"}}
+
+
+def uneven_items(spark, d):
+    keys = _read(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    return amplify.amplify(keys, UNEVEN, as_of="2001-09-01 10:11:12", distinct=True, rows_per_task=amplify.ROWS_PER_TASK).select("PK", "SK", "n")
+
+
 FAMILIES = {"PKlst": ["PK1", "PK2"], "PKdesc": {
     "PK1": {**PK1, "SK": {"type": "conf", "val": "employee_id"}, "Attrs": ["kind"], "kind": {"type": "string", "str": "first"}},
     "PK2": {"SQL": "concat('C', company_id)", "SK": {"type": "conf", "val": "cast(department_id as string)"}, "Attrs": ["note"], "note": {"type": "sql", "attr_SQL": "concat(PK, '/', SK)"}}}}
@@ -211,7 +221,8 @@ QUERIES = {
     "amp_additional_pk": lambda s, d: amplify.partition_keys(_keys(s, d), {"SQL": PK1["SQL"]}, AS_OF).select("empid", "ADDITIONAL_PK"), "amp_sk_conf": _sk({**PK1, "SK": {"type": "conf", "val": "concat(company_id, '#', training_id)"}}), "amp_sk_daterange": _sk(PK1),
     "attr_json": _attribute("attr1", PK1["attr1"]), "attr_audit_date": _attribute("create_time", PK1["create_time"]),
     "attr_relative_date": _attribute("expTm", PK1["expTm"]), "attr_string": _attribute("text", {"type": "string", "str": "fixed"}),
-    "attr_sql": _attribute("sqltypeattr", PK1["sqltypeattr"]), "amp_families": _families, "amplify_items": items, "put_items": _put,
+    "attr_sql": _attribute("sqltypeattr", PK1["sqltypeattr"]), "amp_families": _families, "amplify_items": items, "amp_uneven_range": uneven_items,
+    "put_items": _put,
     "check_fk": lambda s, d: checks.foreign_key_violations(_read(s, d, "lineitem"), "l_orderkey", _read(s, d, "orders").where("o_orderstatus <> 'P'"), "o_orderkey"),
     "check_pk": lambda s, d: checks.primary_key_violations(_read(s, d, "lineitem"), ["l_orderkey", "l_partkey"]),
     "check_fd": lambda s, d: checks.dependency_violations(synthesize.synth_rows(_read(s, d, "orders"), SCHEMAS["department"], SYNTHESIS, seed="o_orderkey",
@@ -219,7 +230,7 @@ QUERIES = {
     "check_item_keys": lambda s, d: checks.item_key_violations(amplify.amplify(_keys(s, d), {**PK1, "SK": {"type": "conf", "val": "company_id"}, "Attrs": []}, as_of=AS_OF)),
     "check_fanout": lambda s, d: amplify.fan_out_of_keys(_keys(s, d), PK1, as_of=AS_OF, distinct=True),
     "wide_items": lambda s, d: checks.fan_out(amplify.amplify(synthesize.build_keyfile(
-        _read(s, d, "orders"), SCHEMAS, WIDE_SYNTHESIS, appname="app", version="1", starting_id=0, seed="o_orderkey", as_of=AS_OF), PK1, as_of=AS_OF, distinct=True, partitions=64)),
+        _read(s, d, "orders"), SCHEMAS, WIDE_SYNTHESIS, appname="app", version="1", starting_id=0, seed="o_orderkey", as_of=AS_OF), PK1, as_of=AS_OF, distinct=True, rows_per_task=amplify.ROWS_PER_TASK)),
     "json_lookup": _lookup, "json_lookup_wild": _lookup_wild, "json_lookup_with_keys": _lookup_with_keys, "json_all_keys": _all_keys,
     "json_key_count": lambda s, d: documents(s, d).select("doc_id", nested.key_count(F.col("doc"), "id").alias("n")),
     "json_value_count": lambda s, d: documents(s, d).select("doc_id", nested.ask(F.col("doc"), n=nested.count_value("R"), n7=nested.count_value(7)).alias("found")).select(
@@ -315,6 +326,8 @@ SQL = {
     "amplify_items": f"""SELECT PK, SK, ADDITIONAL_PK, '{{"employee_id": "' || split_part(PK, '-', 1) || '", "dept_id": "' || split_part(PK, '-', 2) || '", "status_update": "'
         || split_part(ADDITIONAL_PK, '-', 1) || '"}}' AS attr1, '2024-01-01 00:00:00' AS create_time, CAST(1712707200 AS BIGINT) AS expTm,
         split_part(PK, '-', 1) AS sqltypeattr FROM ({_ITEM}), ({_DAYS})""",
+    "amp_uneven_range": """SELECT 'O' || o_orderkey AS PK, strftime(day, '%Y-%m-%d') AS SK, CAST(date_diff('day', CAST(day AS DATE), DATE '2001-09-01') AS INTEGER) AS n FROM (
+        SELECT o_orderkey, unnest(generate_series(o_orderdate, TIMESTAMP '2001-09-01 10:11:12', INTERVAL 90 DAY)) AS day FROM orders)""",
     "put_items": """SELECT 'C' || o_custkey AS PK, o_orderpriority AS SK, o_orderkey AS number, o_orderstatus AS status FROM (
         SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey % 3 = 0 DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""",
     "check_fk": """SELECT l_orderkey, count(*) AS n_rows FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY 1""",

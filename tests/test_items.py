@@ -52,7 +52,7 @@ def test_jobs_hand_over_the_golden_row(spark, tmp_path):
     assert {(r.version, r.dt) for r in keys.collect()} == {("1", "20240101"), ("2", "20240101")}
     assert tables.scan_keyfile(spark, str(tmp_path / "keys"), "version=1").count() == 5
     for part in ("version=1", "version=2"):
-        jobs.amplify_job(spark, ITEMS, keyfile=str(tmp_path / "keys"), below=part, items=str(tmp_path / "items"), as_of=AS_OF, partitions=3)
+        jobs.amplify_job(spark, ITEMS, keyfile=str(tmp_path / "keys"), below=part, items=str(tmp_path / "items"), as_of=AS_OF)
     items = spark.read.parquet(str(tmp_path / "items" / "PK1"))
     assert items.count() == 920 and "ADDITIONAL_PK" not in items.columns
     check_golden(items.where(F.col("PK") == GOLDEN).collect())
@@ -116,3 +116,57 @@ def test_families(spark):
     config = {"PKlst": ["PK1", "PK2"], "PKdesc": {"PK1": PK1, "PK2": {"SQL": "company_id", "SK": {"type": "conf", "val": "'s'"}, "Attrs": []}}}
     both = amplify.union_families(amplify.amplify_families(golden_keys(spark), config, as_of=AS_OF))
     assert {r.family: r["count"] for r in both.groupBy("family").count().collect()} == {"PK1": 92, "PK2": 1}
+
+
+def task_sizes(df):
+    return [r.n for r in df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+
+
+UNEVEN = {"SQL": "concat('k', id)", "SK": {"type": "daterange", "start": "opened", "end": "as_of", "format": "yyyy-MM-dd HH:mm", "interval_in_days": 2}, "Attrs": []}
+
+
+def uneven_keys(spark, copies=1):
+    """Ranges from none to very long, bounds that are null, and keys that repeat."""
+    from datetime import datetime, timedelta
+    end = datetime(2024, 1, 1, 10, 11, 12)
+    rows = [(i, end - timedelta(days=d, minutes=i)) for i, d in enumerate([0, 0, 1, 2, 3, 7, 90, 4000] + [5] * 300 + [900] * 4)] + [(999, None)]
+    return spark.createDataFrame(rows * copies, "id int, opened timestamp")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("copies,distinct", [(1, False), (3, False), (3, True)])
+def test_uneven_ranges_are_the_same_dealt_out(spark, zone, copies, distinct, monkeypatch):
+    monkeypatch.setattr(amplify, "LEAST_ROWS", 100)
+    keys = uneven_keys(spark, copies)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        plain, dealt = (amplify.amplify(keys, UNEVEN, as_of=AS_OF, distinct=distinct, rows_per_task=n).cache() for n in (None, 700))
+        assert sorted(dealt.collect()) == sorted(plain.collect()) and not plain.isEmpty()
+        counted = amplify.fan_out_of_keys(keys, UNEVEN, as_of=AS_OF, distinct=distinct).where("n_items > 0")
+        assert sorted(counted.collect()) == sorted(plain.groupBy("PK").agg(F.count("*")).collect())
+        sizes = task_sizes(dealt)
+        assert len(sizes) > 5 and max(sizes) <= 700 and min(sizes[:-1]) >= 0.9 * max(sizes)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_dealing_out_exchanges_keys_only(spark, monkeypatch):
+    monkeypatch.setattr(amplify, "LEAST_ROWS", 100)
+    items = amplify.amplify(uneven_keys(spark), UNEVEN, as_of=AS_OF, distinct=True, rows_per_task=500)
+    plan = items._jdf.queryExecution().executedPlan().toString()
+    # the rows are made (the last explode) above every exchange
+    assert plan.index("Generate explode(sequence(low") < plan.index("Exchange") and "ShufflePartitionIdPassThrough" in plan or "Exchange" in plan
+    sizes = sorted(task_sizes(items))
+    assert len(sizes) >= 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_a_range_must_not_end_before_it_starts(spark):
+    keys = spark.createDataFrame([(1, "2024-02-01")], "id int, day string").withColumn("opened", F.to_timestamp("day"))
+    with pytest.raises(Exception, match="ends before it starts"):
+        amplify.amplify(keys, UNEVEN, as_of=AS_OF, rows_per_task=10).collect()
+    assert amplify.amplify(uneven_keys(spark).where("id = 999"), UNEVEN, as_of=AS_OF, rows_per_task=10).collect() == []
+
+
+def test_tasks_follow_from_the_rows():
+    assert [amplify.tasks_for(rows, 8, 1000) for rows in (0, 1, 9_999, 1_000_001)] == [1, 1, 10, 1001]
+    assert amplify.tasks_for(50_000, 8, 1_000_000) == 5 and amplify.tasks_for(5_000_000, 8, 1_000_000) == 8
