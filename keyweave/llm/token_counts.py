@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from keyweave.llm.shared import slices, stored, table_batch, text_bytes
 
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 COUNTED_BYTES = 1 << 18
 
 OTHER, SPACE, BREAK, LETTER, DIGIT, QUOTE, SIGN, LEAD = range(8)
@@ -153,13 +153,15 @@ _BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("
                     *[(c, pa.binary()) for c in _PACK], ("pretokens", pa.int64()), ("pretoken_bytes", pa.int64())])
 
 
-def _packed(values: np.ndarray | bytes) -> bytes:
-    raw = values if isinstance(values, bytes) else values.astype("<i4").tobytes()
-    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+def _packed(*parts: np.ndarray | bytes) -> bytes:
+    """Whole numbers of 32 bits (without their count) and bytes in a row; compressed where that can pay."""
+    raw = b"".join(x if isinstance(x, bytes) else x.astype("<i4").tobytes() for x in parts)
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True) if len(raw) > 200 else bytes(4) + raw
 
 
 def _raw(data: bytes) -> bytes:
-    return pa.decompress(data[4:], decompressed_size=int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+    size = int.from_bytes(data[:4], "little")
+    return pa.decompress(data[4:], decompressed_size=size, codec="zstd", asbytes=True) if size else data[4:]
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -220,21 +222,20 @@ def _hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return sums >> np.uint64(32)
 
 
-_DEALT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("at", pa.binary()), ("texts", pa.binary()), ("lengths", pa.binary())])
+_DEALT = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("texts", pa.binary())])
 
 
 def _dealt(buckets: int):
-    """A block's pre-tokens by bucket: their places in the block, their bytes and lengths."""
+    """A block's pre-tokens by bucket: how many, their places in the block, their lengths, and their bytes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, texts, lengths in zip(*(batch.column(c).to_pylist() for c in ("block", "texts", "lengths"))):
                 own = _strings(_raw(texts), _unpacked(lengths))
                 bucket = (_hashes(*_contents(own)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                dealt = own.take(pa.array(order))
-                data, ends = _contents(dealt)
+                data, ends = _contents(own.take(pa.array(order)))
                 used, firsts = np.unique(bucket[order], return_index=True)
-                rows = [(b, block, _packed(np.diff(order[i:j], prepend=0)), _packed(data[ends[i]:ends[j]].tobytes()), _packed(np.diff(ends[i:j + 1])))
+                rows = [(b, block, _packed(np.array([j - i]), order[i:j], np.diff(ends[i:j + 1]), data[ends[i]:ends[j]].tobytes()))
                         for b, i, j in zip(used.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(order)])]
                 for i in range(0, len(rows), 5000):
                     yield table_batch(rows[i:i + 5000], _DEALT)
@@ -242,19 +243,27 @@ def _dealt(buckets: int):
     return run
 
 
-_PIECES = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("pieces", pa.binary())])
+_PIECES = pa.schema([("block", pa.int64()), ("pieces", pa.binary())])
 
 
 def _counted(path: str):
-    """Pieces of a bucket's pre-tokens, for each block as they came."""
+    """Pieces of a bucket's pre-tokens: for each block their places and numbers."""
+    held: dict[str, Callable] = {}  # a task reads the tokenizer once
+
     def run(rows: pa.Table) -> pa.Table:
-        lengths = [_unpacked(x) for x in rows.column("lengths").to_pylist()]
-        coded = _strings(b"".join(map(_raw, rows.column("texts").to_pylist())), np.concatenate(lengths)).dictionary_encode()
-        count = counter(path)
+        count = held.setdefault("count", held.get("count") or counter(path))
+        places, lengths, texts = [], [], []
+        for raw in map(_raw, rows.column("texts").to_pylist()):
+            n = int.from_bytes(raw[:4], "little")
+            numbers = np.frombuffer(raw, dtype="<i4", count=1 + 2 * n)
+            places.append(numbers[1:1 + n])
+            lengths.append(numbers[1 + n:])
+            texts.append(raw[4 + 8 * n:])
+        coded = _strings(b"".join(texts), np.concatenate(lengths)).dictionary_encode()
         different = pa.RecordBatch.from_arrays([coded.dictionary], names=["text"])
         counts = np.array([n for part in slices(different, "text", COUNTED_BYTES) for n in count(part.column("text").to_pylist())], dtype=np.int64)
         pieces = np.split(counts[coded.indices.to_numpy()], np.cumsum([len(x) for x in lengths])[:-1])
-        return pa.Table.from_arrays([rows.column("block"), rows.column("at"), pa.array([_packed(x) for x in pieces], pa.binary())], schema=_PIECES)
+        return pa.Table.from_arrays([rows.column("block"), pa.array([_packed(at, n) for at, n in zip(places, pieces)], pa.binary())], schema=_PIECES)
 
     return run
 
@@ -268,8 +277,8 @@ def _summed(blocks: pa.Table, pieces: pa.Table) -> pa.Table:
     starts = row.column("starts").flatten().to_numpy().astype(np.int64)
     codes = np.cumsum(_unpacked(row.column("codes")[0].as_py()), dtype=np.int64)
     each = np.zeros(row.column("pretokens")[0].as_py(), dtype=np.int64)
-    for at, counts in zip(pieces.column("at").to_pylist(), pieces.column("pieces").to_pylist()):
-        each[np.cumsum(_unpacked(at))] = _unpacked(counts)
+    for numbers in map(_unpacked, pieces.column("pieces").to_pylist()):
+        each[numbers[:len(numbers) // 2]] = numbers[len(numbers) // 2:]
     total = np.concatenate([[0], np.cumsum(each[codes] * _unpacked(row.column("times")[0].as_py()))])
     tokens = total[starts[1:]] - total[starts[:-1]]
     return pa.Table.from_arrays([row.column("doc_ids").flatten(), row.column("n_bytes").flatten(), pa.array(tokens)], schema=_COUNTS)
@@ -288,8 +297,8 @@ def token_counts(docs: DataFrame, tokenizer: str, block_bytes: int = BLOCK_BYTES
     blocks = stored(rows.mapInArrow(_blocks(Rule.of(tokenizer), block_bytes), f"block long, doc_ids array<long>, n_bytes array<long>, starts array<int>, {packs}, "
                                     "pretokens long, pretoken_bytes long"), "token-blocks")
     buckets = 1 + (blocks.agg(F.sum("pretoken_bytes")).first()[0] or 0) // bucket_bytes
-    dealt = blocks.select("block", "texts", "lengths").mapInArrow(_dealt(buckets), "bucket long, block long, at binary, texts binary, lengths binary")
-    pieces = dealt.groupBy("bucket").applyInArrow(_counted(tokenizer), "block long, at binary, pieces binary")
+    dealt = blocks.select("block", "texts", "lengths").mapInArrow(_dealt(buckets), "bucket long, block long, texts binary")
+    pieces = dealt.groupBy("bucket").applyInArrow(_counted(tokenizer), "block long, pieces binary")
     # a block of empty texts has no pre-tokens and is summed all the same
     return (blocks.select("block", "doc_ids", "n_bytes", "starts", "codes", "times", "pretokens").groupBy("block").cogroup(pieces.groupBy("block"))
             .applyInArrow(_summed, "doc_id long, n_bytes long, n_tokens long"))
