@@ -8,6 +8,7 @@ of different rows before anything is exchanged, also when one value holds most o
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,6 +101,31 @@ class Definitions:
         p = self._props(name)
         return g.ranged(self._driver(name, seen), p["minVal"], p["maxVal"], p.get("step", 1))
 
+    def period(self, name: str) -> tuple[int | None, bool]:
+        """After how many consecutive seed ids the column's deciding value repeats (None: not known), and whether it is another one for each
+        of these ids."""
+        if not self.varies(name):
+            return 1, True
+        p = self._props(name)
+        kind = RANGED if self.is_ranged(name) else kind_of(name, p)
+        if kind == SQL:
+            return None, False
+        source, hashed = self._source(name), p.get("baseColType") == "hash"
+        size = None
+        if kind == RANGED:
+            size = g.range_size(p["minVal"], p["maxVal"], p.get("step", 1))
+        elif kind == DATE_RANGE:
+            size = g.day_count(p["minVal"], p["maxVal"])
+        if source == SEED:
+            return (size, True) if size is not None and not hashed else (None, False)
+        period, single = self.period(source)
+        if size is None or hashed or not self.is_ranged(source) or period is None:
+            return period, False
+        # consecutive values of the source stay apart while a whole turn of their steps fits into the range
+        above = self._props(source)
+        values = g.range_size(above["minVal"], above["maxVal"], above.get("step", 1))
+        return period, single and values <= size // math.gcd(int(above.get("step", 1)), size)
+
     def varies(self, name: str) -> bool:
         """False when all rows get the same value."""
         return name in self.base or kind_of(name, self.keys[name]) not in (DELTA_DAYS, CONST_DATE)
@@ -190,8 +216,8 @@ def synth_rows(seeds: DataFrame, schema, config: Mapping, *, seed: str = SEED, c
 
 
 def synth_table(seeds: DataFrame, schema, config: Mapping, *, seed: str = SEED, chained: bool = True,
-                as_of=None) -> DataFrame:
-    """Distinct rows of a table: columns without a definition are null.
+                as_of=None, apart: bool = False) -> DataFrame:
+    """Distinct rows of a table: columns without a definition are null. ``apart`` says that the seeds are known to give different rows.
 
     Same result as ``synth_rows(...).distinct()``. Constants, nulls and columns that follow from
     another column of the table are filled in after the shuffle. Where the column's type can make different
@@ -205,7 +231,8 @@ def synth_table(seeds: DataFrame, schema, config: Mapping, *, seed: str = SEED,
     later = {n: s for n, s in sources.items() if s in varying and s not in merged and defs.derived_from(s) is None}
     first = [n for n in varying if n not in later]
     deciding = [(_typed(defs.value(n), fields[n], defs.keys[n]) if n in merged else defs.deciding(n)).alias(n) for n in first]
-    rows = defs.frame(seeds, seed).select(*(deciding or [F.lit(1).alias(SEED)])).distinct()
+    rows = defs.frame(seeds, seed).select(*(deciding or [F.lit(1).alias(SEED)]))
+    rows = rows if apart else rows.distinct()
     plain = {n: defs.finished(n, F.col(n)) if _has_position(defs, n) else F.col(n) for n in first if n not in merged}
     cells = []
     for name, field in fields.items():
@@ -261,11 +288,34 @@ def synth_all(seeds: DataFrame, schemas: Mapping, config: Mapping, *, seed: str
             for t in config["table_list"]}
 
 
+def window_of(rows: int, schema, config: Mapping, *, chained: bool = True) -> tuple[int, bool]:
+    """Of ``rows`` consecutive seed ids, how many at the beginning give all different rows of a table, and whether each of these gives
+    another row.
+
+    A row repeats after the least common multiple of its columns' periods. Within it rows differ as long as the columns that have another value
+    for each id of their own period do so together, which is up to the least common multiple of theirs.
+    """
+    defs = Definitions(config, chained=chained)
+    fields = {f.name: f for f in as_schema(schema).fields}
+    varying = [n for n in fields if n in defs.keys and defs.varies(n)]
+    periods = {n: defs.period(n) for n in varying}
+    if all(p is not None for p, _ in periods.values()):
+        rows = min(rows, math.lcm(*[p for p, _ in periods.values()]))
+    apart = math.lcm(*[p for n, (p, single) in periods.items() if single and not _may_merge(defs, n, fields[n])])
+    return rows, rows <= apart
+
+
+def synth_window(spark: SparkSession, rows: int, start: int, schema, config: Mapping, *, partitions: int | None = None, chained: bool = True,
+                 as_of=None) -> DataFrame:
+    """``synth_table`` of consecutive seed ids: makes only the ids that can give a new row, and has no exchange where each of them does."""
+    first, apart = window_of(rows, schema, config, chained=chained)
+    return synth_table(seed_ids(spark, first, start, partitions), schema, config, chained=chained, as_of=as_of, apart=apart)
+
+
 def synth_batches(spark: SparkSession, rows: int, starts: list[int], schema, config: Mapping, *,
                   partitions: int | None = None, chained: bool = True, as_of=None) -> list[DataFrame]:
     """One table frame per batch of seed ids; batches must not overlap."""
     ordered = sorted(starts)
     if any(b - a < rows for a, b in zip(ordered, ordered[1:])):
         raise ValueError(f"batches of {rows} ids starting at {ordered} overlap")
-    return [synth_table(seed_ids(spark, rows, s, partitions), schema, config, chained=chained, as_of=as_of)
-            for s in starts]
+    return [synth_window(spark, rows, s, schema, config, partitions=partitions, chained=chained, as_of=as_of) for s in starts]

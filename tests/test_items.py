@@ -36,28 +36,110 @@ def test_golden_row_in_any_zone(spark, zone):
     assert {r.ADDITIONAL_PK for r in rows} == {"X0000001110-0000004104"}
 
 
-def test_jobs_hand_over_the_golden_row(spark, tmp_path):
+@pytest.fixture
+def job(spark, tmp_path):
+    """Options of a synthesis job over empty tables, known by their header files."""
     spark.sql("CREATE DATABASE IF NOT EXISTS made")
     headers = {}
     for name, schema in SCHEMAS.items():
         spark.sql(f"DROP TABLE IF EXISTS made.{name}")
         headers[name] = str(tmp_path / f"{name}.csv")
         (tmp_path / f"{name}.csv").write_text(",".join(f.name for f in synthesize.as_schema(schema).fields) + "\n")
-    options = {"database": "made", "keyfile": str(tmp_path / "keys"), "appname": "app", "headers": headers, "chained": False, "as_of": AS_OF}
-    jobs.synthesize_job(synthesize.seed_ids(spark, 5, 8120), SYNTHESIS, version="1", starting_id=8120, **options)
-    jobs.synthesize_job(synthesize.seed_ids(spark, 5, 8125), SYNTHESIS, version="2", starting_id=8125, **options)
+    return {"database": "made", "keyfile": str(tmp_path / "keys"), "appname": "app", "headers": headers, "chained": False, "as_of": AS_OF}
+
+
+def test_jobs_hand_over_the_golden_row(spark, tmp_path, job):
+    assert jobs.synthesize_job(spark, SYNTHESIS, rows=5, version="1", starting_id=8120, **job)
+    assert jobs.synthesize_job(spark, SYNTHESIS, rows=5, version="2", starting_id=8125, **job)
     assert tables.scan_table(spark, "made.employee").count() == 10
     assert tables.resolve_schema(spark, "made.employee", "/none").fieldNames() == ["employee_id", "dept_id", "employee_level", "employment_start_dt", "increment_dt"]
     keys = tables.scan_keyfile(spark, str(tmp_path / "keys"))
-    assert {(r.version, r.dt) for r in keys.collect()} == {("1", "20240101"), ("2", "20240101")}
+    assert {(r.version, r.dt, r.startingId) for r in keys.collect()} == {("1", "20240101", 8120), ("2", "20240101", 8125)}
+    assert dict(keys.dtypes) == dict(synthesize.build_keyfile(synthesize.seed_ids(spark, 1), SCHEMAS, SYNTHESIS, appname="a", version="1", starting_id=1).dtypes)
     assert tables.scan_keyfile(spark, str(tmp_path / "keys"), "version=1").count() == 5
-    for part in ("version=1", "version=2"):
+    for part in ("version=1", "version=2", "version=2"):
         jobs.amplify_job(spark, ITEMS, keyfile=str(tmp_path / "keys"), below=part, items=str(tmp_path / "items"), as_of=AS_OF)
     items = spark.read.parquet(str(tmp_path / "items" / "PK1"))
     assert items.count() == 920 and "ADDITIONAL_PK" not in items.columns
     check_golden(items.where(F.col("PK") == GOLDEN).collect())
 
 
+def everything(spark, job):
+    made = {t: sorted(map(str, tables.scan_table(spark, f"made.{t}").collect())) for t in SYNTHESIS["table_list"]}
+    return made | {"keys": sorted(map(str, tables.scan_keyfile(spark, job["keyfile"]).collect()))}
+
+
+@pytest.mark.parametrize("lost", ["employee", "trainings", "keys"])
+def test_a_batch_that_was_cut_off_is_made_once(spark, job, monkeypatch, lost):
+    """A job dies before it writes one of its tables, or the key file after all of them; the next run leaves what one run leaves."""
+    def dies(real, name):
+        def write(df, target, *rest):
+            if target == name:
+                raise RuntimeError("the cluster is gone")
+            real(df, target, *rest)
+        return write
+
+    jobs.synthesize_job(spark, SYNTHESIS, rows=40, version="1", starting_id=100, **job)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "write_batch", dies(tables.write_batch, f"made.{lost}"))
+        m.setattr(tables, "write_keyfile", dies(tables.write_keyfile, job["keyfile"] if lost == "keys" else ""))
+        with pytest.raises(RuntimeError):
+            jobs.synthesize_job(spark, SYNTHESIS, rows=40, version="1", starting_id=140, **job)
+    assert jobs.synthesize_job(spark, SYNTHESIS, rows=40, version="1", starting_id=140, **job)
+    first = everything(spark, job)
+    assert len(first["employee"]) == len(first["keys"]) == 80
+    assert not jobs.synthesize_job(spark, SYNTHESIS, rows=40, version="1", starting_id=140, **{**job, "as_of": "2024-01-09 00:00:00"})
+    assert everything(spark, job) == first
+
+
+def test_batches_must_not_share_ids(spark, job):
+    assert tables.made_batches(spark, job["keyfile"]).isEmpty()
+    jobs.synthesize_job(spark, SYNTHESIS, rows=10, version="1", starting_id=100, **job)
+    for start, rows in ((109, 5), (91, 10), (100, 9), (95, 100)):
+        with pytest.raises(ValueError, match="overlap"):
+            jobs.synthesize_job(spark, SYNTHESIS, rows=rows, version="1", starting_id=start, **job)
+    assert jobs.synthesize_job(spark, SYNTHESIS, rows=10, version="1", starting_id=110, **job)
+    assert jobs.synthesize_job(spark, SYNTHESIS, rows=10, version="2", starting_id=100, **job)
+    assert sorted(tuple(r) for r in tables.made_batches(spark, job["keyfile"]).collect()) == [("1", 100, 10), ("1", 110, 10), ("2", 100, 10)]
+
+
+def files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_a_put_replaces_only_its_buckets(spark, tmp_path):
+    store, path = tmp_path / "store", str(tmp_path / "store")
+    rows = [(f"p{i}", f"s{i % 3}", i, "old") for i in range(200)]
+    schema = "PK string, SK string, n int, note string"
+    tables.put_into(path, spark.createDataFrame(rows, schema), "n", buckets=16)
+    before = files(store)
+    assert len({x.rpartition("/")[0] for x in before}) == 16
+    batch = spark.createDataFrame([("p7", "s1", 1000, True), ("p7", "s9", 1001, None)], "PK string, SK string, n int, extra boolean")
+    tables.put_into(path, batch, "n", buckets=16)
+    after = files(store)
+    changed = {x.rpartition("/")[0] for x in before.keys() ^ after.keys()}
+    assert len(changed) == 1 and all(after[x] == at for x, at in before.items() if x.rpartition("/")[0] not in changed)
+    want = amplify.put_items(spark.createDataFrame(rows, schema), batch, "n")
+    assert sorted(map(str, tables.scan_items(spark, path).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError, match="16 buckets"):
+        tables.put_into(path, batch, "n", buckets=8)
+
+
+def test_a_put_that_was_cut_off(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "store"), "PK string, SK string, n int"
+    tables.put_into(path, spark.createDataFrame([("a", "1", 1), ("b", "1", 1)], schema), "n", buckets=4)
+    with monkeypatch.context() as m:  # staged, but not moved into its bucket
+        m.setattr(tables, "_own_partitions_only", lambda spark: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.put_into(path, spark.createDataFrame([("a", "1", 2)], schema), "n", buckets=4)
+    assert {r.n for r in tables.scan_items(spark, path).collect()} == {1}
+    tables.finish_put(spark, path)
+    assert sorted(tuple(r) for r in tables.scan_items(spark, path).select("PK", "n").collect()) == [("a", 2), ("b", 1)]
+    (tmp_path / "store" / "_put").mkdir()  # staging itself was cut off
+    tables.put_into(path, spark.createDataFrame([("c", "1", 3)], schema), "n", buckets=4)
+    assert tables.scan_items(spark, path).count() == 3 and not (tmp_path / "store" / "_put").exists()
+
+
 def test_tables_may_be_partitioned(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS made")
     spark.sql("DROP TABLE IF EXISTS made.parted")

@@ -43,6 +43,36 @@ def test_same_rows_for_any_partitioning(spark):
     assert one == many
 
 
+STEPS = {
+    "basemap": {"a": {"minVal": 0, "maxVal": 11}, "b": {"minVal": 5, "maxVal": 40, "step": 4}, "c": {"minVal": 1, "maxVal": 6, "baseCol": "a"}},
+    "keymap": {
+        "same": {"minVal": 1, "maxVal": 12, "baseCol": "a"}, "less": {"minVal": 1, "maxVal": 5, "baseCol": "a"}, "more": {"minVal": 1, "maxVal": 90, "baseCol": "b"},
+        "even": {"minVal": 0, "maxVal": 15, "baseCol": "b"}, "hashed": {"minVal": 1, "maxVal": 50, "baseCol": "a", "baseColType": "hash"}, "twice": {"minVal": 1, "maxVal": 3, "baseCol": "c"},
+        "own": {"minVal": 1, "maxVal": 8}, "day": {"datatype": "date", "genType": "dateRange", "minVal": "20240115", "maxVal": "20240120"},
+        "after": {"datatype": "date", "genType": "columnBasedDeltaDays", "deltaDays": 2, "baseCol": "day"}, "day2": {"datatype": "date", "genType": "dateRange", "minVal": "20240115", "maxVal": "20240120", "baseCol": "b"},
+        "word": {"datatype": "faker", "fakerText": "word", "options": ["x", "y"], "baseCol": "same"}, "free": {"datatype": "faker", "fakerText": "word", "options": ["x", "y"], "baseCol": "id"},
+        "fixed": {"datatype": "confdate", "val": "2022-10-24"}, "sql": {"datatype": "confval", "val": "a div 2"}, "seedhash": {"minVal": 1, "maxVal": 9, "baseColType": "hash"}},
+}
+
+
+@pytest.mark.parametrize("schema", [
+    "same INT", "less INT", "more INT", "even INT", "hashed INT", "twice INT", "own INT, same INT", "own INT, less INT", "more INT, same STRING, day STRING", "day STRING, after STRING", "day2 STRING",
+    "word STRING", "word STRING, same INT", "free STRING", "fixed STRING", "fixed STRING, own INT", "sql INT, own INT", "seedhash INT", "own BOOLEAN", "own BOOLEAN, same INT", "unknown INT"])
+@pytest.mark.parametrize("rows,start,chained", [(500, 7, False), (61, 1000, True)])
+def test_distinct_rows_of_consecutive_ids(spark, schema, rows, start, chained):
+    made = synthesize.synth_window(spark, rows, start, schema, STEPS, chained=chained, as_of=AS_OF)
+    plain = synthesize.synth_rows(synthesize.seed_ids(spark, rows, start), schema, STEPS, chained=chained, as_of=AS_OF).distinct()
+    assert made.schema == plain.schema and sorted(made.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_consecutive_ids_need_no_exchange(spark):
+    plan = lambda name, **o: synthesize.synth_window(spark, 10 ** 12, 500, SCHEMAS[name], SYNTHESIS, **o)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan("employee") and "Range (500, 10501" in plan("employee")
+    assert "Exchange" not in plan("company", chained=False) and "Range (500, 1501" in plan("company", chained=False)
+    assert "Exchange" in plan("department") and "Range (500, 10501" in plan("department")  # ten employees to a department
+    assert synthesize.window_of(10 ** 12, SCHEMAS["employee"], WIDE_SYNTHESIS) == (2_000_000_000, True)
+
+
 def test_batches_are_one_run(spark):
     whole = synthesize.synth_table(synthesize.seed_ids(spark, 100, 5), SCHEMAS["employee"], SYNTHESIS, as_of=AS_OF)
     a, b = synthesize.synth_batches(spark, 50, [5, 55], SCHEMAS["employee"], SYNTHESIS, as_of=AS_OF)
