@@ -28,11 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyweave.functions.json_index import KINDS, LIST, NULL, NUMBER, OBJECT, TEXT, FALSE, TRUE, JsonIndex, byte_bounds, decoded
+from keyweave.functions.json_windows import walked
 from keyweave.functions.patterns import Automaton
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BATCH_BYTES = 4 << 20
+WINDOW_BYTES = 2 << 20
 NODES_AT_ONCE = 50_000
 
 
@@ -516,23 +518,53 @@ def _node_batches(column: str, ids: list[str], schema: pa.Schema) -> Callable:
         for batch in batches:
             texts = batch.column(column)
             for start, stop in _parts(texts):
-                index = JsonIndex(texts.slice(start, stop - start))
-                first = np.searchsorted(index.doc, np.arange(index.docs))
-                for low in range(0, index.size, NODES_AT_ONCE):
-                    yield one(batch.slice(start, stop - start), index, np.arange(low, min(low + NODES_AT_ONCE, index.size)), first)
-
-    def one(rows: pa.RecordBatch, index: JsonIndex, nodes: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
-        doc, parent, kind = index.doc[nodes], index.parent[nodes], index.kind[nodes]
-        base = index.bounds[doc]
+                part = batch.slice(start, stop - start)
+                yield from (large(part) if len(part) == 1 and part.column(column).nbytes > 2 * WINDOW_BYTES else small(part))
+
+    def small(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        index = JsonIndex(rows.column(column))
+        first = np.searchsorted(index.doc, np.arange(index.docs))
+        for low in range(0, index.size, NODES_AT_ONCE):
+            nodes = np.arange(low, min(low + NODES_AT_ONCE, index.size))
+            doc, parent = index.doc[nodes], index.parent[nodes]
+            base = index.bounds[doc]
+            yield one(rows, doc, index, nodes, nodes - first[doc], np.where(parent < 0, -1, parent - first[doc]), index.rank[nodes], index.keys_of(nodes),
+                      index.start[nodes] - base, index.end[nodes] - base, index.shadowed[nodes])
+
+    def large(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """A document window by window; containers that span windows come where they end."""
+        text = rows.column(column)
+        bounds = byte_bounds(text)
+        data = np.frombuffer(text.buffers()[2], dtype=np.uint8)[bounds[0]:bounds[1]]
+        try:
+            for w, hidden in walked(data, WINDOW_BYTES):
+                index, stack = w.index, w.stack
+                closed = np.flatnonzero((index.end <= w.prefix + w.stop - w.begin) & (np.arange(index.size) >= len(stack)))
+                ended = [i for i in range(len(stack)) if index.end[i] <= w.prefix + w.stop - w.begin]
+                for low in range(0, len(closed), NODES_AT_ONCE):
+                    nodes = closed[low:low + NODES_AT_ONCE]
+                    yield one(rows, np.zeros(len(nodes), dtype=np.int64), index, nodes, w.number(nodes), w.number(index.parent[nodes]), w.place(nodes),
+                              index.keys_of(nodes), w.start(nodes), w.end(nodes), hidden[nodes])
+                if ended:
+                    own, nodes = [stack[i] for i in ended], np.array(ended)
+                    of = lambda name: np.array([getattr(o, name) for o in own])
+                    yield one(rows, np.zeros(len(own), dtype=np.int64), index, nodes, of("node"), of("parent"), of("place"),
+                              pa.array([o.key for o in own], pa.string()), of("start"), w.end(nodes), of("shadowed"))
+        except ValueError:  # known before the first row, from the first walk
+            return
+
+    def one(rows: pa.RecordBatch, doc: np.ndarray, index: JsonIndex, nodes: np.ndarray, number: np.ndarray, parent: np.ndarray, place: np.ndarray, keys: pa.Array,
+            start: np.ndarray, end: np.ndarray, shadowed: np.ndarray) -> pa.RecordBatch:
+        kind = index.kind[nodes]
         scalar = np.flatnonzero(kind > LIST)
         quoted = (kind[scalar] == TEXT).astype(np.int64)
         contents = index.strings(index.start[nodes[scalar]] + quoted, index.end[nodes[scalar]] - quoted)
         at = np.full(len(nodes), -1, dtype=np.int64)
         at[scalar] = np.arange(len(scalar))
         values = contents.cast(pa.string()).take(pa.array(at, mask=at < 0))
-        own = [pa.array(nodes - first[doc]), pa.array(parent - first[doc], mask=parent < 0), index.keys_of(nodes), pa.array(index.rank[nodes], mask=parent < 0),
-               pa.array(KINDS).take(pa.array(kind)), pa.array(index.level[nodes], pa.int32()), pa.array(index.start[nodes] - base),
-               pa.array(index.end[nodes] - base), values, pa.array(~index.shadowed[nodes])]
+        top = parent < 0
+        own = [pa.array(number), pa.array(parent, mask=top), keys, pa.array(place, mask=top), pa.array(KINDS).take(pa.array(kind)), pa.array(index.level[nodes], pa.int32()),
+               pa.array(start), pa.array(end), values, pa.array(~shadowed)]
         return pa.RecordBatch.from_arrays([*[rows.column(c).take(pa.array(doc)) for c in ids], *own], schema=schema)
 
     return run
@@ -543,7 +575,8 @@ def json_nodes(df: DataFrame, ids: str | list[str], column: str) -> DataFrame:
     for the whole), key (null for items and the whole), place (among its siblings), kind (object, list, string, number, true, false, null),
     depth, start and end (bytes), value (of a scalar, strings decoded), counts (false where a later member of the same key takes its place).
 
-    Rows come in batches of ``NODES_AT_ONCE``. Nodes of one document are joined by the ids and node = parent. A malformed or null document has no rows.
+    Rows come in batches of ``NODES_AT_ONCE``, those of a document of more than ``WINDOW_BYTES`` twice from one window of it after another (``json_windows``): what is
+    held beside the text follows from the window and the depth. Nodes of one document are joined by the ids and node = parent. A malformed or null document has no rows.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from keyweave.functions.json_index import KINDS, JsonIndex, gathered, problem
+from keyweave.functions.json_windows import walked
 from keyweave.functions.patterns import Automaton
 
 SCALARS = st.none() | st.booleans() | st.integers(-9, 9) | st.floats(allow_nan=False, allow_infinity=False) | st.text(max_size=4)
@@ -80,6 +81,52 @@ def test_gathered(at_once):
     assert gathered(source, starts, lengths, at_once).tolist() == [x for a, n in zip(starts, lengths) for x in source[a:a + n].tolist()]
 
 
+def windowed(text, size):
+    """Values of a document by windows, as the whole index would have them; None where it isn't one."""
+    found = {}
+    data = np.frombuffer((text + "\n").encode(), dtype=np.uint8)
+    try:
+        for w, hidden in walked(data, size):
+            index, limit = w.index, w.prefix + w.stop - w.begin
+            keys = index.keys_of(np.arange(index.size)).to_pylist()
+            nodes = np.arange(index.size)
+            number, parent, place, start, end = w.number(nodes), w.number(index.parent), w.place(nodes), w.start(nodes), w.end(nodes)
+            for n in nodes[index.end <= limit].tolist():
+                o = w.stack[n] if n < len(w.stack) else None
+                own = (o.parent, o.key, o.place, o.start, o.shadowed) if o else (parent[n], keys[n], place[n], start[n], hidden[n])
+                assert number[n] not in found
+                found[int(number[n])] = (*own, KINDS[index.kind[n]], index.level[n], end[n])
+    except ValueError:
+        return None
+    return [found[i] for i in range(len(found))]
+
+
+def whole(text):
+    index = index_of([text])
+    keys = index.keys_of(np.arange(index.size)).to_pylist()
+    return None if index.bad[0] else [(index.parent[n], keys[n], index.rank[n], index.start[n], index.shadowed[n], KINDS[index.kind[n]], index.level[n], index.end[n]) for n in range(index.size)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(JSON, st.integers(1, 25), st.booleans())
+def test_windows_of_documents(doc, size, plain):
+    text = json.dumps(doc, ensure_ascii=plain)
+    assert windowed(text, size) == whole(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join), st.integers(1, 9))
+def test_windows_of_any_text(text, size):
+    assert windowed(text, size) == whole(text)
+
+
+@pytest.mark.parametrize("text", ["[1,]", "[,1]", "[1,,2]", ",1", "1,", '{"a":1,}', '{"a":1,"a":{"a":[1,2],"b":3,"a":4},"c":[{"a":1},{"a":2}],"a":5}', '{"a":[1,2,3,{"x":1,"x":2}],"":7,"b":{"":1},"":[8,9],"a":0}',
+                                  '[[1,2],[3,[4,5],6],7]', "1 2", "[1}, 2]", "[1],[2]", '"a,b"', "[]", "", '["a,b","c\\",",d"]'])
+def test_windows_of_edges(text):
+    for size in range(1, 30):
+        assert windowed(text, size) == whole(text), size
+
+
 def test_automaton():
     rng = random.Random(8)
     for _ in range(200):
