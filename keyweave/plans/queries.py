@@ -17,9 +17,12 @@ def _read(spark, d, table):
     return spark.read.parquet(f"{d}/{table}.parquet")
 
 
-def _keys(spark, d, config=SYNTHESIS, chained=True):
-    return synthesize.build_keyfile(_read(spark, d, "customer"), SCHEMAS, config, appname="app", version="1", starting_id=0,
-                                    seed="c_custkey", chained=chained, as_of=AS_OF)
+SEEDS = {"customer": "c_custkey", "orders": "o_orderkey"}
+
+
+def _keys(spark, d, config=SYNTHESIS, chained=True, table="customer"):
+    return synthesize.build_keyfile(_read(spark, d, table), SCHEMAS, config, appname="app", version="1", starting_id=0,
+                                    seed=SEEDS[table], chained=chained, as_of=AS_OF)
 
 
 def items(spark, d):
@@ -43,12 +46,13 @@ COLUMNS = {
 }
 
 
+def _columns(schema):
+    """Generated columns for each order."""
+    return lambda spark, d: synthesize.synth_rows(_read(spark, d, "orders"), schema, COLUMNS, seed="o_orderkey", as_of=AS_OF)
+
+
 def _column(name, kind="STRING"):
-    """A generated column for each order."""
-    def query(spark, d):
-        rows = synthesize.synth_rows(_read(spark, d, "orders"), f"{name} {kind}", COLUMNS, seed="o_orderkey", as_of=AS_OF)
-        return rows
-    return query
+    return _columns(f"{name} {kind}")
 
 
 def _base(spark, d):
@@ -64,12 +68,9 @@ def _table(name, config=SYNTHESIS, schema=None, **options):
 
 
 def _all_tables(spark, d):
+    """All tables as one, each row with the name of its table; columns that a table hasn't are null."""
     made = synthesize.synth_all(_read(spark, d, "orders"), SCHEMAS, SYNTHESIS, seed="o_orderkey", as_of=AS_OF)
-    counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows") for name, df in made.items()]
-    out = counts[0]
-    for df in counts[1:]:
-        out = out.unionByName(df)
-    return out
+    return amplify.union_families(made).withColumnRenamed("family", "table_name")
 
 
 def _pk(spark, d):
@@ -96,6 +97,8 @@ def uneven_items(spark, d):
     return amplify.amplify(keys, UNEVEN, as_of="2001-09-01 10:11:12", distinct=True, rows_per_task=amplify.ROWS_PER_TASK).select("PK", "SK", "n")
 
 
+#: Items of a key for 1 to 91 days, by its department.
+WIDE_ITEMS = {**PK1, "SK": {**PK1["SK"], "start": "date_sub(as_of, cast(department_id % 91 as int))"}}
 FAMILIES = {"PKlst": ["PK1", "PK2"], "PKdesc": {
     "PK1": {**PK1, "SK": {"type": "conf", "val": "employee_id"}, "Attrs": ["kind"], "kind": {"type": "string", "str": "first"}},
     "PK2": {"SQL": "concat('C', company_id)", "SK": {"type": "conf", "val": "cast(department_id as string)"}, "Attrs": ["note"], "note": {"type": "sql", "attr_SQL": "concat(PK, '/', SK)"}}}}
@@ -211,9 +214,9 @@ def _plus(amount):
 
 QUERIES = {
     "gen_base_range": _base, "gen_key_range": _column("linked", "BIGINT"), "gen_prefix": _column("prefixed"), "gen_alias": _alias,
-    "gen_date_range": _column("day"), "gen_delta_days": _column("soon"), "gen_column_delta_days": _column("later"),
-    "gen_word_choice": _column("word"), "gen_fake_text": _column("person"), "gen_const_date": _column("fixed"), "gen_sql_expr": _column("sql", "INT"),
-    "gen_null_column": _column("unknown", "DECIMAL(10,2)"),
+    "gen_date_range": _column("day"), "gen_delta_days": _columns("linked BIGINT, soon STRING"), "gen_column_delta_days": _column("later"),
+    "gen_word_choice": _column("word"), "gen_fake_text": _column("person"), "gen_const_date": _columns("linked BIGINT, fixed STRING"), "gen_sql_expr": _column("sql", "INT"),
+    "gen_null_column": _columns("unknown DECIMAL(10,2), linked BIGINT"),
     "synth_table": _table("department"), "synth_employee": _table("employee"), "synth_compat": _table("department", chained=False),
     "distinct_rows": lambda s, d: synthesize.synth_rows(_read(s, d, "orders"), SCHEMAS["employee"], SYNTHESIS, seed="o_orderkey", as_of=AS_OF).distinct(),
     "synth_merged": _table("", COLUMNS, "sql INT, word STRING"), "synth_all": _all_tables, "build_keyfile": _keys,
@@ -221,16 +224,17 @@ QUERIES = {
     "amp_additional_pk": lambda s, d: amplify.partition_keys(_keys(s, d), {"SQL": PK1["SQL"]}, AS_OF).select("empid", "ADDITIONAL_PK"), "amp_sk_conf": _sk({**PK1, "SK": {"type": "conf", "val": "concat(company_id, '#', training_id)"}}), "amp_sk_daterange": _sk(PK1),
     "attr_json": _attribute("attr1", PK1["attr1"]), "attr_audit_date": _attribute("create_time", PK1["create_time"]),
     "attr_relative_date": _attribute("expTm", PK1["expTm"]), "attr_string": _attribute("text", {"type": "string", "str": "fixed"}),
-    "attr_sql": _attribute("sqltypeattr", PK1["sqltypeattr"]), "amp_families": _families, "amplify_items": items, "amp_uneven_range": uneven_items,
+    "attr_sql": _attribute("sqltypeattr", PK1["sqltypeattr"]),
+    "attr_unix_time": _attribute("seconds", {"type": "sql", "attr_SQL": "unix_timestamp(date_add(to_date(create_time), cast(substr(SK, 5) as int) % 50))"}), "amp_families": _families, "amplify_items": items, "amp_uneven_range": uneven_items,
     "put_items": _put,
     "check_fk": lambda s, d: checks.foreign_key_violations(_read(s, d, "lineitem"), "l_orderkey", _read(s, d, "orders").where("o_orderstatus <> 'P'"), "o_orderkey"),
     "check_pk": lambda s, d: checks.primary_key_violations(_read(s, d, "lineitem"), ["l_orderkey", "l_partkey"]),
     "check_fd": lambda s, d: checks.dependency_violations(synthesize.synth_rows(_read(s, d, "orders"), SCHEMAS["department"], SYNTHESIS, seed="o_orderkey",
                                                                                 chained=False, as_of=AS_OF), "department_id", "costcenter"),
-    "check_item_keys": lambda s, d: checks.item_key_violations(amplify.amplify(_keys(s, d), {**PK1, "SK": {"type": "conf", "val": "company_id"}, "Attrs": []}, as_of=AS_OF)),
+    "check_item_keys": lambda s, d: checks.item_key_violations(amplify.amplify(_keys(s, d, table="orders"), {**PK1, "SK": {"type": "conf", "val": "company_id"}, "Attrs": []}, as_of=AS_OF)),
     "check_fanout": lambda s, d: amplify.fan_out_of_keys(_keys(s, d), PK1, as_of=AS_OF, distinct=True),
-    "wide_items": lambda s, d: checks.fan_out(amplify.amplify(synthesize.build_keyfile(
-        _read(s, d, "orders"), SCHEMAS, WIDE_SYNTHESIS, appname="app", version="1", starting_id=0, seed="o_orderkey", as_of=AS_OF), PK1, as_of=AS_OF, distinct=True, rows_per_task=amplify.ROWS_PER_TASK)),
+    "wide_items": lambda s, d: checks.fan_out(amplify.amplify(_keys(s, d, WIDE_SYNTHESIS, table="orders"), WIDE_ITEMS, as_of=AS_OF, distinct=True,
+                                                             rows_per_task=amplify.ROWS_PER_TASK)),
     "json_lookup": _lookup, "json_lookup_wild": _lookup_wild, "json_lookup_with_keys": _lookup_with_keys, "json_all_keys": _all_keys,
     "json_key_count": lambda s, d: documents(s, d).select("doc_id", nested.key_count(F.col("doc"), "id").alias("n")),
     "json_value_count": lambda s, d: documents(s, d).select("doc_id", nested.ask(F.col("doc"), n=nested.count_value("R"), n7=nested.count_value(7)).alias("found")).select(
@@ -254,8 +258,9 @@ _CHAIN = """SELECT id, empid, deptid, 1000 + deptid % 1001 AS companyid, 'X' ||
     SELECT *, 4000 + empid % 1001 AS deptid FROM (SELECT {seed} AS id, 10000 + {seed} % 10001 AS empid FROM {table}))"""
 _CUSTOMERS, _ORDERS = _CHAIN.format(seed="c_custkey", table="customer"), _CHAIN.format(seed="o_orderkey", table="orders")
 # lpad cuts on the right of the joined text
-_PKS = f"""SELECT *, lpad(lpad(employee_id, 10, '0') || '-' || lpad(department_id, 10, '0'), 22, 'X-') AS PK,
-    lpad(lpad(costcenter, 10, '0') || '-' || lpad(department_id, 10, '0'), 22, 'X-') AS ADDITIONAL_PK FROM ({_CUSTOMERS})"""
+_PARTITION_KEYS = """SELECT *, lpad(lpad(employee_id, 10, '0') || '-' || lpad(department_id, 10, '0'), 22, 'X-') AS PK,
+    lpad(lpad(costcenter, 10, '0') || '-' || lpad(department_id, 10, '0'), 22, 'X-') AS ADDITIONAL_PK FROM ({})"""
+_PKS = _PARTITION_KEYS.format(_CUSTOMERS)
 _DAYS = """SELECT strftime(DATE '2023-10-02' + CAST(i AS INTEGER), '%Y-%m-%d 00:00:00') AS SK FROM range(92) t(i)"""
 _LEVEL = "list_extract(['L1','L2','L3','L4','L5'], CAST(1 + " + _PICK.format(x="employee_id", at=1, n=5) + " AS INTEGER))"
 _TRAINING = "list_extract(['ethics','security'], CAST(1 + " + _PICK.format(x="training_id", at=1, n=2) + " AS INTEGER))"
@@ -288,14 +293,14 @@ SQL = {
     "gen_prefix": f"SELECT 'P-' || (1 + base % 99) AS prefixed FROM ({_COLS})",
     "gen_alias": f"SELECT department_id, department_id AS dept_id FROM ({_ORDERS})",
     "gen_date_range": "SELECT strftime(DATE '2024-01-15' + CAST(o_orderkey % 56 AS INTEGER), '%Y%m%d') AS day FROM orders",
-    "gen_delta_days": "SELECT '20240131' AS soon FROM orders",
+    "gen_delta_days": f"SELECT 100 + (base % 101) * 3 AS linked, '20240131' AS soon FROM ({_COLS})",
     "gen_column_delta_days": "SELECT strftime(DATE '2024-01-17' + CAST(o_orderkey % 56 AS INTEGER), '%Y%m%d') AS later FROM orders",
     "gen_word_choice": f"SELECT list_extract(['a','b','a','c'], CAST(1 + {_PICK.format(x='100 + (base % 101) * 3', at=1, n=4)} AS INTEGER)) AS word FROM ({_COLS})",
     "gen_fake_text": f"""SELECT {_FIRST.format(_PICK.format(x="'person:' || base", at=1, n=12))} || ' ' || {_LAST.format(_PICK.format(x="'person:' || base", at=9, n=11))} AS person
         FROM ({_COLS})""",
-    "gen_const_date": "SELECT '20221024' AS fixed FROM orders",
+    "gen_const_date": f"SELECT 100 + (base % 101) * 3 AS linked, '20221024' AS fixed FROM ({_COLS})",
     "gen_sql_expr": f"SELECT CAST(base // 2 AS INTEGER) AS sql FROM ({_COLS})",
-    "gen_null_column": "SELECT CAST(NULL AS DECIMAL(10,2)) AS unknown FROM orders",
+    "gen_null_column": f"SELECT CAST(NULL AS DECIMAL(10,2)) AS unknown, 100 + (base % 101) * 3 AS linked FROM ({_COLS})",
     "synth_table": f"SELECT DISTINCT department_id, costcenter, CAST(NULL AS VARCHAR) AS dept_name FROM ({_ORDERS})",
     "synth_employee": f"""SELECT DISTINCT employee_id, department_id AS dept_id, {_LEVEL} AS employee_level, '20240111' AS employment_start_dt,
         CAST(NULL AS VARCHAR) AS increment_dt FROM ({_ORDERS})""",
@@ -305,9 +310,11 @@ SQL = {
         CAST(1000 + (4000 + o_orderkey % 1001) % 1001 AS VARCHAR) AS costcenter, CAST(NULL AS VARCHAR) AS dept_name FROM orders""",
     "synth_merged": f"""SELECT DISTINCT CAST(base // 2 AS INTEGER) AS sql,
         list_extract(['a','b','a','c'], CAST(1 + {_PICK.format(x='100 + (base % 101) * 3', at=1, n=4)} AS INTEGER)) AS word FROM ({_COLS})""",
-    "synth_all": f"""WITH o AS ({_ORDERS}) SELECT 'department' AS table_name, count(DISTINCT (department_id, costcenter)) AS n_rows FROM o
-        UNION ALL SELECT 'employee', count(DISTINCT (employee_id, department_id)) FROM o UNION ALL SELECT 'company', count(DISTINCT company_id) FROM o
-        UNION ALL SELECT 'trainings', count(DISTINCT training_id) FROM o""",
+    "synth_all": f"""WITH o AS ({_ORDERS}) SELECT DISTINCT 'department' AS table_name, department_id, costcenter, CAST(NULL AS VARCHAR) AS dept_name FROM o
+        UNION ALL BY NAME SELECT DISTINCT 'employee' AS table_name, employee_id, department_id AS dept_id, {_LEVEL} AS employee_level, '20240111' AS employment_start_dt,
+            CAST(NULL AS VARCHAR) AS increment_dt FROM o
+        UNION ALL BY NAME SELECT DISTINCT 'company' AS table_name, company_id, CAST(NULL AS VARCHAR) AS company_start_dt FROM o
+        UNION ALL BY NAME SELECT DISTINCT 'trainings' AS table_name, training_id, {_TRAINING} AS training_name FROM o""",
     "build_keyfile": f"""SELECT empid, deptid, companyid, department_id::BIGINT AS department_id, costcenter::BIGINT AS costcenter, employee_id, department_id::BIGINT AS dept_id,
         {_LEVEL} AS employee_employee_level, '20240111' AS employee_employment_start_dt, company_id::BIGINT AS company_id, training_id::BIGINT AS training_id,
         {_TRAINING} AS trainings_training_name, 'app' AS appname, '1' AS version, CAST(0 AS BIGINT) AS startingId, '20240101' AS dt FROM ({_CUSTOMERS})""",
@@ -321,6 +328,7 @@ SQL = {
     "attr_relative_date": _one_item("CAST(epoch(DATE '2024-01-01' + 100) AS BIGINT)", "expTm"),
     "attr_string": _one_item("'fixed'", "text"),
     "attr_sql": _one_item("split_part(PK, '-', 1)", "sqltypeattr"),
+    "attr_unix_time": _one_item("CAST(epoch(DATE '2024-01-01' + CAST(CAST(substr(employee_id, 5) AS INTEGER) % 50 AS INTEGER)) AS BIGINT)", "seconds"),
     "amp_families": f"""SELECT DISTINCT 'PK1' AS family, PK, employee_id AS SK, ADDITIONAL_PK, 'first' AS kind, CAST(NULL AS VARCHAR) AS note FROM ({_PKS})
         UNION ALL SELECT DISTINCT 'PK2', 'C' || company_id, department_id, 'NA', CAST(NULL AS VARCHAR), 'C' || company_id || '/' || department_id FROM ({_CUSTOMERS})""",
     "amplify_items": f"""SELECT PK, SK, ADDITIONAL_PK, '{{"employee_id": "' || split_part(PK, '-', 1) || '", "dept_id": "' || split_part(PK, '-', 2) || '", "status_update": "'
@@ -334,10 +342,10 @@ SQL = {
     "check_pk": "SELECT l_orderkey, l_partkey, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
     "check_fd": """SELECT department_id, count(DISTINCT costcenter) AS n_values FROM (SELECT CAST(4000 + (10000 + o_orderkey % 10001) % 1001 AS VARCHAR) AS department_id,
         1000 + (4000 + o_orderkey % 1001) % 1001 AS costcenter FROM orders) GROUP BY 1 HAVING count(DISTINCT costcenter) > 1""",
-    "check_item_keys": f"SELECT PK, company_id AS SK, count(*) AS n_rows FROM ({_PKS}) GROUP BY ALL HAVING count(*) > 1",
+    "check_item_keys": f"SELECT PK, CAST(company_id AS BIGINT) AS SK, count(*) AS n_rows FROM ({_PARTITION_KEYS.format(_ORDERS)}) GROUP BY ALL HAVING count(*) > 1",
     "check_fanout": f"SELECT PK, CAST(92 * count(DISTINCT ADDITIONAL_PK) AS BIGINT) AS n_items FROM ({_PKS}) GROUP BY 1",
-    "wide_items": """SELECT lpad(lpad('X' || e, 10, '0') || '-' || lpad(CAST(1 + b % 20000000 AS VARCHAR), 10, '0'), 22, 'X-') AS PK, CAST(92 AS BIGINT) AS n_items
-        FROM (SELECT DISTINCT 1 + (1 + o_orderkey % 2000000000) % 2000000000 AS e, 1 + o_orderkey % 2000000000 AS b FROM orders) GROUP BY ALL""",
+    "wide_items": """SELECT lpad(lpad('X' || e, 10, '0') || '-' || lpad(CAST(dep AS VARCHAR), 10, '0'), 22, 'X-') AS PK, CAST(1 + dep % 91 AS BIGINT) AS n_items
+        FROM (SELECT DISTINCT 1 + (1 + o_orderkey % 2000000000) % 2000000000 AS e, 1 + (1 + o_orderkey % 2000000000) % 20000000 AS dep FROM orders) GROUP BY ALL""",
     "json_lookup": f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY "at") - 1 AS pos,
         replace(replace(replace(substr(path, 2), '.', '/'), '[', '/'), ']', '') || '/id' AS path, atom::VARCHAR AS value FROM ({_TREE}) WHERE key = 'id'""",
     "json_lookup_wild": f"SELECT key, count(*) AS n FROM ({_TREE}) WHERE contains(lower(key), 'ne') GROUP BY 1",

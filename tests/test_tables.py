@@ -119,3 +119,19 @@ def test_checks_report_offenders(spark):
     assert [tuple(r) for r in checks.item_key_violations(items).collect()] == [("p", "s", 2)]
     assert checks.fan_out(items).first().n_items == 3
     assert checks.dependency_violations(items.withColumn("v", F.lit(1)), ["PK", "SK"], ["v"]).isEmpty()
+
+
+@pytest.mark.parametrize("few", [0, 3, 1000])
+def test_keys_in_two_levels(spark, few):
+    """Exact however many fingerprints repeat, with nulls, a hot key, and keys of several columns."""
+    rows = [(i % 40, f"k{i}") for i in range(60)] + [(7, "k7")] * 300 + [(None, "x"), (None, "x"), (3, None), (None, None)] + [(i, f"k{i}") for i in range(4)]
+    df = spark.createDataFrame(rows, "a int, b string").repartition(5)
+    for key in ("a", "b", ["a", "b"]):
+        names = [key] if isinstance(key, str) else key
+        want = {}
+        for r in rows:
+            k = tuple(r["ab".index(n)] for n in names)
+            want[k] = want.get(k, 0) + 1
+        got = checks.primary_key_violations(df, key, few=few).collect()
+        assert {tuple(r)[:-1]: r.n_rows for r in got} == {k: n for k, n in want.items() if n > 1 or None in k} and len(got) == len({tuple(r) for r in got})
+    assert checks.primary_key_violations(df.limit(0), "a", few=few).isEmpty()
