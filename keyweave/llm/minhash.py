@@ -3,7 +3,8 @@
 1. A document's set: hashes of its word shingles. Each of ``REGISTERS`` buckets sees every shingle under its own rehash (short
    documents leave no bucket empty) and keeps the least value, compressed to the count of leading zeros and
    ``MANTISSA`` bits after them: 16 bits a register.
-2. Documents with the same words in the same order are one class; from here on only its least doc_id is compared.
+2. Documents with the same words in the same order are one class, numbered when the classes are written; from here on classes are compared, by the
+   text of one row each, and doc_ids come back in the result only. So rows that share a doc_id don't stand for one another.
 3. Four registers are a band; documents that share one meet in a bucket. In every bucket the document that meets the most others
    overall is compared with each of the rest: a number of pairs linear in the bucket. A pair is passed on if its Jaccard estimate,
    corrected for chance collisions of compressed registers, is within ``SLACK`` of the threshold, and is then confirmed on the full sets.
@@ -67,7 +68,7 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("print", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def _sketch(width: int):
@@ -77,20 +78,25 @@ def _sketch(width: int):
                 words, codes, cuts = lower_words(part.column("text"))
                 hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words))[codes]
                 rows = []
-                for i, doc in enumerate(part.column("doc_id").to_pylist()):
+                for i, (doc, mark) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("print").to_pylist())):
                     own = hashes[cuts[i]:cuts[i + 1]]
                     found = shingle_hashes(own, width)
                     bands = registers(found).view(np.int64).tolist() if len(found) else None
-                    rows.append((doc, len(found), xxhash.xxh3_128_digest(own.tobytes()) if len(found) else None, bands))
+                    rows.append((doc, mark, len(found), xxhash.xxh3_128_digest(own.tobytes()) if len(found) else None, bands))
                 yield table_batch(rows, _SKETCH)
 
     return run
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, class (of equal word sequences) and bands of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_sketch(width), "doc_id long, n_shingles long, class binary, bands array<long>")
+    """doc_id, print (of the text, see ``_print``), n_shingles, class (of equal word sequences) and bands of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _print(F.col("text")).alias("print"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return rows.mapInArrow(_sketch(width), "doc_id long, print long, n_shingles long, class binary, bands array<long>")
+
+
+def _print(text: Column) -> Column:
+    """Hash of a text, null as empty: with the doc_id it names a row, or several that are the same."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 #: Chance that two unequal least values fall on the same register: in the scale of one leading-zero count they agree in the mantissa.
@@ -141,16 +147,18 @@ class _Search:
     def __init__(self, docs: DataFrame, width: int, threshold: int):
         self.width, self.threshold = width, threshold
         self.sketched = stored(sketches(docs, width), "sketches")
+        first = F.min(F.struct("doc_id", "print"))
         self.classes = stored(self.sketched.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-                              .groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("weight")), "classes")
+                              .groupBy("class").agg(first.alias("first"), F.first("bands").alias("bands"), F.first("n_shingles").alias("weight"))
+                              .withColumn("rep", F.monotonically_increasing_id()), "classes")
         entries = self.classes.select("rep", "weight", F.posexplode("bands").alias("band", "key"))
         sizes = stored(entries.groupBy("band", "key").agg(F.count("*").alias("size")).where(F.col("size") > 1), "buckets")
         self.entries = stored(entries.join(sizes, ["band", "key"]), "entries")
         degree = stored(self.entries.groupBy("rep").agg(F.sum("size").alias("degree")), "degrees")
-        self.signs = stored(degree.select("rep").join(self.classes.select("rep", "bands"), "rep"), "signs")
+        self.signs = stored(degree.select("rep").join(self.classes.select("rep", "bands", "first"), "rep"), "signs")
         self.degree = degree
-        texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text")).join(degree.select("rep"), "rep")
-        self.texts = stored(texts.dropDuplicates(["rep"]), "texts")
+        texts = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), _print(F.col("text")).alias("print")).alias("first"), "text")
+        self.texts = stored(texts.join(self.signs.select("first", "rep"), "first").select("rep", "text").dropDuplicates(["rep"]), "texts")
 
     def stars(self) -> DataFrame:
         """Each bucket's members with its busiest member."""
@@ -217,6 +225,14 @@ class _Search:
         more = self.within(self.labelled(found))
         return found if more.isEmpty() else components(links.unionByName(more))
 
+    def groups(self) -> DataFrame:
+        """Of every class: class, first (its least doc_id, and the text's print) and lead (the least first of its component)."""
+        found = self.links()
+        linked = stored(found.unionByName(found.select(F.col("root").alias("node"), "root").distinct()), "linked")
+        leads = (linked.join(self.classes.select(F.col("rep").alias("node"), "first"), "node").groupBy("root").agg(F.min("first").alias("lead")))
+        led = linked.join(leads, "root").select(F.col("node").alias("rep"), "lead")
+        return self.classes.select("class", "rep", "first").join(led, "rep", "left").select("class", "first", F.coalesce("lead", "first").alias("lead"))
+
 
 _SETS = pa.schema([("rep", pa.int64()), ("bands", pa.list_(pa.int64())), ("hashes", pa.binary())])
 
@@ -329,23 +345,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     Words are runs without ASCII white space, A-Z lower-cased; the set holds the different ``width``-word shingles, of a shorter text all its words as one.
     Documents are linked if 100 * intersection >= ``threshold`` * union. component_id is the least doc_id reachable by links, itself
     included, kept says whether it is the row's own. A null or empty text, or one of white space, has no shingles and is linked
-    with nothing. Rows that share a doc_id are one document, repeated rows give repeated results; a row without a doc_id takes part in no
+    with nothing. Rows that share a doc_id are compared each by its own text, repeated rows give repeated results; a row without a doc_id takes part in no
     link but that with rows of the same words, and is kept only where no such row has an id. An empty table gives an
     empty result. Other columns are not read.
     """
     search = _Search(docs, width, threshold)
-    found = search.links()
-    classes = (search.classes.select("class", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-               .select("class", F.coalesce("root", "rep").alias("component")))
-    out = search.sketched.join(classes, "class", "left")
+    groups = search.groups().select("class", F.col("lead.doc_id").alias("component"))
+    out = search.sketched.join(groups, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of ``docs``, with its columns, that ``near_duplicates`` keeps: of each group the document with the least doc_id, once. Rows
+    """The rows of ``docs``, with its columns, of which one stays for each group of ``near_duplicates``: that with the least doc_id, and of
+    different texts that share it the one with the least hash, once. Rows without words stay, those that are the same in doc_id and text once; rows
     without a doc_id stay, repeated as they are."""
-    kept = near_duplicates(docs, width, threshold).where(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("kw_kept")).distinct()
-    rows = wrapped(docs, F.col("doc_id").cast("long").alias("kw_id"))
-    named = rows.where(F.col("kw_id").isNotNull()).join(kept, F.col("kw_id") == F.col("kw_kept"), "left_semi").dropDuplicates(["kw_id"])
-    return unwrapped(named.unionByName(rows.where(F.col("kw_id").isNull())), docs)
+    search = _Search(docs, width, threshold)
+    kept = search.groups().where(F.col("first") == F.col("lead")).select("first.doc_id", "first.print")
+    bare = search.sketched.where((F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()).select("doc_id", "print")
+    kept = kept.unionByName(bare).distinct().select(F.col("doc_id").alias("kw_kept"), F.col("print").alias("kw_text"))
+    rows = wrapped(docs, F.col("doc_id").cast("long").alias("kw_id"), _print(F.col("text")).alias("kw_print"))
+    named = rows.where(F.col("kw_id").isNotNull()).join(kept, (F.col("kw_id") == F.col("kw_kept")) & (F.col("kw_print") == F.col("kw_text")), "left_semi")
+    return unwrapped(named.dropDuplicates(["kw_id", "kw_print"]).unionByName(rows.where(F.col("kw_id").isNull())), docs)

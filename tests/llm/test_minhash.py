@@ -30,7 +30,11 @@ def expected(rows, width, threshold):
     least = {}
     for i, (doc, _) in enumerate(rows):
         least[find(i)] = min(least.get(find(i), doc), doc)
-    return {doc: (len(sets[i]), least[find(i)]) for i, (doc, _) in enumerate(rows)}
+    return [(doc, len(sets[i]), least[find(i)]) for i, (doc, _) in enumerate(rows)]
+
+
+def results(out):
+    return sorted((r.doc_id, r.n_shingles, r.component_id) for r in out)
 
 
 def varied(base, rng, edits):
@@ -57,7 +61,7 @@ def corpus(seed=2):
 def test_as_brute_force(spark, width, threshold):
     rows = corpus()
     out = m.near_duplicates(documents(spark, rows).repartition(5), width, threshold).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected(rows, width, threshold)
+    assert results(out) == sorted(expected(rows, width, threshold))
     assert all(r.kept == (r.doc_id == r.component_id) for r in out) and len(out) == len(rows)
 
 
@@ -65,7 +69,7 @@ def test_blocks_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(m, "BLOCK", 7)
     rows = corpus(3)
     out = m.near_duplicates(documents(spark, rows), 3, 85).collect()
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected(rows, 3, 85)
+    assert results(out) == sorted(expected(rows, 3, 85))
 
 
 def test_estimates():
@@ -82,7 +86,7 @@ def test_estimates():
 def test_kept_rows(spark):
     rows = corpus()
     out = m.without_near_duplicates(documents(spark, rows + [rows[0]]), 3, 85)
-    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, (_, root) in expected(rows, 3, 85).items() if i == root)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, _, root in expected(rows, 3, 85) if i == root)
 
 
 def test_odd_rows(spark):
@@ -95,6 +99,26 @@ def test_odd_rows(spark):
     assert m.near_duplicates(empty_documents(spark)).isEmpty() and m.without_near_duplicates(empty_documents(spark)).isEmpty()
 
 
+@pytest.mark.parametrize("order", [0, 1])
+def test_rows_that_share_an_id(spark, order):
+    """Each by its own text: null, empty, unlike and alike ones under one id, in any order and any number of partitions."""
+    base = prose(5, 60)
+    near, other = varied(base, random.Random(1), 1), prose(77, 50)
+    rows = [(1, None), (1, ""), (1, "x y z t u v"), (1, base), (2, near), (2, other), (3, varied(other, random.Random(2), 1)), (4, "x y z t u v"), (2, near), (5, prose(9))]
+    rows = rows[::-1] if order else rows
+    docs = documents(spark, rows).repartition(1 + 3 * order)
+    assert results(m.near_duplicates(docs, 3, 85).collect()) == sorted(expected(rows, 3, 85))
+    kept = sorted((r.doc_id, r.text or "") for r in m.without_near_duplicates(docs, 3, 85).collect())
+    assert kept == sorted([(1, ""), (1, "x y z t u v"), (1, base), (2, other), (5, prose(9))])
+
+
+def test_alike_texts_of_one_id_leave_one(spark):
+    base = prose(6, 60)
+    rows = [(1, base), (1, varied(base, random.Random(3), 1)), (1, base), (0, prose(8)), (None, base), (None, None)]
+    kept = m.without_near_duplicates(documents(spark, rows), 3, 85).collect()
+    assert sorted((r.doc_id for r in kept if r.doc_id is not None)) == [0, 1] and sum(r.doc_id is None for r in kept) == 2
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(100, 160)] + [(500, rng.randrange(500, 600)) for _ in range(200)] + [(7, 7), (9, 8), (8, 9), (None, 3)]
