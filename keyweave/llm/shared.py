@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -17,9 +18,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir``; where it is unset (tests,
-    local runs) a temporary folder of this machine is set for the session."""
+    local runs) a temporary folder of this machine is set for the session. On a cluster it must be set."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="keyweave-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")

@@ -15,6 +15,7 @@ again can't number them anew.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from keyweave.llm.shared import slices, stored, table_batch, text_bytes
 
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 2 << 20
+BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 COUNTED_BYTES = 1 << 18
 
 OTHER, SPACE, BREAK, LETTER, DIGIT, QUOTE, SIGN, LEAD = range(8)
@@ -75,6 +76,8 @@ def counter(path: str):
 
         model = SentencePieceProcessor(model_file=path)
         return lambda texts: [len(x) for x in model.encode(texts, num_threads=1)]
+    # a task is one of several on its machine: threads of its own would take their cores, and memory for each thread
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
