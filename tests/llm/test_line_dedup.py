@@ -7,30 +7,74 @@ RULE = d.Rule(min_docs=2, long_tokens=10, min_docs_short=3, min_tokens=3)
 
 
 def brute(docs, rule):
-    """Lines to drop by comparing every line with every earlier one of its template."""
+    """Lines to drop by comparing every line with every earlier one of its template, and equal lines with one another."""
     kinds = {}
     for doc, text in sorted(docs, key=lambda x: x[0]):
         for i, line in enumerate((text or "").split("\n")):
-            k = d.line_keys(line.encode(), rule.min_tokens)
+            k = d.line_keys(line.encode(), rule.min_tokens, rule.constant)
             if k:
-                kinds.setdefault((k[1], tuple(k[2])), [k[0], []])[1].append((doc, i))
-    groups = {}
-    for (leaf, pieces), (n, at) in kinds.items():
+                n, leaf, pieces, constants = k
+                widths = constants or [(j + 1) * n // len(pieces) - j * n // len(pieces) for j in range(len(pieces))]
+                kind = kinds.setdefault((leaf, tuple(pieces)), [n, widths, []])
+                kind[1] = min(kind[1], widths)
+                kind[2].append((doc, i))
+    groups, keeper = {}, {}
+
+    def goes(n, ids):
+        return sum(map(len, ids)) >= (rule.min_docs if n >= rule.long_tokens else rule.min_docs_short) and len(set().union(*ids)) > 1
+
+    for (leaf, pieces), (n, widths, at) in kinds.items():
         for p in range(0, len(pieces), 2):
-            groups.setdefault((leaf, p, pieces[p:p + 2]), []).append((min(at), pieces, n, at))
-    keeper = {}
+            groups.setdefault((leaf, p, pieces[p:p + 2]), []).append((min(at), pieces, n, widths, at))
+        if goes(n, [{doc for doc, _ in at}]):
+            keeper[leaf, pieces] = min(at)
     for (leaf, *_), members in groups.items():
         head = min(members)
-        m = len(head[1])
-        width = [(i + 1) * head[2] // m - i * head[2] // m for i in range(m)]
-        alike = [x for x in members if sum(w for w, a, b in zip(width, x[1], head[1]) if a == b) >= rule.constant * head[2]]
-        ids = [{doc for doc, _ in x[3]} for x in alike]
-        need = rule.min_docs if head[2] >= rule.long_tokens else rule.min_docs_short
-        if sum(map(len, ids)) >= need and len(set().union(*ids)) > 1:
+        alike = [x for x in members if sum(w for w, a, b in zip(x[3], x[1], head[1]) if a == b) >= rule.constant * head[2]]
+        if goes(head[2], [{doc for doc, _ in x[4]} for x in alike]):
             for x in alike:
                 key = (leaf, x[1])
                 keeper[key] = min(keeper.get(key, head[0]), head[0])
-    return {(doc, i) for key, first in keeper.items() for doc, i in kinds[key][1] if (doc, i) != first}
+    return {(doc, i) for key, first in keeper.items() for doc, i in kinds[key][2] if (doc, i) != first}
+
+
+def sql(rows):
+    """What the registered SQL leaves of the documents."""
+    import duckdb
+
+    from keyweave.llm.queries import SQL
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    return sorted(db.execute(f"SELECT doc_id, text, n_lines_dropped FROM ({SQL['op5_line_dedup']})").fetchall())
+
+
+def mixed_lines(seed):
+    """Documents of lines that are shared, shared but for a few tokens, mostly masked, and numbers only."""
+    rng = random.Random(seed)
+    number = lambda: f"{rng.uniform(0, 100):.1f}"
+    shared = [prose(2000 + i, 4 + 3 * i, 999) for i in range(6)] + ["12.5 3.1 99", "id 7 of 9 at 3 in 4 for 5 to 6 by 8"]
+    rows = []
+    for i in range(24):
+        lines = prose(i).split("\n") + [" ".join(number() for _ in range(rng.choice([3, 12]))), f"row {number()} of alder {number()} birch {number()} cedar {number()} and {number()}"]
+        for s in rng.sample(shared, 3):
+            words = s.split()
+            if rng.random() < 0.5:
+                words[rng.randrange(len(words))] = rng.choice([number(), "changed", "<*>"])
+            lines.insert(rng.randrange(len(lines)), " ".join(words))
+        rows.append((i, "\n".join(lines)))
+    return rows + [(100, rows[3][1])]
+
+
+def test_sql_is_of_the_same_rule(spark):
+    rows = mixed_lines(1)
+    rule = d.Rule()
+    dropped = brute(rows, rule)
+    want = sorted((doc, "\n".join(x for i, x in enumerate(t.split("\n")) if (doc, i) not in dropped), sum(doc == a for a, _ in dropped)) for doc, t in rows)
+    got = sorted((r.doc_id, r.text, r.n_lines_dropped) for r in d.drop_recurring_lines(documents(spark, rows)).collect())
+    assert got == want == sql(rows) and dropped
+    numbers = [(i, f"{i}.5 {i}.1 99\n1 2 {i} 4") for i in range(6)]
+    assert sql(numbers) == [(i, t, 0) for i, t in numbers]
 
 
 def test_as_brute_force(spark):
