@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as c
-from helpers import SCHEMA, prose
+from helpers import SCHEMA, empty_documents, odd_documents, prose
 from keyweave.llm import queries
 from keyweave.llm.shared import stored
 
@@ -62,6 +62,21 @@ def test_run_gives_the_last_stage(spark, corpus):
     assert [n for n, _ in c.STAGES] == ["toxicity", "line_dedup", "minhash", "mixing", "packing"]
 
 
+@pytest.mark.parametrize("made", [odd_documents, empty_documents])
+def test_odd_and_empty_tables(spark, tmp_path, made):
+    """Nulls in every column, repeated rows and ids, clashing names; and no rows at all: each stage keeps the columns, the last packs what is left."""
+    docs = made(spark)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (3, 0, 1), (9, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in c.STAGES[:-1]:
+        columns = docs.columns
+        docs = stored(stage(spark, docs, str(tmp_path)), f"odd-{name}")
+        assert docs.columns == columns
+        assert made is odd_documents or docs.isEmpty()
+    packed = c.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert packed.select(F.sum("length")).first()[0] == (packed.dropDuplicates(["doc_id", "doc_tokens"]).count() and packed.where("start = 0").agg(F.sum("doc_tokens")).first()[0] or None)
+
+
 def test_names_of_queries():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
