@@ -10,6 +10,7 @@ groups of equal token counts; groups of mixed tiers take what a task has left.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator
@@ -52,6 +53,8 @@ class WordEncoder:
     AT_ONCE = 512
 
     def __init__(self, path: str):
+        # a task is one of several on its machine: threads of its own would take their cores, and keep memory each
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
@@ -270,6 +273,7 @@ def _run(path: str, tiers: tuple[int, ...], step_tokens: int, with_ids: bool) ->
         packer.pack(last=True)
         out.group(last=True)
         yield from out.batches()
+        pa.default_memory_pool().release_unused()  # the worker goes on to other stages
 
     return run
 
