@@ -4,6 +4,7 @@ A line's tokens are masked where they are variable by look (``VARIABLE``: number
 number of tokens, then the leading ``DEPTH`` tokens; its leaf holds lines that may share a template. Below it, lines are
 compared by position: a line is cut into at most ``CHUNKS`` pieces (single tokens in a short line), and a template fixes a pair
 of pieces and generalises the others, as long as most tokens agree. It recurs if lines of it are in enough documents.
+Lines of too few tokens for a template, a passage in a script without spaces among them, are compared as wholes.
 
 Python only hashes the lines of a document; counting, templates and editing are DataFrame operations. Equal lines are
 counted before they are exchanged, so a line that a third of all documents share costs one row per task.
@@ -11,6 +12,7 @@ counted before they are exchanged, so a line that a third of all documents share
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -32,33 +34,44 @@ _FIELDS = [("doc_id", pa.int64()), ("text_key", pa.int64()), ("line", pa.int32()
 @dataclass(frozen=True)
 class Rule:
     """When a template recurs: in ``min_docs`` documents if it has at least ``long_tokens`` tokens, else in
-    ``min_docs_short``; shorter lines than ``min_tokens`` never; ``constant`` is the least share of constant tokens, masked ones
-    not counted. A line with fewer constant tokens than that recurs only as it is, unmasked."""
+    ``min_docs_short``; ``constant`` is the least share of constant tokens, masked ones not counted. A line with fewer constant tokens
+    than that recurs only as it is, unmasked. So does a line of fewer than ``min_tokens`` tokens: as a long one if it has at
+    least ``long_bytes`` bytes, otherwise in a share of ``min_share`` of all rows (and in ``min_docs_short`` documents), since by chance
+    alone a word or two recur in ever more documents of a growing corpus."""
 
     min_docs: int = 2
     long_tokens: int = 10
     min_docs_short: int = 5
     min_tokens: int = 3
     constant: float = 0.7
+    long_bytes: int = 64
+    min_share: float = 0.01
+
+    def bare_docs(self, rows: int) -> int:
+        """Documents that a line of fewer than ``min_tokens`` tokens has to be in, of a table with so many rows."""
+        return max(self.min_docs_short, math.ceil(self.min_share * rows))
 
 
 def _signed32(value: int) -> int:
     return (value & 0xFFFFFFFF) - (1 << 31)
 
 
-def line_keys(line: bytes, min_tokens: int, constant: float = Rule.constant) -> tuple | None:
-    """(number of tokens, leaf, hashes of the pieces, constant tokens of each piece) of a line, None for a shorter one. The last is
-    None if no token is masked. A line with too few constant tokens for a template is one piece, its unmasked tokens."""
-    if line.count(b" ") + 1 < min_tokens and len(line.split()) < min_tokens:
-        return None
+def line_keys(line: bytes, rule: Rule = Rule()) -> tuple | None:
+    """(number of tokens, leaf, hashes of the pieces, constant tokens of each piece) of a line, None for a blank one. The last is
+    None if no token is masked. A line with too few tokens, or too few constant ones, for a template is one piece, its
+    unmasked tokens; one of few tokens and many bytes counts as ``long_tokens`` of them."""
     tokens = line.split()
     n = len(tokens)
-    if n < min_tokens:
-        return None
+    if n < rule.min_tokens:
+        if not n:
+            return None
+        whole = b" ".join(tokens)
+        size = rule.long_tokens if len(whole) >= rule.long_bytes else n
+        return size, xxhash.xxh3_64_intdigest(whole, n) - (1 << 63), [_signed32(xxhash.xxh3_64_intdigest(whole))], [size]
     masked = None
     if VARIABLE.search(line):
         masked = [VARIABLE.search(t) is not None for t in tokens]
-        if n - sum(masked) < constant * n:
+        if n - sum(masked) < rule.constant * n:
             whole = b" ".join(tokens)
             return n, xxhash.xxh3_64_intdigest(whole, n) - (1 << 63), [_signed32(xxhash.xxh3_64_intdigest(whole))], [n]
         tokens = [b"<*>" if v else t for t, v in zip(tokens, masked)]
@@ -69,7 +82,7 @@ def line_keys(line: bytes, min_tokens: int, constant: float = Rule.constant) ->
     return n, leaf, pieces, masked and [b - a - sum(masked[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def _parse(min_tokens: int, constant: float):
+def _parse(rule: Rule):
     schema = pa.schema(_FIELDS)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,7 +91,7 @@ def _parse(min_tokens: int, constant: float):
             for doc, key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "content"))):
                 seen = set()
                 for i, line in enumerate(text.split(b"\n")):
-                    keys = line_keys(line, min_tokens, constant)
+                    keys = line_keys(line, rule)
                     if keys is not None:
                         whole = (keys[1], *keys[2])
                         for column, value in zip(columns, (doc, key, i, keys[0], whole not in seen, *keys[1:])):
@@ -93,8 +106,9 @@ def _parse(min_tokens: int, constant: float):
     return run
 
 
-def _enough(docs: Column, tokens: Column, rule: Rule) -> Column:
-    return docs >= F.when(tokens >= rule.long_tokens, rule.min_docs).otherwise(rule.min_docs_short)
+def _enough(docs: Column, tokens: Column, rule: Rule, rows: int) -> Column:
+    return docs >= (F.when(tokens >= rule.long_tokens, rule.min_docs).when(tokens >= rule.min_tokens, rule.min_docs_short)
+                    .otherwise(rule.bare_docs(rows)))
 
 
 def _row_key() -> tuple[Column, Column]:
@@ -106,7 +120,7 @@ def parsed_lines(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, text_key, line, tokens, first (of its pieces in the row), leaf, pieces, constants."""
     doc_id, text_key = _row_key()
     rows = docs.select(doc_id.alias("doc_id"), text_key.alias("text_key"), text_bytes().alias("content"))
-    return rows.mapInArrow(_parse(rule.min_tokens, rule.constant),
+    return rows.mapInArrow(_parse(rule),
                            "doc_id long, text_key long, line int, tokens int, first boolean, leaf long, pieces array<int>, constants array<int>")
 
 
@@ -118,8 +132,8 @@ def _alike(a: Column, b: Column, tokens: Column, constants: Column) -> Column:
     return F.aggregate(same, F.lit(0).cast("long"), lambda total, x: total + x)
 
 
-def templates(lines: DataFrame, rule: Rule) -> DataFrame:
-    """Recurring lines: leaf, pieces, keeper (doc_id, line and text_key of the first line of their template).
+def templates(lines: DataFrame, rule: Rule, rows: int) -> DataFrame:
+    """Recurring lines of a table of ``rows`` rows: leaf, pieces, keeper (doc_id, line and text_key of the first line of their template).
 
     A template is a leaf with two neighbouring pieces fixed, the others general; its first line in the order of
     doc_id, line stands for it. A line belongs to it if enough of its tokens are as in that first line. Two lines
@@ -142,8 +156,8 @@ def templates(lines: DataFrame, rule: Rule) -> DataFrame:
                      .drop("head"), "line-members")
     recurs = (members.groupBy("leaf", "at", "pair").agg(F.first("tokens").alias("t"), F.sum("docs").alias("n"), F.min("low").alias("l"),
                                                         F.max("high").alias("h"))
-              .where(_enough(F.col("n"), F.col("t"), rule) & (F.col("l") < F.col("h"))).select("leaf", "at", "pair"))
-    own = (kinds.where(_enough(F.col("docs"), F.col("tokens"), rule) & (F.col("low") < F.col("high")))
+              .where(_enough(F.col("n"), F.col("t"), rule, rows) & (F.col("l") < F.col("h"))).select("leaf", "at", "pair"))
+    own = (kinds.where(_enough(F.col("docs"), F.col("tokens"), rule, rows) & (F.col("low") < F.col("high")))
            .select("leaf", "pieces", F.col("first").alias("keeper")))
     by_head = members.join(recurs, ["leaf", "at", "pair"]).select("leaf", "pieces", "keeper")
     return by_head.unionByName(own).groupBy("leaf", "pieces").agg(F.min("keeper").alias("keeper"))
@@ -153,7 +167,7 @@ def recurring_lines(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """Lines to drop, one row per doc_id and text: kw_id (doc_id, the least long for null), kw_text (hash of the text), kw_lines (numbers, from 0)."""
     lines = stored(parsed_lines(docs, rule), "lines")
     # a written table, so that the join reads two plain exchanges and a line that very many documents have is split over tasks
-    found = stored(templates(lines, rule), "line-templates")
+    found = stored(templates(lines, rule, docs.count()), "line-templates")
     drop = (lines.join(found, ["leaf", "pieces"])
             .where(F.col("keeper") != F.struct("doc_id", "line", "text_key")))
     return drop.groupBy(F.col("doc_id").alias("kw_id"), F.col("text_key").alias("kw_text")).agg(F.array_sort(F.collect_set("line")).alias("kw_lines"))

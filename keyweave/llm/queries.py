@@ -128,23 +128,25 @@ SQL = {
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op5_line_dedup": r"""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
         words AS (SELECT doc_id, line, list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM lines),
-        marked AS (SELECT *, len(w) AS n, list_transform(w, lambda x: regexp_matches(x, '[0-9@]|://')) AS v FROM words WHERE len(w) >= 3),
+        marked AS (SELECT *, len(w) AS n, list_transform(w, lambda x: regexp_matches(x, '[0-9@]|://')) AS v FROM words WHERE len(w) > 0),
         tokens AS (SELECT *, len(list_filter(v, lambda x: x)) AS k, list_transform(range(1, n + 1), lambda i: CASE WHEN v[i] THEN '<*>' ELSE w[i] END) AS t FROM marked),
-        cut AS (SELECT doc_id, line, n, 1 AS m, [array_to_string(w, ' ')] AS lead, [array_to_string(w, ' ')] AS pieces, [n] AS consts
-            FROM tokens WHERE k > 0 AND n - k < 0.7::DOUBLE * n
+        cut AS (SELECT doc_id, line, size AS n, 1 AS m, [whole] AS lead, [whole] AS pieces, [size] AS consts FROM (
+                SELECT *, CASE WHEN n < 3 AND strlen(whole) >= 64 THEN 10 ELSE n END AS size FROM (
+                SELECT *, array_to_string(w, ' ') AS whole FROM tokens WHERE n < 3 OR k > 0 AND n - k < 0.7::DOUBLE * n))
             UNION ALL SELECT doc_id, line, n, least(n, 8) AS m, t[1:3] AS lead,
             list_transform(range(0, least(n, 8)), lambda i: array_to_string(t[i * n // least(n, 8) + 1 : (i + 1) * n // least(n, 8)], ' ')) AS pieces,
             CASE WHEN k > 0 THEN list_transform(range(0, least(n, 8)), lambda i: len(list_filter(v[i * n // least(n, 8) + 1 : (i + 1) * n // least(n, 8)], lambda x: NOT x))) END AS consts
-            FROM tokens WHERE k = 0 OR n - k >= 0.7::DOUBLE * n),
+            FROM tokens WHERE n >= 3 AND (k = 0 OR n - k >= 0.7::DOUBLE * n)),
+        least AS (SELECT greatest(5, CAST(ceil(0.01::DOUBLE * count(*)) AS BIGINT)) AS bare FROM documents),
         kinds AS (SELECT n, m, lead, pieces, min(consts) AS consts, count(DISTINCT doc_id) AS docs, min(doc_id) AS low, max(doc_id) AS high, min(row(doc_id, line)) AS first
             FROM cut GROUP BY n, m, lead, pieces),
         pairs AS (SELECT *, pieces[place + 1 : place + 2] AS pair FROM (SELECT *, unnest(range(0, m, 2)) AS place FROM kinds)),
         heads AS (SELECT n, lead, place, pair, min(first) AS keeper, arg_min(pieces, first) AS head FROM pairs GROUP BY ALL),
         members AS (SELECT p.*, keeper FROM pairs p JOIN heads USING (n, lead, place, pair)
             WHERE list_sum(list_transform(range(0, m), lambda i: CASE WHEN pieces[i + 1] = head[i + 1] THEN coalesce(consts[i + 1], (i + 1) * n // m - i * n // m) ELSE 0 END)) >= 0.7::DOUBLE * n),
-        recurring AS (SELECT n, lead, place, pair FROM members GROUP BY ALL HAVING sum(docs) >= CASE WHEN n >= 10 THEN 2 ELSE 5 END AND min(low) < max(high)),
+        recurring AS (SELECT n, lead, place, pair FROM members GROUP BY ALL HAVING sum(docs) >= CASE WHEN n >= 10 THEN 2 WHEN n >= 3 THEN 5 ELSE (SELECT bare FROM least) END AND min(low) < max(high)),
         found AS (SELECT n, lead, pieces, min(keeper) AS keeper FROM (SELECT n, lead, pieces, keeper FROM members JOIN recurring USING (n, lead, place, pair)
-            UNION ALL SELECT n, lead, pieces, first FROM kinds WHERE docs >= CASE WHEN n >= 10 THEN 2 ELSE 5 END AND low < high) GROUP BY n, lead, pieces),
+            UNION ALL SELECT n, lead, pieces, first FROM kinds WHERE docs >= CASE WHEN n >= 10 THEN 2 WHEN n >= 3 THEN 5 ELSE (SELECT bare FROM least) END AND low < high) GROUP BY n, lead, pieces),
         gone AS (SELECT doc_id, line FROM cut JOIN found USING (n, lead, pieces) WHERE row(doc_id, line) <> keeper)
         SELECT l.doc_id, coalesce(string_agg(raw, chr(10) ORDER BY l.line) FILTER (g.line IS NULL), '') AS text, count(g.line) AS n_lines_dropped
         FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.line = g.line GROUP BY l.doc_id""",

@@ -11,7 +11,7 @@ def brute(docs, rule):
     kinds = {}
     for doc, text in sorted(docs, key=lambda x: x[0]):
         for i, line in enumerate((text or "").split("\n")):
-            k = d.line_keys(line.encode(), rule.min_tokens, rule.constant)
+            k = d.line_keys(line.encode(), rule)
             if k:
                 n, leaf, pieces, constants = k
                 widths = constants or [(j + 1) * n // len(pieces) - j * n // len(pieces) for j in range(len(pieces))]
@@ -21,7 +21,8 @@ def brute(docs, rule):
     groups, keeper = {}, {}
 
     def goes(n, ids):
-        return sum(map(len, ids)) >= (rule.min_docs if n >= rule.long_tokens else rule.min_docs_short) and len(set().union(*ids)) > 1
+        least = rule.min_docs if n >= rule.long_tokens else rule.min_docs_short if n >= rule.min_tokens else rule.bare_docs(len(docs))
+        return sum(map(len, ids)) >= least and len(set().union(*ids)) > 1
 
     for (leaf, pieces), (n, widths, at) in kinds.items():
         for p in range(0, len(pieces), 2):
@@ -62,6 +63,7 @@ def mixed_lines(seed):
             if rng.random() < 0.5:
                 words[rng.randrange(len(words))] = rng.choice([number(), "changed", "<*>"])
             lines.insert(rng.randrange(len(lines)), " ".join(words))
+        lines += rng.sample(["OK", "Read more", " ", "Page 7", "短い行", "間隔のない文章がここに続いて繰り返される" + "例" * (i % 3), str(rng.randrange(9))], 3)
         rows.append((i, "\n".join(lines)))
     return rows + [(100, rows[3][1])]
 
@@ -158,11 +160,21 @@ def test_equal_lines_recur_whatever_lines_come_first(spark):
         parts = [rng.choice(["oak", "elm", "ash"]), rng.choice(["kelp moor", "dune fjord", "heath inlet"]), rng.choice(["cedar larch", "pine nettle", "birch alder"])]
         texts.append("all rights are " + " ".join(parts + [f"{rng.choice('abc')} {rng.choice('abc')} {rng.choice('abc')} {rng.choice('abc')}"]))
     rows = list(enumerate(texts + texts[40:]))
-    found = {(r.leaf, tuple(r.pieces)) for r in d.templates(d.parsed_lines(documents(spark, rows), d.Rule()), d.Rule()).collect()}
+    found = {(r.leaf, tuple(r.pieces)) for r in d.templates(d.parsed_lines(documents(spark, rows), d.Rule()), d.Rule(), len(rows)).collect()}
     ids = {}
     for i, t in rows:
-        _, leaf, pieces, _ = d.line_keys(t.encode(), 3)
+        _, leaf, pieces, _ = d.line_keys(t.encode())
         ids.setdefault((leaf, tuple(pieces)), set()).add(i)
     assert found >= {k for k, v in ids.items() if len(v) > 1} != set()
     out = {r.doc_id: r.text for r in d.drop_recurring_lines(documents(spark, rows)).collect()}
     assert all(sum(out[i] == t for i, x in rows if x == t) <= 1 for t in set(texts))
+
+
+def test_lines_of_few_tokens(spark):
+    """A passage without spaces goes from two documents on; a word or two only where a share of all documents has them."""
+    passage = "".join(chr(0x4E00 + (i * 37) % 500) for i in range(120))
+    rows = [(i, f"{prose(i)}\nRead  more\n{'By chance' if i < 6 else prose(900 + i, 2)}\n{passage if i in (20, 30, 40) else i}") for i in range(1000)]
+    out = {r.doc_id: r for r in d.drop_recurring_lines(documents(spark, rows)).collect()}
+    assert [i for i in out if passage in out[i].text] == [20] and [i for i in out if "Read  more" in out[i].text] == [0]
+    assert all("By chance" in out[i].text for i in range(6))
+    assert all(out[i].n_lines_dropped == (i > 0) + (i in (30, 40)) for i in out)
