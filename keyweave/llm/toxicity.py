@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,6 @@ IDENTITY_TERMS = (
     ("frauen", "männer"), ("femmes", "hommes"), ("mujeres", "hombres"),
     ("muslime", "christen", "juden"), ("musulmans", "chrétiens", "juifs"), ("musulmanes", "cristianos", "judíos"),
 )
-SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITY_TERMS for i, term in enumerate(group)}
 THRESHOLD = 0.3
 SAMPLE_ROWS = 12_000
 MAX_FEATURES = 4096
@@ -54,9 +53,14 @@ def features_of(words: Iterable[str]) -> set[str]:
     return {f for w in words for f in word_features(w)}
 
 
-def swapped(words: set[str]) -> set[str]:
+def swaps(groups: Iterable[Sequence[str]]) -> dict[str, str]:
+    """The term that each term of the groups is exchanged for; a group of one has none."""
+    return {term: group[(i + 1) % len(group)] for group in groups if len(group) > 1 for i, term in enumerate(group)}
+
+
+def swapped(words: set[str], swap: Mapping[str, str]) -> set[str]:
     """The counterfactual words of a text."""
-    return {SWAP.get(w, w) for w in words}
+    return {swap.get(w, w) for w in words}
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, sample: int) -> DataFrame:
@@ -101,7 +105,7 @@ def select_features(rows: DataFrame, n_texts: tuple[int, int], limit: int) -> li
     return [r.feature for r in counted.orderBy(F.desc("z"), "feature").limit(limit).select("feature").collect()]
 
 
-def _indexed(names: list[str]) -> Callable:
+def _indexed(names: list[str], swap: Mapping[str, str]) -> Callable:
     def make():
         at = {f: i for i, f in enumerate(names)}
 
@@ -109,7 +113,7 @@ def _indexed(names: list[str]) -> Callable:
             rows = []
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
                 words = words_of(text)
-                other = swapped(words)
+                other = swapped(words, swap)
                 found = sorted(at[f] for f in features_of(words) if f in at)
                 twin = found if other == words else sorted(at[f] for f in features_of(other) if f in at)
                 rows.append((int(y > 0), found, twin))
@@ -126,12 +130,12 @@ class Classifier:
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
 
-    def scorer(self) -> Callable[[str], float]:
+    def word_scorer(self) -> Callable[[set[str]], float]:
+        """Function from the different words of a text to its score."""
         weights, bias = self.weights, self.bias
         stems = {f[1:1 + PREFIXES[0]] for f in weights if f[0] == "^"}
 
-        def score(text: str) -> float:
-            words = words_of(text)
+        def score(words: set[str]) -> float:
             found = {w for w in words if w in weights}
             for w in words:
                 if w[:PREFIXES[0]] in stems:
@@ -141,6 +145,10 @@ class Classifier:
 
         return score
 
+    def scorer(self) -> Callable[[str], float]:
+        score = self.word_scorer()
+        return lambda text: score(words_of(text))
+
 
 def fit(rows: list, names: list[str], steps: int = 400, rate: float = 0.05, ridge: float = 0.02, counterfactual: float = 1.0) -> Classifier:
     """Full-batch Adam from zero on rows (y, features, features of the counterfactual)."""
@@ -172,13 +180,15 @@ def fit(rows: list, names: list[str], steps: int = 400, rate: float = 0.05, ridg
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn_from: Column | None = None,
-          sample: int = SAMPLE_ROWS, counterfactual: float = 1.0) -> Classifier:
-    """Classifier of ``label`` (1 or not) from at most ``sample`` labelled documents where ``learn_from`` holds.
-    Without labels, or with one class only, every text gets the same score."""
+          sample: int = SAMPLE_ROWS, counterfactual: float = 1.0, groups: Iterable[Sequence[str]] = IDENTITY_TERMS,
+          max_features: int = MAX_FEATURES) -> Classifier:
+    """Classifier of ``label`` (1 or not) from at most ``sample`` labelled documents where ``learn_from`` holds, over at most
+    ``max_features`` features. ``groups`` are the identity terms (single lower-case words) that are swapped within their group, and
+    ``counterfactual`` the weight of the penalty on what that changes. Without labels, or with one class only, every text gets the same score."""
     rows = stored(training_rows(docs, labels, label, F.lit(True) if learn_from is None else learn_from, sample), "toxicity-sample")
     sizes = {r.y: r.n for r in rows.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
-    names = select_features(rows, (sizes.get(0, 0), sizes.get(1, 0)), MAX_FEATURES) if len(sizes) == 2 else []
-    data = map_rows(rows, _indexed(names), "y int, found array<int>, twin array<int>").collect()
+    names = select_features(rows, (sizes.get(0, 0), sizes.get(1, 0)), max_features) if len(sizes) == 2 else []
+    data = map_rows(rows, _indexed(names, swaps(groups)), "y int, found array<int>, twin array<int>").collect()
     return fit(sorted(map(tuple, data)), names, counterfactual=counterfactual)
 
 
@@ -205,6 +215,35 @@ def scored(docs: DataFrame, classifier: Classifier, held_out: Column) -> DataFra
     return map_rows(rows, _scores(classifier), "doc_id long, held_out boolean, score double, predicted int")
 
 
+def _gaps(classifier: Classifier, swap: Mapping[str, str]) -> Callable:
+    def make():
+        score = classifier.word_scorer()
+
+        def step(batch: pa.RecordBatch) -> list[tuple]:
+            rows = []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                words = words_of(text)
+                terms = sorted(w for w in words if w in swap)
+                if terms:
+                    own, other = score(words), score(swapped(words, swap))
+                    rows.append((doc, terms, own, other, abs(own - other), (own >= THRESHOLD) != (other >= THRESHOLD)))
+            return rows
+
+        return step
+
+    return make
+
+
+def swap_gaps(docs: DataFrame, classifier: Classifier, groups: Iterable[Sequence[str]] = IDENTITY_TERMS) -> DataFrame:
+    """How far a swap of identity terms moves scores: one row per row of ``docs`` (doc_id, text) that holds a term: doc_id, terms, score,
+    swapped_score, gap (their distance), flipped (whether the decision changes).
+
+    A null, empty or term-free text gives no row, an empty table an empty result. Repeated rows count each. Other columns are not read.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return map_rows(rows, _gaps(classifier, swaps(groups)), "doc_id long, terms array<string>, score double, swapped_score double, gap double, flipped boolean")
+
+
 def is_toxic(classifier: Classifier) -> Callable[[Column], Column]:
     """Column function of a text column: whether the score reaches ``THRESHOLD``; null counts as empty."""
     @F.pandas_udf("boolean")

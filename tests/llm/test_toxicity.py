@@ -52,9 +52,48 @@ def test_counterfactual_penalty_closes_the_gap_of_a_swap():
 
 
 def test_swaps_stay_in_their_group():
+    swap = t.swaps(t.IDENTITY_TERMS)
     for group in t.IDENTITY_TERMS:
-        assert {t.SWAP[x] for x in group} == set(group)
-    assert t.swapped({"muslim", "oak"}) == {"christian", "oak"}
+        assert {swap[x] for x in group} == set(group)
+    assert t.swapped({"muslim", "oak"}, swap) == {"christian", "oak"}
+    assert t.swaps([("alone",), ()]) == {}
+
+
+def planted(n=400):
+    """Toxic texts, by an insult that half of them hold; a group of own terms is named in most toxic texts by one term, in clean ones by the other."""
+    rows = []
+    for i in range(n):
+        toxic = i % 4 == 0
+        text = prose(i, 30) + (" grobian" if toxic and i % 8 == 0 else "")
+        term = "vorlan" if (toxic and i % 20) or (not toxic and i % 13 == 0) else "tesmar" if i % 3 == 0 else ""
+        rows.append((i, f"{text} {term}", int(toxic)))
+    return rows
+
+
+def test_mentions_of_own_groups_move_scores_less(spark):
+    rows, groups = planted(), [("vorlan", "tesmar")]
+    docs, given = documents(spark, [(i, x) for i, x, _ in rows]), labels(spark, planted())
+    neutral = documents(spark, [(1000 + i, prose(5000 + i, 30) + " vorlan") for i in range(40)] + [(2000, None), (2001, ""), (2002, "oak")])
+    found = {}
+    for penalty in (0.0, 1.0, 10.0):
+        model = t.train(docs, given, counterfactual=penalty, groups=groups)
+        gaps = t.swap_gaps(neutral, model, groups)
+        out = gaps.agg(F.avg("gap").alias("gap"), F.count("*").alias("n"), F.sum(F.col("flipped").cast("int")).alias("flipped")).first()
+        wrong = t.scored(neutral, model, F.lit(False)).where("doc_id < 2000 and predicted = 1").count()
+        found[penalty] = (out.gap, wrong)
+        assert out.n == 40
+        assert model.scorer()("you grobian") >= t.THRESHOLD
+    assert found[0.0][0] > 0.3 and found[1.0][0] < 0.5 * found[0.0][0] and found[10.0][0] < found[1.0][0]
+    assert found[0.0][1] == 40 and found[10.0][1] == 0
+
+
+def test_gaps_by_brute_force_and_of_odd_rows(spark):
+    model, groups = t.Classifier({"muslim": 2.0, "christian": -1.0, "^chri": 0.5}, -0.25), t.IDENTITY_TERMS
+    (row,) = t.swap_gaps(documents(spark, ["A Muslim, oak", "oak", None]), model).collect()
+    sigmoid = lambda z: 1 / (1 + 2.718281828459045 ** -z)
+    assert row.terms == ["muslim"] and abs(row.score - sigmoid(1.75)) < 1e-12 and abs(row.swapped_score - sigmoid(-0.75)) < 1e-12
+    assert abs(row.gap - (row.score - row.swapped_score)) < 1e-12 and not row.flipped
+    assert t.swap_gaps(odd_documents(spark), model, groups).isEmpty() and t.swap_gaps(empty_documents(spark), model).isEmpty()
 
 
 def test_odd_rows(spark):
