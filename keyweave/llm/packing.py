@@ -10,6 +10,7 @@ groups of equal token counts; groups of mixed tiers take what a task has left.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
@@ -45,10 +46,27 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
 
 
+#: Steps of a tokenizer file under which words may be tokenised apart (fixed values, as such files state them).
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+UNITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_at_words(rules: dict) -> bool:
+    """Whether a tokenizer with the ``rules`` of its file lower-cases, drops white space and cuts into letters, digits and signs, byte by
+    byte, so that each word and each of its units can be tokenised by itself."""
+    steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    model = rules.get("model") or {}
+    return ((rules.get("normalizer") or {}).get("normalizers") == NORMALIZERS and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
+            and steps[0].get("pattern") == {"Regex": UNITS} and steps[0].get("behavior") == "Removed" and steps[0].get("invert") is True
+            and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex") and model.get("type") == "BPE" and not model.get("dropout")
+            and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t["content"].split() != [t["content"]] or t["content"][0].isalpha()
+                        for t in rules.get("added_tokens") or []))
+
+
 class WordEncoder:
-    """Token ids of whole texts by a tokenizer whose tokens never cross ASCII white space: of the texts given
-    together, each different word is tokenised once. Words of Latin letters, lower-cased, go to the tokenizer's
-    model unit by unit, all others through the whole tokenizer."""
+    """Token ids of whole texts. Where the tokenizer's file allows it (``cuts_at_words``), each different word of the texts given
+    together is tokenised once: words of Latin letters, lower-cased, by the tokenizer's model unit by unit, all others by the whole
+    tokenizer. By any other tokenizer whole texts are tokenised."""
 
     AT_ONCE = 512
 
@@ -58,6 +76,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as file:
+            self.by_word = cuts_at_words(json.load(file))
 
     def _whole(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -100,6 +122,10 @@ class WordEncoder:
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text, without an end id."""
+        if not self.by_word:
+            for i in range(0, len(texts), self.AT_ONCE):
+                yield from (np.array(ids, dtype=np.uint32) for ids in self._whole(texts[i:i + self.AT_ONCE].to_pylist()))
+            return
         lists = pc.ascii_split_whitespace(texts)
         cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
@@ -283,7 +309,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIE
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     sequence_length, step_group, and with ``with_ids`` the token ids.
 
-    ``tokenizer`` is the path of a tokenizer file, the same on all executors, whose tokens don't cross white space. A
+    ``tokenizer`` is the path of a tokenizer file, the same on all executors; where its tokens may cross words, whole texts are tokenised. A
     document's ids are those of its text, then ``END_ID``; a null or empty text has that id alone. Every sequence is
     full, its length a tier or, for the remainder of a task, a smaller power of two. Repeated rows are packed each;
     a null doc_id is kept. An empty table gives an empty result. Other columns of ``docs`` are not read.

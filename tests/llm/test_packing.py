@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -66,3 +67,21 @@ def test_words_as_the_whole_tokenizer():
     whole = Tokenizer.from_file(PATH)
     for text, ids in zip(texts, p.WordEncoder(PATH)(pa.array(texts))):
         assert whole.encode(text, add_special_tokens=False).ids == ids.tolist(), text
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path, spark):
+    other = public_tokenizers.path("byte_bpe_50k.json")  # keeps case and white space
+    rules = json.load(open(PATH, encoding="utf-8"))
+    assert p.WordEncoder(PATH).by_word and not p.WordEncoder(other).by_word
+    rules["normalizer"]["normalizers"].pop()  # as the given file, but with capitals
+    rules["truncation"] = {"direction": "Right", "max_length": 5, "strategy": "LongestFirst", "stride": 0}
+    (tmp_path / "capitals.json").write_text(json.dumps(rules), encoding="utf-8")
+    texts = ["Two  Words\n\nand MORE of them", "", "  ä Ö", "x" * 3000]
+    for path in (other, str(tmp_path / "capitals.json")):
+        whole = Tokenizer.from_file(path)
+        whole.no_truncation()
+        want = [whole.encode(text, add_special_tokens=False).ids for text in texts]
+        assert [ids.tolist() for ids in p.WordEncoder(path)(pa.array(texts))] == want
+        rows = p.pack_documents(documents(spark, texts), path).collect()
+        for doc, ids in enumerate(want):
+            assert [i for r in sorted((r for r in rows if r.doc_id == doc), key=lambda r: r.start) for i in r.ids] == [*ids, p.END_ID]
