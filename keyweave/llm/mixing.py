@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,6 +138,30 @@ def mixture(docs: DataFrame, targets: Targets, keep: float = 0.5, topic: Column
                       F.col("kw_probability").alias("probability"), (F.col("kw_probability") / F.lit(keep)).alias("weight"), F.col("kw_kept").alias("kept"))
 
 
+def reached(mixture_rows: DataFrame, targets: Targets) -> DataFrame:
+    """What a ``mixture`` comes to, one row per dimension and category that has tokens: dimension, category, tokens, corpus_share, target_share,
+    expected_share (by probabilities), kept_share (of what was drawn), capped (all that there is would be kept, so the target may not be met).
+
+    Shares are of tokens, target shares of all categories of a dimension sum to one; no tokens give no rows, nothing drawn gives null shares.
+    """
+    cells = mixture_rows.select("tokens", "probability", "kept", F.explode(F.array(*[
+        F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d), F.lit(OTHER)).alias("category")) for d in DIMENSIONS])).alias("cell"))
+    sums = (cells.groupBy("cell.dimension", "cell.category")
+            .agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("probability")).alias("expected"),
+                 F.sum(F.when(F.col("kept"), F.col("tokens")).otherwise(0)).alias("drawn"),
+                 F.min(F.when(F.col("tokens") > 0, F.col("probability"))).alias("least"))
+            .where(F.col("tokens") > 0))
+    named = [(d, c, float(w)) for d in DIMENSIONS for c, w in getattr(targets, d).items()]
+    weights = mixture_rows.sparkSession.createDataFrame(named, "dimension string, category string, weight double")
+    whole = Window.partitionBy("dimension")  # as many rows as there are named categories, and one
+    share = lambda c: c / F.nullif(F.sum(c).over(whole), F.lit(0).cast("double"))
+    placed = sums.join(F.broadcast(weights), ["dimension", "category"], "left").withColumn("corpus_share", share(F.col("tokens").cast("double")))
+    rest = F.sum(F.when(F.col("weight").isNull(), F.col("corpus_share")).otherwise(0.0)).over(whole)
+    target = F.when(F.col("weight").isNull(), F.col("corpus_share")).otherwise((1 - rest) * share(F.col("weight")))
+    return placed.select("dimension", "category", "tokens", "corpus_share", target.alias("target_share"), share(F.col("expected")).alias("expected_share"),
+                         share(F.col("drawn").cast("double")).alias("kept_share"), (F.col("least") >= 1.0).alias("capped"))
+
+
 def mixed(docs: DataFrame, targets: Targets, keep: float = 0.5, topic: Column | None = None, seed: int = 1) -> DataFrame:
     """The kept rows of ``docs``, with its columns, under the rules of ``mixture``."""
     out = with_probabilities(docs, targets, keep, topic_of(F.col("text")) if topic is None else topic, seed)

@@ -75,3 +75,24 @@ def test_odd_rows(spark, targets):
     assert len(out) == docs.count() and all(0 <= r.probability <= 1 for r in out)
     assert m.mixed(docs, targets).columns == docs.columns
     assert m.mixture(empty_documents(spark), targets).isEmpty()
+
+
+def test_reached_shares(spark):
+    docs = documents(spark, [prose(i, 20) for i in range(2000)], "en", "a").unionByName(
+        documents(spark, [(5000 + i, prose(i, 20)) for i in range(100)], "en", "b")).unionByName(documents(spark, [(9000 + i, prose(i, 20)) for i in range(900)], None, "c"))
+    targets = m.Targets(source={"a": 1, "b": 1}, lang={"en": 1})
+    out = m.mixture(docs, targets, 0.4)
+    rows = {(r.dimension, r.category): r for r in m.reached(out, targets).collect()}
+    assert set(rows) == {("source", "a"), ("source", "b"), ("source", "other"), ("lang", "en"), ("lang", "other"), ("topic", "other")}
+    kept = {(r.source, r.lang): r.n for r in out.where("kept").groupBy("source", "lang").agg(F.sum("tokens").alias("n")).collect()}
+    for d, i in (("source", 0), ("lang", 1)):
+        for field in ("corpus_share", "target_share", "expected_share", "kept_share"):
+            assert abs(sum(getattr(r, field) for (x, _), r in rows.items() if x == d) - 1) < 1e-9
+        for (x, c), r in rows.items():
+            if x == d:
+                assert abs(r.kept_share - sum(n for k, n in kept.items() if k[i] == c) / sum(kept.values())) < 1e-9
+    assert abs(rows["source", "other"].target_share - 0.3) < 1e-9 and abs(rows["source", "a"].target_share - 0.35) < 1e-9
+    # 100 of 3000 documents can't be 35 % of 1200: all of them are kept, and the report says so
+    assert rows["source", "b"].capped and abs(rows["source", "b"].expected_share - 100 / 1200) < 1e-3 and not rows["source", "a"].capped
+    assert m.reached(m.mixture(empty_documents(spark), targets), targets).isEmpty()
+    assert {r.category for r in m.reached(m.mixture(odd_documents(spark), m.Targets()), m.Targets()).collect()} == {"other"}
