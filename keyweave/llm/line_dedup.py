@@ -137,7 +137,9 @@ def templates(lines: DataFrame, rule: Rule, rows: int) -> DataFrame:
 
     A template is a leaf with two neighbouring pieces fixed, the others general; its first line in the order of
     doc_id, line stands for it. A line belongs to it if enough of its tokens are as in that first line. Two lines
-    that differ in no more than the tolerated pieces always share such a pair. Equal lines in enough documents recur whatever lines come first in their pairs. All steps are linear in the number of different lines.
+    that differ in no more than the tolerated pieces always share such a pair. Equal lines in enough documents recur whatever lines come first in their pairs. A
+    document counts once for a template, however many variants it has: where the sum over variants doesn't decide, documents are counted from the
+    lines, few of them, as none of the variants is in enough documents. All steps are linear in the number of different lines.
     """
     kinds = lines.groupBy("leaf", "pieces").agg(
         F.first("tokens").alias("tokens"), F.min("constants").alias("constants"), F.sum(F.col("first").cast("long")).alias("docs"), F.min("doc_id").alias("low"),
@@ -154,9 +156,17 @@ def templates(lines: DataFrame, rule: Rule, rows: int) -> DataFrame:
     members = stored(pairs.join(heads, ["leaf", "at", "pair"])
                      .where(_alike(F.col("pieces"), F.col("head"), F.col("tokens"), F.col("constants")) >= rule.constant * F.col("tokens"))
                      .drop("head"), "line-members")
-    recurs = (members.groupBy("leaf", "at", "pair").agg(F.first("tokens").alias("t"), F.sum("docs").alias("n"), F.min("low").alias("l"),
-                                                        F.max("high").alias("h"))
-              .where(_enough(F.col("n"), F.col("t"), rule, rows) & (F.col("l") < F.col("h"))).select("leaf", "at", "pair"))
+    found = stored(members.groupBy("leaf", "at", "pair").agg(F.first("tokens").alias("t"), F.sum("docs").alias("n"), F.max("docs").alias("most"),
+                                                             F.min("low").alias("l"), F.max("high").alias("h"))
+                   .where(_enough(F.col("n"), F.col("t"), rule, rows) & (F.col("l") < F.col("h"))), "line-candidates")
+    # the sum counts a document once for each variant that it has: it is right if one variant is in enough, or if two documents are
+    sure = _enough(F.col("most"), F.col("t"), rule, rows) | _enough(F.lit(2), F.col("t"), rule, rows)
+    doubtful = (members.join(found.where(~sure).select("leaf", "at", "pair", "t"), ["leaf", "at", "pair"])
+                .select("leaf", F.xxhash64("pieces").alias("kind"), "at", "pair", "t"))
+    distinct = (lines.where("first").select("doc_id", "leaf", F.xxhash64("pieces").alias("kind")).join(doubtful, ["leaf", "kind"])
+                .groupBy("leaf", "at", "pair", "t", "doc_id").agg(F.lit(1).alias("one")).groupBy("leaf", "at", "pair", "t").agg(F.count("*").alias("n"))
+                .where(_enough(F.col("n"), F.col("t"), rule, rows)))
+    recurs = found.where(sure).select("leaf", "at", "pair").unionByName(distinct.select("leaf", "at", "pair"))
     own = (kinds.where(_enough(F.col("docs"), F.col("tokens"), rule, rows) & (F.col("low") < F.col("high")))
            .select("leaf", "pieces", F.col("first").alias("keeper")))
     by_head = members.join(recurs, ["leaf", "at", "pair"]).select("leaf", "pieces", "keeper")

@@ -138,13 +138,14 @@ SQL = {
             CASE WHEN k > 0 THEN list_transform(range(0, least(n, 8)), lambda i: len(list_filter(v[i * n // least(n, 8) + 1 : (i + 1) * n // least(n, 8)], lambda x: NOT x))) END AS consts
             FROM tokens WHERE n >= 3 AND (k = 0 OR n - k >= 0.7::DOUBLE * n)),
         least AS (SELECT greatest(5, CAST(ceil(0.01::DOUBLE * count(*)) AS BIGINT)) AS bare FROM documents),
-        kinds AS (SELECT n, m, lead, pieces, min(consts) AS consts, count(DISTINCT doc_id) AS docs, min(doc_id) AS low, max(doc_id) AS high, min(row(doc_id, line)) AS first
+        kinds AS (SELECT n, m, lead, pieces, min(consts) AS consts, count(DISTINCT doc_id) AS docs, min(doc_id) AS low, max(doc_id) AS high, min(row(doc_id, line)) AS first, list(DISTINCT doc_id) AS ids
             FROM cut GROUP BY n, m, lead, pieces),
         pairs AS (SELECT *, pieces[place + 1 : place + 2] AS pair FROM (SELECT *, unnest(range(0, m, 2)) AS place FROM kinds)),
         heads AS (SELECT n, lead, place, pair, min(first) AS keeper, arg_min(pieces, first) AS head FROM pairs GROUP BY ALL),
         members AS (SELECT p.*, keeper FROM pairs p JOIN heads USING (n, lead, place, pair)
             WHERE list_sum(list_transform(range(0, m), lambda i: CASE WHEN pieces[i + 1] = head[i + 1] THEN coalesce(consts[i + 1], (i + 1) * n // m - i * n // m) ELSE 0 END)) >= 0.7::DOUBLE * n),
-        recurring AS (SELECT n, lead, place, pair FROM members GROUP BY ALL HAVING sum(docs) >= CASE WHEN n >= 10 THEN 2 WHEN n >= 3 THEN 5 ELSE (SELECT bare FROM least) END AND min(low) < max(high)),
+        recurring AS (SELECT n, lead, place, pair FROM (SELECT n, lead, place, pair, unnest(ids) AS id FROM members) GROUP BY ALL
+            HAVING count(DISTINCT id) >= CASE WHEN n >= 10 THEN 2 WHEN n >= 3 THEN 5 ELSE (SELECT bare FROM least) END),
         found AS (SELECT n, lead, pieces, min(keeper) AS keeper FROM (SELECT n, lead, pieces, keeper FROM members JOIN recurring USING (n, lead, place, pair)
             UNION ALL SELECT n, lead, pieces, first FROM kinds WHERE docs >= CASE WHEN n >= 10 THEN 2 WHEN n >= 3 THEN 5 ELSE (SELECT bare FROM least) END AND low < high) GROUP BY n, lead, pieces),
         gone AS (SELECT doc_id, line FROM cut JOIN found USING (n, lead, pieces) WHERE row(doc_id, line) <> keeper)

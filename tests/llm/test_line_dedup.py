@@ -22,7 +22,7 @@ def brute(docs, rule):
 
     def goes(n, ids):
         least = rule.min_docs if n >= rule.long_tokens else rule.min_docs_short if n >= rule.min_tokens else rule.bare_docs(len(docs))
-        return sum(map(len, ids)) >= least and len(set().union(*ids)) > 1
+        return len(set().union(*ids)) >= max(2, least)
 
     for (leaf, pieces), (n, widths, at) in kinds.items():
         for p in range(0, len(pieces), 2):
@@ -79,6 +79,16 @@ def test_sql_is_of_the_same_rule(spark):
     assert sql(numbers) == [(i, t, 0) for i, t in numbers]
 
 
+def test_a_document_counts_once_for_a_template(spark):
+    line = "alder birch cedar dune ember fjord gorge {}"
+    two = [(i, "\n".join(line.format(w) for w in ("kelp", "larch", "moor")) + f"\n{prose(i)}") for i in range(2)]
+    five = two + [(2 + i, line.format("oak" * (i + 1))) for i in range(3)]
+    for rows, gone in ((two, 0), (five, 8)):
+        out = d.drop_recurring_lines(documents(spark, rows)).collect()
+        assert sum(r.n_lines_dropped for r in out) == gone == len(brute(rows, d.Rule()))
+        assert sorted((r.doc_id, r.text, r.n_lines_dropped) for r in out) == sql(rows)
+
+
 def test_as_brute_force(spark):
     rng = random.Random(5)
     shared = [prose(1000 + i, 4 + 5 * i, 999) for i in range(8)]
