@@ -40,3 +40,9 @@ def test_shapes_of_plans(spark):
     plan = lambda name: QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan("build_keyfile") and "Generate" not in plan("check_fanout")
     assert not any("Python" in plan(n) or "Arrow" in plan(n) for n in QUERIES if not n.startswith("json"))
+
+
+def test_wide_items_has_all_days_of_every_key(spark):
+    made = QUERIES["wide_items"](spark, FOLDER)
+    keys = spark.read.parquet(f"{FOLDER}/orders.parquet").select("o_orderkey").distinct().count()
+    assert [tuple(r) for r in made.groupBy("n_items").count().collect()] == [(92, keys)]
