@@ -1,5 +1,6 @@
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,9 @@ def test_a_long_chain_has_short_results(spark):
     doc = '{"k":[' * deep + '{"z":1}' + "]}" * deep
     row = spark.createDataFrame([(doc,)], "doc string").select(n.lookup(F.col("doc"), "z").alias("z"), n.json_depth(F.col("doc")).alias("d")).first()
     assert row.d == 2 * deep + 1 and row.z[0].path == "/k/0" * deep + "/z" and row.z[0].value == "1"
+
+
+def test_batches_are_read_in_small_parts():
+    texts = pa.array(['{"a": "' + "x" * 1000 + '"}\n'] * 4000)
+    parts = list(n._parts(texts))
+    assert max(stop - start for start, stop in parts) * 1010 <= 1 << 20 and parts[0][0] == 0 and parts[-1][1] == 4000
