@@ -1,10 +1,12 @@
 import json
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from keyweave.functions import nested as n
+from keyweave.functions.json_index import JsonIndex
 
 SIDES = '{"size":3,"left":{"bolt":7},"right":{"bolt":9}}'
 WRAPPED = '{"wrap":1,"in":{"wrap":{"wrap":[{"wrap":null}]}}}'
@@ -218,3 +220,21 @@ def test_batches_are_read_in_small_parts():
     texts = pa.array(['{"a": "' + "x" * 1000 + '"}\n'] * 4000)
     parts = list(n._parts(texts))
     assert max(stop - start for start, stop in parts) * 1010 <= 1 << 20 and parts[0][0] == 0 and parts[-1][1] == 4000
+
+
+def test_steps_of_an_edit_are_made_in_numpy_where_hits_lie_apart(monkeypatch):
+    texts = ['{"id":1,"a":{"id":{"id":[1,{"id":3}]}},"b":[{"id":2}]}', '{"id":1,"x":{"id":2},"l":[{"id":[]},{"id":{}}]}', "{}", None, '{"id":', '{"id":"é","q":1}', "[]"]
+
+    def steps(texts):
+        index = JsonIndex(pa.array([None if t is None else t + "\n" for t in texts], pa.string()))
+        hits = n.Keys(["id"]).hits(index)
+        base = index.bounds[index.doc[hits]]
+        return index, hits, list(zip((index.start[hits] - base).tolist(), (index.end[hits] - base).tolist()))
+
+    index, hits, spans = steps(texts)
+    at = [int(x) for x in np.searchsorted(index.doc[hits], np.arange(index.docs + 1))]
+    want = [n._rounds(spans[a:b], int(size)) for a, b, size in zip(at, at[1:], np.diff(index.bounds) - 1)]
+    assert n._steps(index, hits).to_pylist() == pa.array(want, n._STEPS).to_pylist()
+    monkeypatch.setattr(n, "_rounds", None)  # not needed for the others
+    index, hits, _ = steps(texts[1:])
+    assert [x is None for x in n._steps(index, hits).to_pylist()] == [False, True, True, True, False, True]
