@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from keyweave.plans import queries
 from keyweave.plans.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,3 +47,9 @@ def test_wide_items_has_all_days_of_every_key(spark):
     made = QUERIES["wide_items"](spark, FOLDER)
     keys = spark.read.parquet(f"{FOLDER}/orders.parquet").select("o_orderkey").distinct().count()
     assert [tuple(r) for r in made.groupBy("n_items").count().collect()] == [(92, keys)]
+
+
+def test_documents_are_dealt_out_by_lines(spark, monkeypatch):
+    monkeypatch.setattr(queries, "LINES_PER_TASK", 500)
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
+    assert queries.documents(spark, FOLDER).rdd.getNumPartitions() == -(-lines // 500) > spark.sparkContext.defaultParallelism
