@@ -53,3 +53,8 @@ def test_documents_are_dealt_out_by_lines(spark, monkeypatch):
     monkeypatch.setattr(queries, "LINES_PER_TASK", 500)
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
     assert queries.documents(spark, FOLDER).rdd.getNumPartitions() == -(-lines // 500) > spark.sparkContext.defaultParallelism
+
+
+def test_only_objects_are_joined_with_what_they_hold(spark):
+    plan = QUERIES["json_node_parents"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "= object" in plan
